@@ -20,7 +20,7 @@ def typed_column(df: DataFrame, name: str, target: DataType, date_format: str |
     if current == target:
         return col.alias(name)
     if isinstance(target, DateType) and isinstance(current, StringType):
-        converted = F.try_to_date(col, F.lit(date_format)) if date_format else col.try_cast(target)
+        converted = F.try_to_date(col, date_format) if date_format else col.try_cast(target)
     elif isinstance(target, TimestampType) and isinstance(current, StringType):
         converted = F.try_to_timestamp(col, F.lit(date_format)) if date_format else F.try_to_timestamp(col)
     else:

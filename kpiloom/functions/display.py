@@ -1,4 +1,8 @@
-"""Display text for serving tables: ``$1.2M``, ``12.3%``, ``$1,234.50``."""
+"""Display text for serving tables: ``$1.2M``, ``12.3%``, ``$1,234.50``.
+
+Values are rounded half-up in decimal before formatting, so the text does
+not depend on binary floating-point noise.
+"""
 
 from __future__ import annotations
 
@@ -8,16 +12,19 @@ from pyspark.sql import functions as F
 from kpiloom.functions.money import col_of
 
 
+def _rounded(c: Column, digits: int) -> Column:
+    return F.round(c.cast("decimal(38,6)"), digits)
+
+
 def millions_text(c: str | Column, digits: int = 1) -> Column:
     """``$<value / 1e6>M`` with ``digits`` decimals, e.g. ``$12.3M``."""
-    scaled = F.round(col_of(c).cast("decimal(38,6)") / F.lit(1_000_000), digits)
-    return F.concat(F.lit("$"), F.format_number(scaled, digits), F.lit("M"))
+    return F.concat(F.lit("$"), F.format_number(_rounded(col_of(c) / 1_000_000, digits), digits), F.lit("M"))
 
 
 def percent_text(c: str | Column, digits: int = 1) -> Column:
-    return F.concat(F.format_number(col_of(c), digits), F.lit("%"))
+    return F.concat(F.format_number(_rounded(col_of(c), digits), digits), F.lit("%"))
 
 
 def dollars_text(c: str | Column) -> Column:
     """``$1,234.50``: thousands separators and two decimals."""
-    return F.concat(F.lit("$"), F.format_number(col_of(c), 2))
+    return F.concat(F.lit("$"), F.format_number(_rounded(col_of(c), 2), 2))

@@ -1,8 +1,10 @@
 """Named queries over the benchmark tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame built from
-the tables under ``sf_dir`` through the test-data adapter, so the work of
-every query grows with the tables it reads.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame built from the
+tables under ``sf_dir`` through the test-data adapter, so the work of every
+query grows with the tables it reads. Round-trip entries write through a
+sink into a fresh folder under the shared checkpoint root and return the
+read-back table.
 """
 
 from __future__ import annotations
@@ -14,7 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.operators import kpis
 from kpiloom.operators.clean import clean_market
-from kpiloom.sources import testdata
+from kpiloom.operators.export import unify_kpis
+from kpiloom.operators.serving import revenue_share, serving_summary
+from kpiloom.plans.kpis_sql import SQL_KPIS, run_sql_kpi
+from kpiloom.session import scratch_path
+from kpiloom.sinks import writers
+from kpiloom.sources import kpi_store, market, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +38,58 @@ def _kpi(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.KPIS[name](market_clean(spark, sf_dir))
 
 
+def _sql_kpi(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_sql_kpi(spark, name, market_clean(spark, sf_dir))
+
+
+def revenue_share_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revenue_share(kpis.kpi2_revenue_genre(market_clean(spark, sf_dir)))
+
+
+def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = market_clean(spark, sf_dir)
+    return serving_summary(kpis.kpi1_revenue_platform(clean), kpis.kpi2_revenue_genre(clean),
+                           kpis.kpi6_discount_rate(clean))
+
+
+def kpi_export_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unify_kpis(kpis.calculate_kpis(market_clean(spark, sf_dir)))
+
+
+def curated_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated rows written partitioned by platform and scanned back."""
+    path = scratch_path(spark, "curated")
+    writers.write_curated(market_clean(spark, sf_dir), path)
+    return market.read_curated(spark, path)
+
+
+def market_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows written as CSV, read back as text and cleaned."""
+    path = scratch_path(spark, "market-csv")
+    writers.write_market_csv(testdata.market_raw(spark, sf_dir), path)
+    return clean_market(market.read_market_csv(spark, path))
+
+
+def curated_view_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL KPI 6 through a named view over the curated Parquet folder."""
+    path = scratch_path(spark, "curated-view")
+    writers.write_curated(market_clean(spark, sf_dir), path)
+    view = market.register_curated_view(spark, path, f"market_curated_{path.rsplit('-', 1)[-1]}")
+    return run_sql_kpi(spark, "sql_kpi6_discount_rate", view)
+
+
+def kpi_export_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPI folders written, loaded tolerantly (one left missing), unified, CSV round trip."""
+    base = scratch_path(spark, "kpis")
+    frames = kpis.calculate_kpis(market_clean(spark, sf_dir))
+    paths = writers.write_kpis(frames, base)
+    paths["kpi9_not_written"] = f"{base}/kpi9_not_written"
+    loaded = kpi_store.load_kpis(spark, paths)
+    export_path = scratch_path(spark, "export")
+    writers.write_csv_single(unify_kpis(loaded), export_path)
+    return kpi_store.read_export_csv(spark, export_path)
+
+
 def catalog() -> dict[str, Query]:
     out: dict[str, Query] = {
         "market_raw": market_raw,
@@ -38,4 +97,16 @@ def catalog() -> dict[str, Query]:
     }
     for name in kpis.KPIS:
         out[name] = partial(_kpi, name)
+    for name in SQL_KPIS:
+        out[name] = partial(_sql_kpi, name)
+    out.update({
+        "revenue_share_genre": revenue_share_genre,
+        "serving_summary": summary,
+        "kpi_export_unified": kpi_export_unified,
+        "curated_roundtrip": curated_roundtrip,
+        "market_csv_roundtrip": market_csv_roundtrip,
+        "curated_view_kpi": curated_view_kpi,
+        "kpi_export_from_store": kpi_export_from_store,
+    })
     return out
+

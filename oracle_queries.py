@@ -88,6 +88,90 @@ FROM market_clean GROUP BY year_month""",
 }
 
 
+SQL_KPI_BODIES = {
+    "sql_kpi1_revenue_platform": f"""
+SELECT platform, {money_sum(REV)} AS total_revenue_usd, count(*) AS num_records
+FROM market_clean GROUP BY platform""",
+    "sql_kpi2_revenue_genre": f"""
+SELECT genre, {money_sum(REV)} AS total_revenue_usd, count(*) AS num_records
+FROM market_clean GROUP BY genre""",
+    "sql_kpi3_top_genres_ccu": KPI_BODIES["kpi3_top_genres_ccu"],
+    "sql_kpi4_avg_ccu_platform": """
+SELECT platform, round(avg(concurrent_players), 0) AS avg_concurrent_players,
+       max(concurrent_players) AS peak_concurrent_players
+FROM market_clean GROUP BY platform""",
+    "sql_kpi5_avg_price_platform": """
+SELECT platform, round(avg(current_price_usd), 2) AS avg_price_usd,
+       round(min(current_price_usd), 2) AS min_price_usd,
+       round(max(current_price_usd), 2) AS max_price_usd
+FROM market_clean GROUP BY platform""",
+    "sql_kpi6_discount_rate": f"""
+SELECT platform, round(avg(discount_pc), 2) AS avg_discount_pct, count(*) AS games_on_sale,
+       {money_sum(REV)} AS revenue_on_sale
+FROM market_clean WHERE is_on_sale = 1 GROUP BY platform""",
+    "sql_kpi7_early_vs_full": f"""
+SELECT CASE WHEN is_early_access = 1 THEN 'Early Access' ELSE 'Full Release' END AS release_type,
+       round(avg({REV}), 2) AS avg_revenue_usd, {money_sum(REV)} AS total_revenue_usd,
+       count(*) AS num_records
+FROM market_clean GROUP BY is_early_access""",
+    "sql_kpi8_monthly_trend": f"""
+SELECT strftime(obs_date, '%Y-%m') AS year_month, {money_sum(REV)} AS monthly_revenue_usd,
+       count(*) AS num_records, round(avg(concurrent_players), 0) AS avg_ccu
+FROM market_clean GROUP BY strftime(obs_date, '%Y-%m')""",
+}
+
+
+def kpi_ctes() -> str:
+    return ",\n".join(f"{name} AS ({body})" for name, body in KPI_BODIES.items())
+
+
+def with_kpis(body: str) -> str:
+    return (
+        f"WITH market_raw AS ({MARKET_RAW}),\n"
+        f"market_clean AS ({MARKET_CLEAN}),\n{kpi_ctes()}\n{body}")
+
+
+def text2(c: str) -> str:
+    """Fractional number as two-decimal text."""
+    return f"CAST(CAST({c} AS DECIMAL(20,2)) AS VARCHAR) AS {c}"
+
+
+def text_int(c: str) -> str:
+    return f"CAST({c} AS VARCHAR) AS {c}"
+
+
+EXPORT_COLUMNS = {
+    "kpi1_revenue_platform": ["platform", text2("total_revenue_usd")],
+    "kpi2_revenue_genre": ["genre", text2("total_revenue_usd")],
+    "kpi3_top_genres_ccu": ["genre", text2("avg_concurrent_players")],
+    "kpi4_avg_ccu_platform": ["platform", text2("avg_concurrent_players")],
+    "kpi5_avg_price_platform": ["platform", text2("avg_price_usd")],
+    "kpi6_discount_rate": ["platform", text2("avg_discount_pct")],
+    "kpi7_early_vs_full": [text_int("is_early_access"), text2("avg_revenue_usd"),
+                           text2("total_revenue_usd"), text_int("num_records")],
+    "kpi8_monthly_trend": ["year_month", text2("monthly_revenue_usd")],
+}
+
+EXPORT_BODY = "\nUNION ALL BY NAME\n".join(
+    f"SELECT {', '.join(cols)}, '{name}' AS kpi_name FROM {name}" for name, cols in EXPORT_COLUMNS.items())
+
+SUMMARY_BODY = f"""
+SELECT s.*,
+       '$' || format('{{:,.1f}}', round(CAST(total_revenue_usd / 1000000 AS DECIMAL(38,6)), 1)) || 'M'
+         AS total_revenue_text,
+       format('{{:,.1f}}', round(CAST(avg_discount_pct AS DECIMAL(38,6)), 1)) || '%' AS avg_discount_text
+FROM (SELECT (SELECT {money_sum('total_revenue_usd')} FROM kpi1_revenue_platform) AS total_revenue_usd,
+             (SELECT arg_max(platform, total_revenue_usd) FROM kpi1_revenue_platform) AS top_platform,
+             (SELECT arg_max(genre, total_revenue_usd) FROM kpi2_revenue_genre) AS top_genre,
+             (SELECT round(avg(avg_discount_pct), 2) FROM kpi6_discount_rate) AS avg_discount_pct) s"""
+
+SHARE_BODY = """
+SELECT genre, total_revenue_usd,
+       round(total_revenue_usd / (SELECT CAST(sum(CAST(total_revenue_usd AS DECIMAL(28,2))) AS DOUBLE)
+                                  FROM kpi2_revenue_genre) * 100, 2) AS revenue_share_pct
+FROM kpi2_revenue_genre"""
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {
         "market_raw": f"{MARKET_RAW}",
@@ -95,4 +179,15 @@ def oracle_sql() -> dict[str, str]:
     }
     for name, body in KPI_BODIES.items():
         out[name] = with_market(body)
+    for name, body in SQL_KPI_BODIES.items():
+        out[name] = with_market(body)
+    out.update({
+        "revenue_share_genre": with_kpis(SHARE_BODY),
+        "serving_summary": with_kpis(SUMMARY_BODY),
+        "kpi_export_unified": with_kpis(EXPORT_BODY),
+        "curated_roundtrip": out["market_clean"],
+        "market_csv_roundtrip": out["market_clean"],
+        "curated_view_kpi": out["sql_kpi6_discount_rate"],
+        "kpi_export_from_store": with_kpis(EXPORT_BODY),
+    })
     return out
