@@ -13,7 +13,9 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kpiloom.ml import revenue_model
 from kpiloom.operators import kpis
 from kpiloom.operators.clean import clean_market
 from kpiloom.operators.export import unify_kpis
@@ -21,7 +23,9 @@ from kpiloom.operators.serving import revenue_share, serving_summary
 from kpiloom.plans.kpis_sql import SQL_KPIS, run_sql_kpi
 from kpiloom.session import scratch_path
 from kpiloom.sinks import writers
+from kpiloom.sources import events as event_sources
 from kpiloom.sources import kpi_store, market, testdata
+from kpiloom.streaming.alerts import hype_alerts, parse_events, start_alert_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +94,75 @@ def kpi_export_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi_store.read_export_csv(spark, export_path)
 
 
+def _comparable_alerts(df: DataFrame) -> DataFrame:
+    # event_time is a session-zone timestamp; as wall-clock time (the session
+    # zone is UTC) it compares equal across engines and client time zones.
+    return df.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def event_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records encoded as JSON messages and parsed back."""
+    messages = writers.encode_events(testdata.event_rows(spark, sf_dir))
+    return _comparable_alerts(parse_events(messages))
+
+
+def hype_alerts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spike alerts over JSON message files read as a batch."""
+    path = scratch_path(spark, "event-messages")
+    writers.write_event_messages(testdata.event_rows(spark, sf_dir), path)
+    return _comparable_alerts(hype_alerts(parse_events(event_sources.read_event_messages(spark, path))))
+
+
+def hype_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spike alerts through the streaming job (file source → Parquet sink), read back."""
+    source = scratch_path(spark, "event-stream-in")
+    writers.write_event_messages(testdata.event_rows(spark, sf_dir).repartition(4), source)
+    output = scratch_path(spark, "alerts")
+    checkpoint = scratch_path(spark, "alerts-checkpoint")
+    stream = event_sources.read_event_stream(spark, path=source, max_per_trigger=1)
+    for q in start_alert_queries(hype_alerts(parse_events(stream)), output, checkpoint, available_now=True):
+        q.awaitTermination()
+    return _comparable_alerts(spark.read.parquet(output))
+
+
+def ml_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revenue_model.training_set(market_clean(spark, sf_dir))
+
+
+# One cross-validated model per application and input folder, shared by the
+# ML entries below so that the grid search runs once.
+_TRAINED: dict[tuple[str, str], revenue_model.TrainedModel] = {}
+
+
+def _trained(spark: SparkSession, sf_dir: str) -> revenue_model.TrainedModel:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = revenue_model.train(ml_training_set(spark, sf_dir))
+    return _TRAINED[key]
+
+
+def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained = _trained(spark, sf_dir)
+    return revenue_model.predictions(trained.model, trained.test)
+
+
+def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained = _trained(spark, sf_dir)
+    return revenue_model.metrics(spark, trained.model.transform(trained.test))
+
+
+def ml_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revenue_model.coefficients(spark, _trained(spark, sf_dir).model)
+
+
+def ml_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best model saved, loaded back and used to score the test rows."""
+    trained = _trained(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    revenue_model.save_model(trained.model, path)
+    return revenue_model.predictions(revenue_model.load_model(path), trained.test)
+
+
 def catalog() -> dict[str, Query]:
     out: dict[str, Query] = {
         "market_raw": market_raw,
@@ -107,6 +180,14 @@ def catalog() -> dict[str, Query]:
         "market_csv_roundtrip": market_csv_roundtrip,
         "curated_view_kpi": curated_view_kpi,
         "kpi_export_from_store": kpi_export_from_store,
+        "event_json_roundtrip": event_json_roundtrip,
+        "hype_alerts_batch": hype_alerts_batch,
+        "hype_alerts_stream": hype_alerts_stream,
+        "ml_training_set": ml_training_set,
+        "ml_predictions": ml_predictions,
+        "ml_metrics": ml_metrics,
+        "ml_coefficients": ml_coefficients,
+        "ml_model_roundtrip": ml_model_roundtrip,
     })
     return out
 

@@ -172,6 +172,14 @@ SELECT genre, total_revenue_usd,
 FROM kpi2_revenue_genre"""
 
 
+EVENTS_PARSED = f"""
+SELECT e.*, CAST(ts AS TIMESTAMP) AS event_time
+FROM ({EVENT_ROWS.replace('FROM events', ', ts FROM events')}) e"""
+
+EVENT_COLS = ("timestamp, platform, genre, concurrent_players, hype_score, current_price_usd, "
+              "is_on_sale, hype_spike, event_time")
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {
         "market_raw": f"{MARKET_RAW}",
@@ -189,5 +197,15 @@ def oracle_sql() -> dict[str, str]:
         "market_csv_roundtrip": out["market_clean"],
         "curated_view_kpi": out["sql_kpi6_discount_rate"],
         "kpi_export_from_store": with_kpis(EXPORT_BODY),
+        "event_json_roundtrip": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED})",
+        "hype_alerts_batch": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
+        "hype_alerts_stream": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
+        "ml_training_set": with_market("""
+SELECT concurrent_players, hype_score, discount_pc, estimated_revenue_usd
+FROM market_clean
+WHERE estimated_revenue_usd > 0
+  AND concurrent_players IS NOT NULL
+  AND hype_score IS NOT NULL AND NOT isnan(hype_score)
+  AND discount_pc IS NOT NULL AND NOT isnan(discount_pc)"""),
     })
     return out
