@@ -21,6 +21,7 @@ from kpiloom.operators.clean import clean_market
 from kpiloom.operators.export import unify_kpis
 from kpiloom.operators.serving import revenue_share, serving_summary
 from kpiloom.plans.kpis_sql import SQL_KPIS, run_sql_kpi
+from kpiloom.plans.shared_scan import all_kpis
 from kpiloom.session import scratch_path
 from kpiloom.sinks import writers
 from kpiloom.sources import events as event_sources
@@ -51,13 +52,20 @@ def revenue_share_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = market_clean(spark, sf_dir)
-    return serving_summary(kpis.kpi1_revenue_platform(clean), kpis.kpi2_revenue_genre(clean),
-                           kpis.kpi6_discount_rate(clean))
+    batch, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
+    return serving_summary(batch["kpi1_revenue_platform"], batch["kpi2_revenue_genre"],
+                           batch["kpi6_discount_rate"])
 
 
 def kpi_export_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unify_kpis(kpis.calculate_kpis(market_clean(spark, sf_dir)))
+    batch, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
+    return unify_kpis(batch)
+
+
+def kpi_export_sql_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL-form KPI tables stacked into one text table (same one-pass aggregate)."""
+    _, sql = all_kpis(market_clean(spark, sf_dir), materialize=True)
+    return unify_kpis(sql)
 
 
 def curated_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +93,7 @@ def curated_view_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_export_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI folders written, loaded tolerantly (one left missing), unified, CSV round trip."""
     base = scratch_path(spark, "kpis")
-    frames = kpis.calculate_kpis(market_clean(spark, sf_dir))
+    frames, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
     paths = writers.write_kpis(frames, base)
     paths["kpi9_not_written"] = f"{base}/kpi9_not_written"
     loaded = kpi_store.load_kpis(spark, paths)
@@ -176,6 +184,7 @@ def catalog() -> dict[str, Query]:
         "revenue_share_genre": revenue_share_genre,
         "serving_summary": summary,
         "kpi_export_unified": kpi_export_unified,
+        "kpi_export_sql_unified": kpi_export_sql_unified,
         "curated_roundtrip": curated_roundtrip,
         "market_csv_roundtrip": market_csv_roundtrip,
         "curated_view_kpi": curated_view_kpi,

@@ -122,7 +122,7 @@ FROM market_clean GROUP BY strftime(obs_date, '%Y-%m')""",
 
 
 def kpi_ctes() -> str:
-    return ",\n".join(f"{name} AS ({body})" for name, body in KPI_BODIES.items())
+    return ",\n".join(f"{name} AS ({body})" for name, body in {**KPI_BODIES, **SQL_KPI_BODIES}.items())
 
 
 def with_kpis(body: str) -> str:
@@ -155,6 +155,24 @@ EXPORT_COLUMNS = {
 EXPORT_BODY = "\nUNION ALL BY NAME\n".join(
     f"SELECT {', '.join(cols)}, '{name}' AS kpi_name FROM {name}" for name, cols in EXPORT_COLUMNS.items())
 
+SQL_EXPORT_COLUMNS = {
+    "sql_kpi1_revenue_platform": ["platform", text2("total_revenue_usd"), text_int("num_records")],
+    "sql_kpi2_revenue_genre": ["genre", text2("total_revenue_usd"), text_int("num_records")],
+    "sql_kpi3_top_genres_ccu": ["genre", text2("avg_concurrent_players")],
+    "sql_kpi4_avg_ccu_platform": ["platform", text2("avg_concurrent_players"), text_int("peak_concurrent_players")],
+    "sql_kpi5_avg_price_platform": ["platform", text2("avg_price_usd"), text2("min_price_usd"),
+                                    text2("max_price_usd")],
+    "sql_kpi6_discount_rate": ["platform", text2("avg_discount_pct"), text_int("games_on_sale"),
+                               text2("revenue_on_sale")],
+    "sql_kpi7_early_vs_full": ["release_type", text2("avg_revenue_usd"), text2("total_revenue_usd"),
+                               text_int("num_records")],
+    "sql_kpi8_monthly_trend": ["year_month", text2("monthly_revenue_usd"), text_int("num_records"),
+                               text2("avg_ccu")],
+}
+
+SQL_EXPORT_BODY = "\nUNION ALL BY NAME\n".join(
+    f"SELECT {', '.join(cols)}, '{name}' AS kpi_name FROM {name}" for name, cols in SQL_EXPORT_COLUMNS.items())
+
 SUMMARY_BODY = f"""
 SELECT s.*,
        '$' || format('{{:,.1f}}', round(CAST(total_revenue_usd / 1000000 AS DECIMAL(38,6)), 1)) || 'M'
@@ -193,6 +211,7 @@ def oracle_sql() -> dict[str, str]:
         "revenue_share_genre": with_kpis(SHARE_BODY),
         "serving_summary": with_kpis(SUMMARY_BODY),
         "kpi_export_unified": with_kpis(EXPORT_BODY),
+        "kpi_export_sql_unified": with_kpis(SQL_EXPORT_BODY),
         "curated_roundtrip": out["market_clean"],
         "market_csv_roundtrip": out["market_clean"],
         "curated_view_kpi": out["sql_kpi6_discount_rate"],
