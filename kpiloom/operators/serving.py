@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.display import millions_text, percent_text
+from kpiloom.functions.display import dollars_text, millions_text, percent_text
 from kpiloom.functions.money import money_sum
 
 
@@ -49,3 +49,25 @@ def serving_summary(kpi1: DataFrame, kpi2: DataFrame, kpi6: DataFrame) -> DataFr
         millions_text("total_revenue_usd").alias("total_revenue_text"),
         percent_text("avg_discount_pct").alias("avg_discount_text"),
     )
+
+
+def chart_orderings(kpis: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """KPI tables in the order the dashboard charts them.
+
+    Revenue by platform ascending (horizontal bars), CCU, price and discount
+    tables descending, the monthly trend by month; other tables as given.
+    """
+    order = {
+        "kpi1_revenue_platform": F.asc("total_revenue_usd"),
+        "kpi3_top_genres_ccu": F.desc("avg_concurrent_players"),
+        "kpi4_avg_ccu_platform": F.desc("avg_concurrent_players"),
+        "kpi5_avg_price_platform": F.desc("avg_price_usd"),
+        "kpi6_discount_rate": F.desc("avg_discount_pct"),
+        "kpi8_monthly_trend": F.asc("year_month"),
+    }
+    return {name: df.orderBy(order[name]) if name in order else df for name, df in kpis.items()}
+
+
+def money_display(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Money columns additionally as ``$1,234.50`` text (``<column>_text``)."""
+    return df.select("*", *[dollars_text(c).alias(f"{c}_text") for c in columns])

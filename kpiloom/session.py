@@ -78,6 +78,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """A fresh, unique folder under this application's checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stable_path(spark: SparkSession, name: str) -> str:
+    """A folder with a fixed name under the shared checkpoint root.
+
+    Unlike ``scratch_path`` (per application), the same name gives the same
+    folder in every run, as a streaming checkpoint needs across restarts.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    root = configured or ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/{name}"

@@ -60,13 +60,21 @@ def start_alert_queries(alerts: DataFrame, output_path: str, checkpoint_path: st
     return started
 
 
-def await_any(queries: list[StreamingQuery]) -> None:
-    """Block until any query ends, then stop the others (clean shutdown)."""
+def await_any(spark, queries: list[StreamingQuery], finite: bool = False) -> None:
+    """Wait for the queries and shut down cleanly.
+
+    Finite runs (``availableNow``) wait for every query to drain. Continuous
+    runs wait until any query ends (failure or stop) and then stop the rest,
+    re-raising the failure.
+    """
     if not queries:
         return
-    spark = queries[0].sparkSession
     try:
-        spark.streams.awaitAnyTermination()
+        if finite:
+            for q in queries:
+                q.awaitTermination()
+        else:
+            spark.streams.awaitAnyTermination()
     finally:
         for q in queries:
             if q.isActive:
