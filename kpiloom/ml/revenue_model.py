@@ -4,15 +4,18 @@ Scale notes. With three features ``LinearRegression`` (solver ``auto``)
 uses the weighted-least-squares path: each fit is one distributed pass that
 aggregates a 3×3 Gram matrix (a ``treeAggregate``), after which the
 elastic-net problem is solved on that tiny matrix. The training rows are
-checkpointed to the shared checkpoint folder before splitting, so the
-random split and the CV folds are computed from fixed data even when an
-executor is lost and partitions are recomputed.
+written as a Parquet table in the shared checkpoint folder before
+splitting, so the random split and the CV folds are computed from fixed
+data even when an executor is lost and partitions are recomputed. The cross-validation folds
+are then cut from a persisted (memory, spilling to disk) copy, since the
+grid search passes over them a few dozen times.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -31,7 +34,7 @@ from kpiloom.schemas import (
     ML_SEED,
     ML_SPLIT,
 )
-from kpiloom.session import ensure_checkpoint_dir
+from kpiloom.session import materialize
 
 
 def training_set(curated: DataFrame, features: list[str] = ML_FEATURES, label: str = ML_LABEL) -> DataFrame:
@@ -73,10 +76,13 @@ class TrainedModel:
 def train(data: DataFrame, checkpoint: bool = True, parallelism: int = 4) -> TrainedModel:
     """Split 80/20 (seed 42), cross-validate the grid on the 80%, refit the best."""
     if checkpoint:
-        ensure_checkpoint_dir(data.sparkSession)
-        data = data.checkpoint(eager=True)
+        data = materialize(data, "ml-training-set")
     train_df, test_df = data.randomSplit(ML_SPLIT, seed=ML_SEED)
-    cv_model = build_cross_validator(build_pipeline(), parallelism).fit(train_df)
+    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cv_model = build_cross_validator(build_pipeline(), parallelism).fit(train_df)
+    finally:
+        train_df.unpersist()
     return TrainedModel(cv_model.bestModel, train_df, test_df, list(cv_model.avgMetrics))
 
 

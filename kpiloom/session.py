@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     # Producer timestamps carry no zone and are meant as UTC.
@@ -92,3 +92,15 @@ def stable_path(spark: SparkSession, name: str) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     root = configured or ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/{name}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and return the read-back table.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor re-reads files
+    instead of recomputing the plan), but stores columnar, compressed data
+    that later scans can prune and filter.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

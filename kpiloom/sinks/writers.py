@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,20 @@ def write_kpi(df: DataFrame, path: str, compression: str = "snappy") -> None:
     df.coalesce(1).write.mode("overwrite").option("compression", compression).parquet(path)
 
 
-def write_kpis(kpis: dict[str, DataFrame], base: str) -> dict[str, str]:
-    paths = {}
-    for name, df in kpis.items():
-        paths[name] = f"{base.rstrip('/')}/{name}"
-        write_kpi(df, paths[name])
+def write_kpis(kpis: dict[str, DataFrame], base: str, parallel: int = 8) -> dict[str, str]:
+    """Every KPI table into ``base/<name>``.
+
+    Each write is a small job; submitting them from a few driver threads lets
+    the scheduler run them side by side instead of one after another.
+    """
+    paths = {name: f"{base.rstrip('/')}/{name}" for name in kpis}
+    if parallel <= 1:
+        for name, df in kpis.items():
+            write_kpi(df, paths[name])
+        return paths
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for done in [pool.submit(write_kpi, df, paths[name]) for name, df in kpis.items()]:
+            done.result()
     return paths
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,18 +15,25 @@ def read_kpi(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_kpis(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+def _try_read(spark: SparkSession, name: str, path: str) -> DataFrame | None:
+    try:
+        return read_kpi(spark, path)
+    except AnalysisException as exc:
+        log.warning("skipping KPI %s at %s: %s", name, path, str(exc).splitlines()[0])
+        return None
+
+
+def load_kpis(spark: SparkSession, paths: dict[str, str], parallel: int = 8) -> dict[str, DataFrame]:
     """Every readable KPI folder, in order; unreadable ones are skipped with a warning.
 
-    Path and schema resolution are eager in ``spark.read.parquet``, so a
-    missing or empty folder raises here, not later. Raises when none loads.
+    Path and schema resolution are eager in ``spark.read.parquet`` (a small
+    footer-reading job each, run from a few driver threads side by side), so
+    a missing or empty folder raises here, not later. Raises when none loads.
     """
-    loaded: dict[str, DataFrame] = {}
-    for name, path in paths.items():
-        try:
-            loaded[name] = read_kpi(spark, path)
-        except AnalysisException as exc:
-            log.warning("skipping KPI %s at %s: %s", name, path, str(exc).splitlines()[0])
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {name: pool.submit(_try_read, spark, name, path) for name, path in paths.items()}
+        results = {name: f.result() for name, f in futures.items()}
+    loaded = {name: df for name, df in results.items() if df is not None}
     if not loaded:
         raise FileNotFoundError(f"none of the KPI tables could be read: {list(paths.values())}")
     return loaded
