@@ -15,7 +15,8 @@ def revenue_share(kpi: DataFrame, value: str = "total_revenue_usd",
 
     The total is a scalar subquery: Spark computes it as a separate one-row
     aggregation and injects it, so no single-partition window and no join
-    is needed, whatever the number of rows.
+    is needed, whatever the number of rows. Give it a materialised KPI table
+    (read from the store, or checkpointed): the subquery re-reads its input.
     """
     total = kpi.select(F.sum(F.col(value).cast("decimal(28,2)")).cast("double")).scalar()
     return kpi.withColumn(out, F.round(F.col(value) / total * 100, 2))

@@ -15,6 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.functions.derive import revenue_estimate, sale_price, spike_flag
 from kpiloom.ml import revenue_model
 from kpiloom.operators import kpis
 from kpiloom.operators.clean import clean_market
@@ -48,7 +49,8 @@ def _sql_kpi(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_share_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revenue_share(kpis.kpi2_revenue_genre(market_clean(spark, sf_dir)))
+    batch, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
+    return revenue_share(batch["kpi2_revenue_genre"])
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +173,23 @@ def ml_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue_model.predictions(revenue_model.load_model(path), trained.test)
 
 
+# Revenue-estimate parameters of the derived-columns query.
+ESTIMATE_RATE = 0.15
+ESTIMATE_FALLBACK = 100.0
+
+
+def derived_price_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sale price, revenue estimate and spike flag derived from list prices."""
+    rows = testdata.listing_rows(spark, sf_dir)
+    price = sale_price("base_price_usd", "discount_pc", "is_on_sale")
+    return rows.select(
+        "l_orderkey", "l_linenumber",
+        price.alias("current_price_usd"),
+        revenue_estimate("concurrent_players", price, ESTIMATE_RATE, ESTIMATE_FALLBACK).alias("estimated_revenue_usd"),
+        spike_flag("concurrent_players").alias("hype_spike"),
+    )
+
+
 def catalog() -> dict[str, Query]:
     out: dict[str, Query] = {
         "market_raw": market_raw,
@@ -192,6 +211,7 @@ def catalog() -> dict[str, Query]:
         "event_json_roundtrip": event_json_roundtrip,
         "hype_alerts_batch": hype_alerts_batch,
         "hype_alerts_stream": hype_alerts_stream,
+        "derived_price_revenue": derived_price_revenue,
         "ml_training_set": ml_training_set,
         "ml_predictions": ml_predictions,
         "ml_metrics": ml_metrics,

@@ -108,6 +108,21 @@ def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List prices before any discount (lineitem ⋈ part), one per lineitem."""
+    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return joined.select(
+        "l_orderkey", "l_linenumber",
+        F.col("p_retailprice").alias("base_price_usd"),
+        _cents(F.col("l_discount")).cast("double").alias("discount_pc"),
+        F.when(F.col("l_discount") > 0, 1).otherwise(0).alias("is_on_sale"),
+        (F.col("l_quantity") * F.col("p_size") * 100).cast("int").alias("concurrent_players"),
+    )
+
+
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed event records (the producer's message fields), one per events row."""
     events = read_fact_table(spark, sf_dir, "events")

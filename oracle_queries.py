@@ -198,6 +198,29 @@ EVENT_COLS = ("timestamp, platform, genre, concurrent_players, hype_score, curre
               "is_on_sale, hype_spike, event_time")
 
 
+DERIVED = """
+WITH l AS (
+  SELECT l_orderkey, l_linenumber, p_retailprice AS base,
+         CAST(round(l_discount*100) AS DOUBLE) AS disc,
+         CASE WHEN l_discount > 0 THEN 1 ELSE 0 END AS on_sale,
+         CAST(l_quantity * p_size * 100 AS INT) AS players
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+p AS (
+  SELECT *, CASE WHEN on_sale = 1
+                 THEN round(CAST(base AS DECIMAL(12,2))
+                            * (CAST(1 AS DECIMAL(1,0)) - CAST(disc AS DECIMAL(7,2)) * CAST(0.01 AS DECIMAL(2,2))), 2)
+                 ELSE round(CAST(base AS DECIMAL(12,2)), 2) END AS price
+  FROM l),
+e AS (
+  SELECT *, round(CAST(players AS DECIMAL(10,0)) * CAST(price AS DECIMAL(12,2)) * CAST(0.15 AS DECIMAL(6,4)), 2)
+              AS est
+  FROM p)
+SELECT l_orderkey, l_linenumber, CAST(price AS DOUBLE) AS current_price_usd,
+       CAST(CASE WHEN est <= 0 THEN CAST(100.00 AS DECIMAL(12,2)) ELSE est END AS DOUBLE) AS estimated_revenue_usd,
+       CASE WHEN players > 300000 THEN 1 ELSE 0 END AS hype_spike
+FROM e"""
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {
         "market_raw": f"{MARKET_RAW}",
@@ -219,6 +242,7 @@ def oracle_sql() -> dict[str, str]:
         "event_json_roundtrip": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED})",
         "hype_alerts_batch": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
         "hype_alerts_stream": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
+        "derived_price_revenue": DERIVED,
         "ml_training_set": with_market("""
 SELECT concurrent_players, hype_score, discount_pc, estimated_revenue_usd
 FROM market_clean
