@@ -51,18 +51,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_fact_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A fact table, spread over all cores when its file has fewer splits than cores.
 
     Parquet splits at row-group boundaries, so a file written as one large
     row group is scanned by a single task. Only then is the scan followed
-    by a round-robin repartition; a table with enough splits (any large
-    input) is left alone and pays no shuffle.
+    by a hash repartition on a near-unique ``key`` (even, and deterministic
+    without the row sort a round-robin repartition needs); a table with
+    enough splits (any large input) is left alone and pays no shuffle.
     """
     df = read_table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+        df = df.repartition(cores, key)
     return df
 
 
@@ -72,7 +73,7 @@ def _cents(c: Column) -> Column:
 
 def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed market rows (the schema of the raw CSV after typing), one per lineitem."""
-    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
+    lineitem = read_fact_table(spark, sf_dir, "lineitem", "l_orderkey").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_type", "p_brand", "p_size", "p_retailprice")
@@ -110,7 +111,7 @@ def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List prices before any discount (lineitem ⋈ part), one per lineitem."""
-    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
+    lineitem = read_fact_table(spark, sf_dir, "lineitem", "l_orderkey").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
     joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -125,7 +126,7 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed event records (the producer's message fields), one per events row."""
-    events = read_fact_table(spark, sf_dir, "events")
+    events = read_fact_table(spark, sf_dir, "events", "event_id")
     players = F.floor(F.col("value") * EVENT_PLAYER_SCALE)
     return events.select(
         iso_timestamp_text(F.col("ts")).alias("timestamp"),
