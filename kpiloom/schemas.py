@@ -66,6 +66,12 @@ MARKET_CLEAN = StructType(
     + [StructField("year_month", StringType(), True)]
 )
 
+# The curated table as read back: the partition column (platform) comes last.
+CURATED_SCHEMA = StructType(
+    [f for f in MARKET_CLEAN.fields if f.name != "platform"]
+    + [StructField("platform", StringType(), True)]
+)
+
 EVENT_SCHEMA = StructType([
     StructField("timestamp", StringType(), True),
     StructField("platform", StringType(), True),

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.schemas import MARKET_RAW_TEXT
+from kpiloom.schemas import CURATED_SCHEMA, MARKET_RAW_TEXT
 
 CURATED_VIEW = "market_curated"
 
@@ -29,10 +29,13 @@ def read_market_csv(spark: SparkSession, path: str, infer_schema: bool = False)
 def read_curated(spark: SparkSession, path: str, platforms: Iterable[str] | None = None) -> DataFrame:
     """Curated Parquet partitioned by platform.
 
-    Passing ``platforms`` adds a filter on the partition column, which Spark
-    turns into directory pruning (``PartitionFilters`` in the scan).
+    The schema is declared, so no footer-inference job runs and a platform
+    name that looks like a number stays text (partition-value type inference
+    would turn it into an integer). Passing ``platforms`` adds a filter on
+    the partition column, which Spark turns into directory pruning
+    (``PartitionFilters`` in the scan).
     """
-    df = spark.read.parquet(path)
+    df = spark.read.schema(CURATED_SCHEMA).parquet(path)
     if platforms is not None:
         df = df.filter(F.col("platform").isin(list(platforms)))
     return df
