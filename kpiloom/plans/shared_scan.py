@@ -9,10 +9,11 @@ KPI table (DataFrame and SQL form) is then a filter + projection of that one
 aggregate, which has one row per key value (tens of rows).
 
 When several KPI tables are consumed together (the unified export, the
-summary, the batch job) the aggregate is materialised once with a reliable
-``checkpoint()`` into the shared checkpoint folder: it is tiny, every
-consumer then reads the same files, and a lost executor cannot force the
-pass over the curated rows to run again. (Without it, column pruning narrows
+summary, the batch job) the aggregate is materialised once as a Parquet
+table in the shared checkpoint folder: it is tiny, every consumer then
+reads the same files, and a lost executor cannot force the pass over the
+curated rows to run again. (An RDD ``checkpoint()`` of an unpersisted
+DataFrame would run the pass twice: once for the action, once to write.) (Without it, column pruning narrows
 each consumer's copy of the aggregate differently and Spark recomputes it
 per consumer.)
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from kpiloom.functions.derive import release_type
 from kpiloom.functions.money import money, money_sum
 from kpiloom.schemas import TOP_GENRES_LIMIT
-from kpiloom.session import ensure_checkpoint_dir
+from kpiloom.session import materialize as materialize_table
 
 KEYS = ["platform", "genre", "is_early_access", "year_month"]
 REVENUE = "estimated_revenue_usd"
@@ -59,39 +60,49 @@ def _r(c: str, digits: int) -> Column:
     return F.round(F.col(c), digits)
 
 
+def _sorted(df: DataFrame, *order: Column) -> DataFrame:
+    """Globally sorted KPI table (one row per key value) in a single partition.
+
+    A range-partitioned ``orderBy`` runs a sampling job and a shuffle per
+    table; for tens of rows one task sorting them is cheaper, and a single
+    partition is what the single-file KPI writes want anyway.
+    """
+    return df.coalesce(1).sortWithinPartitions(*order)
+
+
 def sql_kpis(agg: DataFrame) -> dict[str, DataFrame]:
     platform, genre = by(agg, "platform"), by(agg, "genre")
     early, month = by(agg, "is_early_access"), by(agg, "year_month")
+    total, rows = F.col("revenue_total").alias("total_revenue_usd"), F.col("rows").alias("num_records")
     return {
-        "sql_kpi1_revenue_platform": platform.select(
-            "platform", F.col("revenue_total").alias("total_revenue_usd"), F.col("rows").alias("num_records"))
-            .orderBy(F.desc("total_revenue_usd")),
-        "sql_kpi2_revenue_genre": genre.select(
-            "genre", F.col("revenue_total").alias("total_revenue_usd"), F.col("rows").alias("num_records"))
-            .orderBy(F.desc("total_revenue_usd")),
+        "sql_kpi1_revenue_platform": _sorted(
+            platform.select("platform", total, rows), F.desc("total_revenue_usd")),
+        "sql_kpi2_revenue_genre": _sorted(
+            genre.select("genre", total, rows), F.desc("total_revenue_usd")),
         "sql_kpi3_top_genres_ccu": genre.select(
             "genre", _r("ccu_avg", 0).alias("avg_concurrent_players"))
             .orderBy(F.desc("avg_concurrent_players"), F.asc("genre")).limit(TOP_GENRES_LIMIT),
-        "sql_kpi4_avg_ccu_platform": platform.select(
-            "platform", _r("ccu_avg", 0).alias("avg_concurrent_players"),
-            F.col("ccu_max").alias("peak_concurrent_players"))
-            .orderBy(F.desc("avg_concurrent_players")),
-        "sql_kpi5_avg_price_platform": platform.select(
-            "platform", _r("price_avg", 2).alias("avg_price_usd"), _r("price_min", 2).alias("min_price_usd"),
-            _r("price_max", 2).alias("max_price_usd"))
-            .orderBy(F.desc("avg_price_usd")),
-        "sql_kpi6_discount_rate": platform.filter(F.col("sale_rows") > 0).select(
-            "platform", _r("sale_discount_avg", 2).alias("avg_discount_pct"),
-            F.col("sale_rows").alias("games_on_sale"), F.col("sale_revenue_total").alias("revenue_on_sale"))
-            .orderBy(F.desc("avg_discount_pct")),
-        "sql_kpi7_early_vs_full": early.select(
-            release_type("is_early_access").alias("release_type"), _r("revenue_avg", 2).alias("avg_revenue_usd"),
-            F.col("revenue_total").alias("total_revenue_usd"), F.col("rows").alias("num_records"))
-            .orderBy(F.desc("total_revenue_usd")),
-        "sql_kpi8_monthly_trend": month.select(
-            "year_month", F.col("revenue_total").alias("monthly_revenue_usd"), F.col("rows").alias("num_records"),
-            _r("ccu_avg", 0).alias("avg_ccu"))
-            .orderBy(F.asc("year_month")),
+        "sql_kpi4_avg_ccu_platform": _sorted(
+            platform.select("platform", _r("ccu_avg", 0).alias("avg_concurrent_players"),
+                            F.col("ccu_max").alias("peak_concurrent_players")),
+            F.desc("avg_concurrent_players")),
+        "sql_kpi5_avg_price_platform": _sorted(
+            platform.select("platform", _r("price_avg", 2).alias("avg_price_usd"),
+                            _r("price_min", 2).alias("min_price_usd"), _r("price_max", 2).alias("max_price_usd")),
+            F.desc("avg_price_usd")),
+        "sql_kpi6_discount_rate": _sorted(
+            platform.filter(F.col("sale_rows") > 0).select(
+                "platform", _r("sale_discount_avg", 2).alias("avg_discount_pct"),
+                F.col("sale_rows").alias("games_on_sale"), F.col("sale_revenue_total").alias("revenue_on_sale")),
+            F.desc("avg_discount_pct")),
+        "sql_kpi7_early_vs_full": _sorted(
+            early.select(release_type("is_early_access").alias("release_type"),
+                         _r("revenue_avg", 2).alias("avg_revenue_usd"), total, rows),
+            F.desc("total_revenue_usd")),
+        "sql_kpi8_monthly_trend": _sorted(
+            month.select("year_month", F.col("revenue_total").alias("monthly_revenue_usd"), rows,
+                         _r("ccu_avg", 0).alias("avg_ccu")),
+            F.asc("year_month")),
     }
 
 
@@ -115,10 +126,9 @@ def batch_kpis(agg: DataFrame) -> dict[str, DataFrame]:
 def all_kpis(clean: DataFrame, materialize: bool = False) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(DataFrame-form KPIs, SQL-form KPIs) from one aggregation of ``clean``.
 
-    ``materialize=True`` runs the aggregation now and checkpoints its result.
+    ``materialize=True`` runs the aggregation now and stores its result.
     """
     agg = kpi_pass(clean)
     if materialize:
-        ensure_checkpoint_dir(agg.sparkSession)
-        agg = agg.checkpoint(eager=True)
+        agg = materialize_table(agg, "kpi-pass")
     return batch_kpis(agg), sql_kpis(agg)
