@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> int:
         data = revenue_model.training_set(read_curated(spark, args.curated))
         trained = revenue_model.train(data, parallelism=args.parallelism)
         scored = trained.model.transform(trained.test)
-        revenue_model.metrics(spark, scored).show(truncate=False)
+        revenue_model.metrics(scored).show(truncate=False)
         revenue_model.coefficients(spark, trained.model).show(truncate=False)
         revenue_model.save_model(trained.model, args.model)
         revenue_model.predictions(trained.model, trained.test).show(10, truncate=False)

@@ -90,11 +90,17 @@ def predictions(model: PipelineModel, df: DataFrame, label: str = ML_LABEL) -> D
     return model.transform(df).select(label, ML_PREDICTION)
 
 
-def metrics(spark: SparkSession, scored: DataFrame) -> DataFrame:
-    """RMSE and R² of scored rows, as a one-row table."""
-    rmse = evaluator("rmse").evaluate(scored)
-    r2 = evaluator("r2").evaluate(scored)
-    return spark.createDataFrame([(float(rmse), float(r2))], "rmse double, r2 double")
+def metrics(scored: DataFrame, label: str = ML_LABEL) -> DataFrame:
+    """RMSE and R² of scored rows, as a one-row table from one distributed aggregation.
+
+    R² = 1 − SS_res / SS_tot with SS_tot = n·var_pop(label), the definition
+    ``RegressionEvaluator`` uses (no weights).
+    """
+    err = F.col(label) - F.col(ML_PREDICTION)
+    n = F.count(F.lit(1))
+    ss_res = F.sum(err * err)
+    ss_tot = F.var_pop(F.col(label)) * n
+    return scored.agg(F.sqrt(ss_res / n).alias("rmse"), (F.lit(1.0) - ss_res / ss_tot).alias("r2"))
 
 
 def coefficients(spark: SparkSession, model: PipelineModel, features: list[str] = ML_FEATURES) -> DataFrame:

@@ -158,7 +158,7 @@ def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = _trained(spark, sf_dir)
-    return revenue_model.metrics(spark, trained.model.transform(trained.test))
+    return revenue_model.metrics(trained.model.transform(trained.test))
 
 
 def ml_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:

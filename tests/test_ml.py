@@ -52,8 +52,10 @@ def test_cross_validated_fit_save_load(spark, data, tmp_dir):
     assert trained.train.count() + trained.test.count() == data.count()
     scored = revenue_model.predictions(trained.model, trained.test)
     assert scored.columns == ["estimated_revenue_usd", "predicted_revenue"]
-    m = revenue_model.metrics(spark, trained.model.transform(trained.test)).first()
-    assert m.rmse > 0 and -1 < m.r2 <= 1
+    scored_full = trained.model.transform(trained.test)
+    m = revenue_model.metrics(scored_full).first()
+    assert m.rmse == pytest.approx(revenue_model.evaluator("rmse").evaluate(scored_full), rel=1e-9)
+    assert m.r2 == pytest.approx(revenue_model.evaluator("r2").evaluate(scored_full), rel=1e-9, abs=1e-12)
     coefs = revenue_model.coefficients(spark, trained.model).collect()
     assert [r.term for r in coefs] == ["concurrent_players", "hype_score", "discount_pc", "intercept"]
     path = os.path.join(tmp_dir, "model")

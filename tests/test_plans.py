@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
@@ -62,3 +63,26 @@ def test_partial_aggregation_before_shuffle(spark, curated_path):
 def test_top_k_is_take_ordered(spark, curated_path):
     df = kpis.kpi3_top_genres_ccu(clean_market(read_curated(spark, curated_path)))
     assert "TakeOrderedAndProject" in formatted(df)
+
+
+def test_one_pass_plan_has_one_scan_and_one_exchange(spark, curated_path):
+    from kpiloom.plans.shared_scan import kpi_pass
+
+    text = formatted(kpi_pass(read_curated(spark, curated_path)))
+    operators = [ln.split(" ", 1)[1].strip() for ln in text.splitlines() if re.match(r"^\(\d+\) ", ln)]
+    assert operators.count("Scan parquet") == 1
+    assert operators.count("Expand") == 1
+    assert operators.count("Exchange") == 1
+    read_schema = [ln for ln in text.splitlines() if "ReadSchema" in ln][0]
+    for unused in ("hype_score", "holiday_sale", "obs_date"):
+        assert unused not in read_schema
+
+
+def test_export_reads_only_the_materialized_aggregate(spark, curated_path):
+    from kpiloom.operators.export import unify_kpis
+    from kpiloom.plans.shared_scan import all_kpis
+
+    batch, _ = all_kpis(read_curated(spark, curated_path), materialize=True)
+    text = formatted(unify_kpis(batch))
+    assert curated_path not in text
+    assert "rangepartitioning" not in text
