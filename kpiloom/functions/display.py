@@ -17,12 +17,13 @@ def _rounded(c: Column, digits: int) -> Column:
 
 
 def millions_text(c: str | Column, digits: int = 1) -> Column:
-    """``$<value / 1e6>M`` with ``digits`` decimals, e.g. ``$12.3M``."""
-    return F.concat(F.lit("$"), F.format_number(_rounded(col_of(c) / 1_000_000, digits), digits), F.lit("M"))
+    """``$<value / 1e6>M`` with ``digits`` decimals and no separators, e.g. ``$12.3M``."""
+    return F.concat(F.lit("$"), _rounded(col_of(c) / 1_000_000, digits).cast("string"), F.lit("M"))
 
 
 def percent_text(c: str | Column, digits: int = 1) -> Column:
-    return F.concat(F.format_number(_rounded(col_of(c), digits), digits), F.lit("%"))
+    """``<value>%`` with ``digits`` decimals, e.g. ``12.3%``."""
+    return F.concat(_rounded(col_of(c), digits).cast("string"), F.lit("%"))
 
 
 def dollars_text(c: str | Column) -> Column:

@@ -175,9 +175,9 @@ SQL_EXPORT_BODY = "\nUNION ALL BY NAME\n".join(
 
 SUMMARY_BODY = f"""
 SELECT s.*,
-       '$' || format('{{:,.1f}}', round(CAST(total_revenue_usd / 1000000 AS DECIMAL(38,6)), 1)) || 'M'
+       '$' || CAST(round(CAST(total_revenue_usd / 1000000 AS DECIMAL(38,6)), 1) AS VARCHAR) || 'M'
          AS total_revenue_text,
-       format('{{:,.1f}}', round(CAST(avg_discount_pct AS DECIMAL(38,6)), 1)) || '%' AS avg_discount_text
+       CAST(round(CAST(avg_discount_pct AS DECIMAL(38,6)), 1) AS VARCHAR) || '%' AS avg_discount_text
 FROM (SELECT (SELECT {money_sum('total_revenue_usd')} FROM kpi1_revenue_platform) AS total_revenue_usd,
              (SELECT arg_max(platform, total_revenue_usd) FROM kpi1_revenue_platform) AS top_platform,
              (SELECT arg_max(genre, total_revenue_usd) FROM kpi2_revenue_genre) AS top_genre,

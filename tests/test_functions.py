@@ -34,5 +34,5 @@ def test_spike_and_release_labels(spark):
 def test_display_text(spark):
     df = spark.createDataFrame([(12_345_678.92, 12.345, 1234.5)], "m double, p double, d double")
     row = df.select(millions_text("m"), percent_text("p"), dollars_text("d"),
-                    millions_text(F.lit(1_250_000.0))).first()
-    assert tuple(row) == ("$12.3M", "12.3%", "$1,234.50", "$1.3M")
+                    millions_text(F.lit(1_250_000.0)), millions_text(F.lit(49_894_548_026.65))).first()
+    assert tuple(row) == ("$12.3M", "12.3%", "$1,234.50", "$1.3M", "$49894.5M")
