@@ -103,4 +103,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known: reading it back needs no footer-inference job.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
