@@ -20,7 +20,7 @@ from kpiloom.ml import revenue_model
 from kpiloom.operators import kpis
 from kpiloom.operators.clean import clean_market
 from kpiloom.operators.export import unify_kpis
-from kpiloom.operators.serving import revenue_share, serving_summary
+from kpiloom.operators.serving import money_display, revenue_share, serving_summary
 from kpiloom.plans.kpis_sql import SQL_KPIS, run_sql_kpi
 from kpiloom.plans.shared_scan import all_kpis
 from kpiloom.session import scratch_path
@@ -49,8 +49,9 @@ def _sql_kpi(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_share_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by genre with its share of the total and a ``$1,234.50`` text column."""
     batch, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
-    return revenue_share(batch["kpi2_revenue_genre"])
+    return money_display(revenue_share(batch["kpi2_revenue_genre"]), ["total_revenue_usd"])
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:

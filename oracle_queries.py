@@ -186,7 +186,8 @@ FROM (SELECT (SELECT {money_sum('total_revenue_usd')} FROM kpi1_revenue_platform
 SHARE_BODY = """
 SELECT genre, total_revenue_usd,
        round(total_revenue_usd / (SELECT CAST(sum(CAST(total_revenue_usd AS DECIMAL(28,2))) AS DOUBLE)
-                                  FROM kpi2_revenue_genre) * 100, 2) AS revenue_share_pct
+                                  FROM kpi2_revenue_genre) * 100, 2) AS revenue_share_pct,
+       '$' || format('{:,.2f}', round(CAST(total_revenue_usd AS DECIMAL(38,6)), 2)) AS total_revenue_usd_text
 FROM kpi2_revenue_genre"""
 
 
