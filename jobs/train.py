@@ -22,12 +22,14 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--curated", required=True)
     parser.add_argument("--model", required=True)
     parser.add_argument("--parallelism", type=int, default=4)
+    parser.add_argument("--no-persist", action="store_true",
+                        help="let CV re-read the materialised training table instead of caching the split")
     args = parser.parse_args(argv)
 
     spark = build_session("kpiloom-train")
     try:
         data = revenue_model.training_set(read_curated(spark, args.curated))
-        trained = revenue_model.train(data, parallelism=args.parallelism)
+        trained = revenue_model.train(data, parallelism=args.parallelism, persist=not args.no_persist)
         scored = trained.model.transform(trained.test)
         revenue_model.metrics(scored).show(truncate=False)
         revenue_model.coefficients(spark, trained.model).show(truncate=False)

@@ -73,16 +73,25 @@ class TrainedModel:
     avg_rmse: list[float]
 
 
-def train(data: DataFrame, checkpoint: bool = True, parallelism: int = 4) -> TrainedModel:
-    """Split 80/20 (seed 42), cross-validate the grid on the 80%, refit the best."""
+def train(data: DataFrame, checkpoint: bool = True, parallelism: int = 4, persist: bool = True) -> TrainedModel:
+    """Split 80/20 (seed 42), cross-validate the grid on the 80%, refit the best.
+
+    CV cuts its folds with ``rand(seed)`` filters over the 80% split and
+    caches one fold's training and validation sets at a time, so with
+    ``persist`` the peak cached volume is about twice the split (memory,
+    spilling to disk); without it each fold re-reads the materialised
+    Parquet table instead.
+    """
     if checkpoint:
         data = materialize(data, "ml-training-set")
     train_df, test_df = data.randomSplit(ML_SPLIT, seed=ML_SEED)
-    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist:
+        train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cv_model = build_cross_validator(build_pipeline(), parallelism).fit(train_df)
     finally:
-        train_df.unpersist()
+        if persist:
+            train_df.unpersist()
     return TrainedModel(cv_model.bestModel, train_df, test_df, list(cv_model.avgMetrics))
 
 
