@@ -76,3 +76,17 @@ def test_memory_sink(spark, tmp_dir):
     q.awaitTermination()
     assert spark.table("alerts_mem").count() == 4
     assert spark.table("alerts_mem").filter(F.col("hype_spike") != 1).count() == 0
+
+
+def test_two_sinks_on_one_stream_and_clean_shutdown(spark, tmp_dir, capsys):
+    from kpiloom.streaming.alerts import await_any
+
+    source = os.path.join(tmp_dir, "in")
+    spark.createDataFrame([(m,) for m in MESSAGES if m], "value string").coalesce(1).write.text(source)
+    alerts = hype_alerts(parse_events(read_event_stream(spark, path=source)))
+    queries = start_alert_queries(alerts, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"),
+                                  console=True, available_now=True)
+    assert len(queries) == 2
+    await_any(spark, queries, finite=True)
+    assert not any(q.isActive for q in queries)
+    assert spark.read.parquet(os.path.join(tmp_dir, "out")).count() == 4
