@@ -60,3 +60,22 @@ def test_batch_job_from_csv(spark, tmp_path):
     assert len(exported) == 1
     text = open(os.path.join(paths["export"], exported[0])).read()
     assert "12345678.92" in text and "E7" not in text
+
+
+def test_serving_job_outputs(spark, tmp_path):
+    from jobs.serve import run_serving
+    from conftest import SF_SMALL
+
+    paths = run_batch(spark, str(tmp_path / "b"), sf_dir=SF_SMALL)
+    out = str(tmp_path / "serve")
+    run_serving(spark, paths["kpis"], out)
+    summary = spark.read.option("header", True).csv(f"{out}/summary").first()
+    assert summary.total_revenue_text.startswith("$") and summary.total_revenue_text.endswith("M")
+    share = spark.read.option("header", True).csv(f"{out}/revenue_share_genre")
+    assert abs(sum(float(r.revenue_share_pct) for r in share.collect()) - 100) < 0.3
+    assert all(r.total_revenue_usd_text.startswith("$") for r in share.collect())
+    charts = sorted(os.listdir(f"{out}/charts"))
+    assert len(charts) == 8
+    totals = [float(r.total_revenue_usd) for r in
+              spark.read.option("header", True).csv(f"{out}/charts/kpi1_revenue_platform").collect()]
+    assert totals == sorted(totals)
