@@ -111,3 +111,26 @@ def test_batch_and_sql_kpis_agree(clean, spark):
         batch = rows(kpis.KPIS[name](clean).select(*cols))
         sql = rows(run_sql_kpi(spark, sql_name, clean).select(*cols))
         assert batch == sql, name
+
+
+def test_empty_input_gives_empty_kpis_and_null_summary(spark, clean):
+    from kpiloom.operators.export import unify_kpis
+    from kpiloom.operators.serving import serving_summary
+    from kpiloom.plans.shared_scan import all_kpis
+
+    empty = clean.filter("estimated_revenue_usd < 0")
+    batch, sql = all_kpis(empty)
+    assert all(df.count() == 0 for df in (*batch.values(), *sql.values()))
+    assert unify_kpis(batch).count() == 0
+    row = serving_summary(batch["kpi1_revenue_platform"], batch["kpi2_revenue_genre"],
+                          batch["kpi6_discount_rate"]).collect()
+    assert len(row) == 1 and row[0].total_revenue_usd is None and row[0].top_platform is None
+
+
+def test_short_and_long_csv_rows(spark, tmp_path):
+    text = CSV.splitlines()[0] + "\n" + "2024-01-05,PC,RPG,10.50\n" + "2024-01-05,PC,RPG,1,0,0,5,1,9.99,0,0,extra\n"
+    path = tmp_path / "ragged.csv"
+    path.write_text(text)
+    rows = clean_market(read_market_csv(spark, str(path))).collect()
+    # The short row has no revenue and is dropped; the long row keeps its first eleven fields.
+    assert [(r.platform, r.estimated_revenue_usd, r.concurrent_players) for r in rows] == [("PC", 9.99, 5)]
