@@ -79,3 +79,17 @@ def test_serving_job_outputs(spark, tmp_path):
     totals = [float(r.total_revenue_usd) for r in
               spark.read.option("header", True).csv(f"{out}/charts/kpi1_revenue_platform").collect()]
     assert totals == sorted(totals)
+
+
+def test_sql_kpi_job_over_curated_folder(spark, tmp_path):
+    from jobs.sql_kpis import run_sql_kpis
+    from conftest import SF_SMALL
+    from kpiloom.plans.kpis_sql import SQL_KPIS
+
+    paths = run_batch(spark, str(tmp_path / "b"), sf_dir=SF_SMALL)
+    written = run_sql_kpis(spark, paths["curated"], str(tmp_path / "sql"))
+    assert sorted(written) == sorted(SQL_KPIS)
+    for name in SQL_KPIS:
+        a = sorted(tuple(r) for r in spark.read.parquet(written[name]).collect())
+        b = sorted(tuple(r) for r in spark.read.parquet(f"{paths['kpis_sql']}/{name}").collect())
+        assert a == b, name
