@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.derive import release_type
-from kpiloom.functions.money import money, money_sum
+from kpiloom.functions.money import money_sum
 from kpiloom.schemas import TOP_GENRES_LIMIT
 from kpiloom.session import materialize as materialize_table
 
@@ -48,7 +48,7 @@ def kpi_pass(clean: DataFrame) -> DataFrame:
                  F.max("current_price_usd").alias("price_max"),
                  F.avg(F.when(on_sale, F.col("discount_pc"))).alias("sale_discount_avg"),
                  F.count(F.when(on_sale, F.lit(1))).alias("sale_rows"),
-                 money_sum(F.when(on_sale, money(REVENUE))).alias("sale_revenue_total")))
+                 money_sum(F.when(on_sale, F.col(REVENUE))).alias("sale_revenue_total")))
 
 
 def by(agg: DataFrame, key: str) -> DataFrame:
