@@ -9,13 +9,12 @@ KPI table (DataFrame and SQL form) is then a filter + projection of that one
 aggregate, which has one row per key value (tens of rows).
 
 When several KPI tables are consumed together (the unified export, the
-summary, the batch job) the aggregate is materialised once as a Parquet
-table in the shared checkpoint folder: it is tiny, every consumer then
-reads the same files, and a lost executor cannot force the pass over the
-curated rows to run again. (An RDD ``checkpoint()`` of an unpersisted
-DataFrame would run the pass twice: once for the action, once to write.) (Without it, column pruning narrows
-each consumer's copy of the aggregate differently and Spark recomputes it
-per consumer.)
+summary, the share, the batch job) the aggregate is materialised once as a
+Parquet table in the shared checkpoint folder: it is tiny, every consumer
+then reads the same files, and a lost executor cannot force the pass over
+the curated rows to run again. Without it, column pruning narrows each
+consumer's copy of the aggregate differently and Spark would run the pass
+once per consumer.
 """
 
 from __future__ import annotations
