@@ -62,11 +62,13 @@ def _r(c: str, digits: int) -> Column:
 def _sorted(df: DataFrame, *order: Column) -> DataFrame:
     """Globally sorted KPI table (one row per key value) in a single partition.
 
-    A range-partitioned ``orderBy`` runs a sampling job and a shuffle per
-    table; for tens of rows one task sorting them is cheaper, and a single
-    partition is what the single-file KPI writes want anyway.
+    A range-partitioned ``orderBy`` runs a sampling job per table; for tens
+    of rows one task sorting them is cheaper, and a single partition is what
+    the single-file KPI writes want anyway. ``repartition(1)`` (not
+    ``coalesce(1)``) moves only the result rows, so the aggregation feeding
+    it keeps all its tasks.
     """
-    return df.coalesce(1).sortWithinPartitions(*order)
+    return df.repartition(1).sortWithinPartitions(*order)
 
 
 def sql_kpis(agg: DataFrame) -> dict[str, DataFrame]:
