@@ -30,7 +30,7 @@ from kpiloom.sources import kpi_store, market, testdata  # noqa: E402
 
 
 def run_batch(spark: SparkSession, out_base: str, sf_dir: str | None = None,
-              input_csv: str | None = None, preview: int = 0) -> dict[str, str]:
+              input_csv: str | None = None, preview: int = 0) -> dict[str, str | int]:
     out_base = out_base.rstrip("/")
     raw = market.read_market_csv(spark, input_csv) if input_csv else testdata.market_raw(spark, sf_dir)
     # The row count is observed while the curated table is written: no extra pass.
@@ -38,8 +38,9 @@ def run_batch(spark: SparkSession, out_base: str, sf_dir: str | None = None,
     clean = clean_market(raw).observe(observed, F.count(F.lit(1)).alias("rows"))
     curated_path = f"{out_base}/curated"
     writers.write_curated(clean, curated_path)
+    clean_rows = observed.get["rows"]
     if preview:
-        print(f"clean rows: {observed.get['rows']:,}")
+        print(f"clean rows: {clean_rows:,}")
 
     curated = market.read_curated(spark, curated_path)
     batch, sql = all_kpis(curated, materialize=True)
@@ -55,7 +56,7 @@ def run_batch(spark: SparkSession, out_base: str, sf_dir: str | None = None,
         export.printSchema()
     writers.write_csv_single(export, f"{out_base}/export")
     return {"curated": curated_path, "kpis": f"{out_base}/kpis", "kpis_sql": f"{out_base}/kpis_sql",
-            "export": f"{out_base}/export"}
+            "export": f"{out_base}/export", "clean_rows": clean_rows}
 
 
 def main(argv: list[str] | None = None) -> int:

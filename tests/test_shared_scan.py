@@ -52,7 +52,7 @@ def test_batch_job_outputs(spark, tmp_dir):
     assert sorted(os.listdir(paths["kpis"])) == sorted(kpis.KPIS)
     assert sorted(os.listdir(paths["kpis_sql"])) == sorted(SQL_KPIS)
     curated = spark.read.parquet(paths["curated"])
-    assert curated.count() == 5751
+    assert curated.count() == paths["clean_rows"] == 5751
     assert curated.columns[-1] == "platform"
     export = spark.read.option("header", True).csv(paths["export"])
     assert export.select("kpi_name").distinct().count() == 8
