@@ -32,3 +32,20 @@ def test_export_cli_fails_when_no_kpi_is_readable(tmp_path):
     done = run("jobs/export.py", "--kpis", str(tmp_path / "nothing"), "--out", str(tmp_path / "out"))
     assert done.returncode == 1
     assert "none of the KPI tables could be read" in done.stderr
+
+
+def test_stream_cli_restart_resumes_from_stable_checkpoint(tmp_path):
+    import pyarrow.parquet as pq
+
+    msgs, out = str(tmp_path / "msgs"), str(tmp_path / "alerts")
+    assert run("jobs/publish.py", "--tables", SF_SMALL, "--out", msgs).returncode == 0
+
+    def alerts() -> int:
+        return sum(pq.read_metadata(os.path.join(out, f)).num_rows for f in os.listdir(out) if f.endswith(".parquet"))
+
+    first = run("jobs/stream.py", "--input", msgs, "--out", out, "--available-now")
+    assert first.returncode == 0, first.stderr[-2000:]
+    assert alerts() == 40
+    second = run("jobs/stream.py", "--input", msgs, "--out", out, "--available-now")
+    assert second.returncode == 0, second.stderr[-2000:]
+    assert alerts() == 40
