@@ -6,6 +6,8 @@ import os
 import subprocess
 import sys
 
+import pytest
+
 from conftest import ROOT, SF_SMALL
 
 ENV = {**os.environ,
@@ -17,10 +19,15 @@ def run(*args: str) -> subprocess.CompletedProcess:
     return subprocess.run([sys.executable, *args], cwd=ROOT, env=ENV, capture_output=True, text=True, timeout=600)
 
 
-def test_batch_then_export_cli(tmp_path):
-    base = str(tmp_path / "b")
-    done = run("jobs/batch.py", "--tables", SF_SMALL, "--out", base, "--preview", "0")
+@pytest.fixture(scope="module")
+def base(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("cli") / "b")
+    done = run("jobs/batch.py", "--tables", SF_SMALL, "--out", folder, "--preview", "0")
     assert done.returncode == 0, done.stderr[-2000:]
+    return folder
+
+
+def test_batch_then_export_cli(base, tmp_path):
     assert len(os.listdir(f"{base}/kpis")) == 8 and len(os.listdir(f"{base}/kpis_sql")) == 8
     out = str(tmp_path / "export")
     done = run("jobs/export.py", "--kpis", f"{base}/kpis", "--out", out)
@@ -49,3 +56,16 @@ def test_stream_cli_restart_resumes_from_stable_checkpoint(tmp_path):
     second = run("jobs/stream.py", "--input", msgs, "--out", out, "--available-now")
     assert second.returncode == 0, second.stderr[-2000:]
     assert alerts() == 40
+
+
+def test_serve_train_and_sql_kpi_clis(base, tmp_path):
+    serve = run("jobs/serve.py", "--kpis", f"{base}/kpis", "--out", str(tmp_path / "serve"))
+    assert serve.returncode == 0, serve.stderr[-2000:]
+    assert sorted(os.listdir(tmp_path / "serve")) == ["charts", "revenue_share_genre", "summary"]
+    sql = run("jobs/sql_kpis.py", "--curated", f"{base}/curated", "--out", str(tmp_path / "sql"), "--show", "0")
+    assert sql.returncode == 0, sql.stderr[-2000:]
+    assert len(os.listdir(tmp_path / "sql")) == 8
+    train = run("jobs/train.py", "--curated", f"{base}/curated", "--model", str(tmp_path / "model"))
+    assert train.returncode == 0, train.stderr[-2000:]
+    assert "rmse" in train.stdout and "intercept" in train.stdout
+    assert os.path.isdir(tmp_path / "model" / "stages")
