@@ -34,3 +34,23 @@ def test_cleaning_is_idempotent(spark):
     twice = clean_market(once.drop("year_month"))
     assert once.count() == twice.count() == 5751
     assert once.exceptAll(twice).count() == 0
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(min_value=1, max_value=999_999),
+                               st.integers(min_value=0, max_value=9_000), st.sampled_from([0, 1])),
+                     min_size=1, max_size=40))
+def test_sale_price_matches_decimal_half_up(spark, rows):
+    from decimal import ROUND_HALF_UP
+
+    from kpiloom.functions.derive import sale_price
+
+    data = [(c / 100, d / 100, s) for c, d, s in rows]
+    df = spark.createDataFrame(data, "base double, disc double, on_sale int")
+    got = [r[0] for r in df.select(sale_price("base", "disc", "on_sale")).collect()]
+    want = []
+    for c, d, s in rows:
+        base = Decimal(c) / 100
+        price = base * (1 - Decimal(d) / 10000) if s == 1 else base
+        want.append(float(price.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)))
+    assert got == want
