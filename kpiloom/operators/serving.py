@@ -19,7 +19,8 @@ def revenue_share(kpi: DataFrame, value: str = "total_revenue_usd",
     (read from the store, or checkpointed): the subquery re-reads its input.
     """
     total = kpi.select(F.sum(F.col(value).cast("decimal(28,2)")).cast("double")).scalar()
-    return kpi.withColumn(out, F.round(F.col(value) / total * 100, 2))
+    # try_divide: a zero total (no revenue at all) gives NULL instead of failing under ANSI mode.
+    return kpi.withColumn(out, F.round(F.try_divide(F.col(value), total) * 100, 2))
 
 
 def serving_summary(kpi1: DataFrame, kpi2: DataFrame, kpi6: DataFrame) -> DataFrame:

@@ -54,3 +54,20 @@ def test_sale_price_matches_decimal_half_up(spark, rows):
         price = base * (1 - Decimal(d) / 10000) if s == 1 else base
         want.append(float(price.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)))
     assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(min_value=0, max_value=500_000),
+                               st.integers(min_value=0, max_value=9_999)), min_size=1, max_size=40))
+def test_revenue_estimate_matches_decimal_half_up(spark, rows):
+    from decimal import ROUND_HALF_UP
+
+    from kpiloom.functions.derive import revenue_estimate
+
+    df = spark.createDataFrame([(p, c / 100) for p, c in rows], "players int, price double")
+    got = [r[0] for r in df.select(revenue_estimate("players", "price", 0.15, 100.0)).collect()]
+    want = []
+    for p, c in rows:
+        est = (Decimal(p) * Decimal(c) / 100 * Decimal("0.15")).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        want.append(100.0 if est <= 0 else float(est))
+    assert got == want
