@@ -29,8 +29,14 @@ def typed_column(df: DataFrame, name: str, target: DataType, date_format: str |
 
 
 def with_types(df: DataFrame, types: dict[str, DataType], formats: dict[str, str] | None = None) -> DataFrame:
-    """One projection converting every listed column present in ``df``; others are kept."""
+    """One projection converting every listed column present in ``df``; others are kept.
+
+    When every listed column already has its type, ``df`` is returned as is.
+    """
     formats = formats or {}
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    if all(fields[c] == t for c, t in types.items() if c in fields):
+        return df
     return df.select(*[
         typed_column(df, c, types[c], formats.get(c)) if c in types else F.col(c)
         for c in df.columns
