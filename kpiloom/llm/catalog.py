@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import minhash, mixing, warc
+from kpiloom.llm import minhash, mixing, pieces, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
     "op2_warc": warc.query,
     "op4_minhash": minhash.query,
+    "op8_sentencepiece": pieces.query,
+    "op9_toxicity": toxicity.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,

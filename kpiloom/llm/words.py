@@ -60,9 +60,9 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words of the texts, and where each text's words begin."""
-    space = _SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of the texts, and where each text's words begin. between: the bytes that are in no word."""
+    space = between[data]
     inner = ~space
     first, last = inner.copy(), inner.copy()
     first[1:] &= space[:-1]
@@ -72,7 +72,13 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     first[cuts] = inner[cuts]
     last[cuts - 1] = inner[cuts - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return span_hashes(running(data), starts, ends), np.searchsorted(starts, offsets)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of the texts, and where each text's words begin."""
+    starts, ends, begin = word_spans(data, offsets)
+    return span_hashes(running(data), starts, ends), begin
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
