@@ -5,13 +5,14 @@ other. Three transducers rewrite a clause's classes from left to right: one
 marks what a negation covers, one marks what is reported speech, one marks
 insults and threats that are aimed at a target, before or after it. A fourth
 gives every marked class a factor. They are composed once into one table, and
-a clause scores the sum of factor times word weight along its path. Clauses
-without an insult or threat are never run.
+along a clause's path every insult or threat contributes factor times weight.
+Clauses without one are never run; a word that a text repeats contributes once.
 
 Insults come from a short seed list and from labelled rows: words and word
-beginnings whose log-odds of toxic against clean rows are high. A logistic
-curve over the clause scores, fitted on labelled rows that the words were not
-learnt from, gives the score. Both fits see at most ``TOXIC_ROWS`` and
+beginnings whose log-odds of toxic against clean rows are high even at the
+lower end of their error. A logistic curve over the clauses' sum, their
+largest score, both by length, gives the score; it is fitted on rows whose
+fold the words were not learnt from. Both fits see at most ``TOXIC_ROWS`` and
 ``CLEAN_ROWS`` labelled rows, by the order of a hash of doc_id; the words are
 at most ``LEXICON``. Held-out rows (crc32(doc_id) mod 3 = 1) are in no fit.
 
@@ -37,8 +38,10 @@ from kpiloom.llm.common import in_arrow, table, utf8_parts, written
 from kpiloom.llm.words import running, span_hashes, word_spans
 
 TOXIC_ROWS, CLEAN_ROWS = 4000, 8000
-LEXICON = 4000
-LEAST_ODDS = 2.5
+LEXICON = 20_000
+LEAST_ODDS = 1.5
+FOLDS = 3
+RIDGE = 0.05
 PREFIXES = (4, 5, 6)  # bytes of word beginnings
 THRESHOLD = 0.7
 # --- Fixed values: seed words by class (English, German, French, Spanish) ---
@@ -77,7 +80,7 @@ def negation() -> Transducer:
 
 def reported() -> Transducer:
     rules: Transducer = {(0, "report"): (1, "other"), (1, "report"): (1, "other"), (1, "end"): (0, "end")}
-    return rules | {(1, f"{no}{one}"): (1, f"said-{one}") for no in ("", "not-") for one in ("insult", "threat")}
+    return rules | {(1, f"{no}{one}"): (1, f"said-{no}{one}") for no in ("", "not-") for one in ("insult", "threat")}
 
 
 def aimed() -> Transducer:
@@ -89,7 +92,8 @@ def aimed() -> Transducer:
     return rules | {(state, "end"): ("", "end") for state in ("target", "attack", "both")}
 
 
-FACTORS = {"insult": 1.0, "threat": 1.0, "aimed-insult": 1.5, "aimed-threat": 2.0, "not-insult": 0.2, "not-threat": 0.2, "said-insult": 0.5, "said-threat": 0.5}
+FACTORS = {"insult": 1.0, "threat": 1.0, "aimed-insult": 1.5, "aimed-threat": 2.0, "not-insult": 0.2, "not-threat": 0.2, "said-insult": 0.5, "said-threat": 0.5,
+           "said-not-insult": 0.1, "said-not-threat": 0.1}
 LATE_TARGET = 1.0  # added when a target follows what is aimed at it
 
 
@@ -119,13 +123,16 @@ _FACTOR = [[FACTORS.get(x, 0.0) for x in row] for row in _OUTPUT]
 _BONUS = [[LATE_TARGET if x == "late-target" else 0.0 for x in row] for row in _OUTPUT]
 
 
-def clause_score(classes: list[int], weights: list[float]) -> float:
-    """The path weight of one clause."""
-    state, total = 0, 0.0
-    for one, weight in zip(classes, weights, strict=True):
-        total += _FACTOR[state][one] * weight + _BONUS[state][one]
+def contributions(classes: list[int], weights: list[float]) -> list[float]:
+    """What each word of a clause contributes on the clause's path."""
+    state, out, last = 0, [], 0
+    for at, (one, weight) in enumerate(zip(classes, weights, strict=True)):
+        out.append(_FACTOR[state][one] * weight)
+        if out[-1]:
+            last = at
+        out[last] += _BONUS[state][one]
         state = _NEXT[state][one]
-    return total
+    return out
 
 
 @dataclass
@@ -135,7 +142,7 @@ class Grammar:
     words: np.ndarray
     classes: np.ndarray
     weights: np.ndarray
-    curve: list[float] = field(default_factory=lambda: [-4.0, 1.5, 0.2, 0.5])
+    curve: list[float] = field(default_factory=lambda: [-4.0, 0.6, 0.6, 0.5, 0.0])
 
     def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
@@ -143,32 +150,40 @@ class Grammar:
         return np.where(found, self.classes[at], 0), np.where(found, self.weights[at], 0.0)
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """Of each text: the logarithm of its clauses' sum, their largest score and their number by length."""
-        out = np.zeros((len(column), 3))
+        """Of each text: the sum of what its words contribute, the largest clause, the sum by length, the length."""
+        out = np.zeros((len(column), 4))
         for row, _, data, offsets in utf8_parts(column):
             starts, ends, begin = word_spans(data, offsets, _BETWEEN)
             sums = running(data)
-            kind, weight = self.of(span_hashes(sums, starts, ends))
+            hashes = span_hashes(sums, starts, ends)
+            kind, weight = self.of(hashes)
             for k in PREFIXES:
                 long = np.flatnonzero((ends - starts > k) & ((kind == 0) | (kind == 1)))
                 more, heavy = self.of(beginnings(sums, starts[long], k))
                 better = more.astype(bool) & (heavy > weight[long])
                 kind[long[better]], weight[long[better]] = more[better], heavy[better]
+            out[row:row + len(offsets) - 1, 3] = np.log1p(np.diff(begin))
             hits = np.flatnonzero((kind == 1) | (kind == 2))
-            if not len(hits):
-                continue
-            stops = np.cumsum(_STOP[data])
-            clause = stops[starts]
+            clause = np.cumsum(_STOP[data])[starts] if len(hits) else starts
             text = np.searchsorted(begin, hits, "right") - 1
-            scores: dict[int, list[float]] = defaultdict(list)
-            seen: set[tuple[int, int]] = set()
+            best: dict[int, dict[int, float]] = defaultdict(dict)
+            largest: dict[int, float] = defaultdict(float)
+            done = (-1, -1)
             for i, t in zip(hits.tolist(), text.tolist(), strict=True):
-                if (key := (t, int(clause[i]))) not in seen:
-                    seen.add(key)
-                    a, b = max(int(np.searchsorted(clause, clause[i])), int(begin[t])), min(int(np.searchsorted(clause, clause[i], "right")), int(begin[t + 1]))
-                    scores[t].append(clause_score(kind[a:b].tolist(), weight[a:b].tolist()))
-            for t, got in scores.items():
-                out[row + t] = np.log1p(sum(got)), max(got), len(got) / np.sqrt(max(begin[t + 1] - begin[t], 1))
+                if done == (t, clause[i]):
+                    continue
+                done = (t, clause[i])
+                a, b = max(int(np.searchsorted(clause, clause[i])), int(begin[t])), min(int(np.searchsorted(clause, clause[i], "right")), int(begin[t + 1]))
+                words: dict[int, float] = {}
+                for word, value in zip(hashes[a:b].tolist(), contributions(kind[a:b].tolist(), weight[a:b].tolist()), strict=True):
+                    if value > words.get(word, 0):
+                        words[word] = value
+                largest[t] = max(largest[t], sum(words.values()))
+                for word, value in words.items():
+                    best[t][word] = max(value, best[t].get(word, 0.0))
+            for t, words in best.items():
+                total = sum(words.values())
+                out[row + t, :3] = total, largest[t], total / np.sqrt(20 + begin[t + 1] - begin[t])
         return out
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -194,20 +209,20 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic, fold (0: words, 1: curve) of a bounded number of labelled rows that are not held out."""
+    """text, toxic, fold of a bounded number of labelled rows that are not held out."""
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("id"))
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).withColumn("place", F.xxhash64(F.lit("toxicity"), "id"))
     chosen = known.where("toxic = 1").orderBy("place", "id").limit(TOXIC_ROWS).union(known.where("toxic = 0").orderBy("place", "id").limit(CLEAN_ROWS))
-    chosen = chosen.withColumn("fold", F.when(F.pmod("place", F.lit(3)) == 2, 1).otherwise(0))
+    chosen = chosen.withColumn("fold", F.pmod("place", F.lit(FOLDS)).cast("int"))
     # At most TOXIC_ROWS + CLEAN_ROWS rows of three numbers.
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["id"]).select("text", "toxic", "fold")
+    return docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen), "id").select("text", "toxic", "fold")
 
 
-def learnt(rows: DataFrame) -> dict[int, float]:
-    """Hashes of at most LEXICON words and beginnings with their log-odds."""
+def counted(rows: DataFrame) -> np.ndarray:
+    """Of at most LEXICON word and beginning hashes: toxic rows and rows by fold. rows: text, toxic, fold."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        toxic, found = batch.column("toxic").to_numpy(), []
+        toxic, fold, found = batch.column("toxic").to_numpy(), batch.column("fold").to_numpy(), []
         for row, _, data, offsets in utf8_parts(batch.column("text")):
             starts, ends, begin = word_spans(data, offsets, _BETWEEN)
             sums = running(data)
@@ -217,38 +232,63 @@ def learnt(rows: DataFrame) -> dict[int, float]:
                 hashes.append(beginnings(sums, starts[long], k))
                 of.append(long)
             texts = row + np.searchsorted(begin, np.concatenate(of), "right") - 1
-            pairs = np.unique(np.stack([np.concatenate(hashes), texts.astype(np.uint64)]), axis=1)
-            found.append(pairs)
+            found.append(np.unique(np.stack([np.concatenate(hashes), texts.astype(np.uint64)]), axis=1))
         pairs = np.concatenate(found, axis=1)
         word, at = np.unique(pairs[0], return_inverse=True)
-        positive = np.bincount(at, toxic[pairs[1].astype(np.int64)], len(word)).astype(np.int64)
-        return pa.record_batch({"word": pa.array(word.view(np.int64)), "toxic": pa.array(positive), "rows": pa.array(np.bincount(at, minlength=len(word)).astype(np.int64))})
-
-    totals = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
-    n, positive = totals[0] or 0, totals[1] or 0
-    if not positive or positive == n:
+        text = pairs[1].astype(np.int64)
+        out = {"word": pa.array(word.view(np.int64))}
+        for k in range(FOLDS):
+            mine = fold[text] == k
+            out[f"toxic{k}"] = pa.array(np.bincount(at[mine], toxic[text[mine]], len(word)).astype(np.int64))
+            out[f"rows{k}"] = pa.array(np.bincount(at[mine], minlength=len(word)).astype(np.int64))
+        return pa.record_batch(out)
+
+    names = [f"{what}{k}" for k in range(FOLDS) for what in ("toxic", "rows")]
+    counts = in_arrow(rows, each, "word long, " + ", ".join(f"{n} long" for n in names)).groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
+    toxic, all_rows = (sum(F.col(f"{what}{k}") for k in range(FOLDS)) for what in ("toxic", "rows"))
+    best = counts.where(toxic >= 2).orderBy(F.desc(toxic / F.sqrt(all_rows - toxic + 1)), "word").limit(LEXICON)
+    got = best.select("word", *names).collect()  # at most LEXICON rows of a few numbers
+    return np.array([tuple(r) for r in got], np.int64).reshape(-1, 1 + len(names))
+
+
+def weighted(counts: np.ndarray, totals: np.ndarray, folds: list[int]) -> dict[int, float]:
+    """Words with the lower end of their log-odds, counted over some folds. totals: toxic rows and rows by fold."""
+    (toxic, rows), (positive, n) = ((counts[:, 1 + np.array(folds) * 2 + k].sum(axis=1) for k in (0, 1)), totals[folds].sum(axis=0))
+    if not len(counts) or not positive or positive == n:
         return {}
-    counts = in_arrow(rows.select("text", "toxic"), each, "word long, toxic long, rows long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows"))
-    odds = F.log((F.col("toxic") + 0.5) / (positive + 1)) - F.log((F.col("rows") - F.col("toxic") + 0.5) / (n - positive + 1))
-    best = (counts.where(F.col("toxic") >= max(2, positive // 100)).withColumn("odds", F.least(odds, F.lit(6.0))).where(F.col("odds") >= LEAST_ODDS)
-            .orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "word").limit(LEXICON))
-    return {int(np.int64(r.word).view(np.uint64)): r.odds for r in best.select("word", "odds").collect()}
+    clean = rows - toxic
+    odds = np.log((toxic + 0.5) / (positive + 1)) - np.log((clean + 0.5) / (n - positive + 1))
+    odds = np.minimum(odds, 6.0) - np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+    good = (odds >= LEAST_ODDS) & (toxic >= max(2, positive // 100))
+    return dict(zip(counts[good, 0].view(np.uint64).tolist(), odds[good].tolist(), strict=True))
+
+
+def made(words: dict[int, float]) -> Grammar:
+    known = seeds()
+    for word, odds in words.items():
+        kind, weight = known.get(word, (1, 0.0))
+        if kind in (1, 2):
+            known[word] = (kind, max(weight, odds))
+    order = sorted(known)
+    return Grammar(np.array(order, np.uint64), np.array([known[w][0] for w in order]), np.array([known[w][1] for w in order]))
 
 
 def fitted(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Logistic regression by iteratively reweighted least squares, with a small ridge on the slopes; slopes are not negative."""
-    design, ridge = np.column_stack([np.ones(len(x)), x]), np.diag([1e-3] + [0.5] * x.shape[1])
+    """Logistic regression by iteratively reweighted least squares, with a small ridge on the slopes; the rarer
+    kind weighs more, by the root of the ratio; only the last one may be negative."""
+    design, ridge = np.column_stack([np.ones(len(x)), x]), np.diag([1e-3] + [RIDGE] * x.shape[1])
+    mass = np.where(y == 1, np.sqrt((1 - y.mean()) / y.mean()), 1.0)
     free = list(range(design.shape[1]))
     while True:
         beta = np.zeros(design.shape[1])
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
             part = design[:, free]
-            step = np.linalg.solve((part * (p * (1 - p))[:, None]).T @ part + ridge[np.ix_(free, free)], part.T @ (y - p) - ridge[np.ix_(free, free)] @ beta[free])
+            step = np.linalg.solve((part * (mass * p * (1 - p))[:, None]).T @ part + ridge[np.ix_(free, free)], part.T @ (mass * (y - p)) - ridge[np.ix_(free, free)] @ beta[free])
             beta[free] += step
             if np.abs(step).max() < 1e-8:
                 break
-        below = [k for k in free if k and beta[k] < 0]
+        below = [k for k in free if 0 < k < design.shape[1] - 1 and beta[k] < 0]
         if not below:
             return beta.tolist()
         free.remove(min(below, key=lambda k: beta[k]))
@@ -256,20 +296,23 @@ def fitted(x: np.ndarray, y: np.ndarray) -> list[float]:
 
 def grammar(docs: DataFrame, labels: DataFrame) -> Grammar:
     rows = written(training_rows(docs, labels), "toxicity-rows")
-    known = seeds()
-    for word, odds in learnt(rows.where("fold = 0").select("text", "toxic")).items():
-        kind, weight = known.get(word, (1, 0.0))
-        if kind in (1, 2):
-            known[word] = (kind, max(weight, odds))
-    order = sorted(known)
-    out = Grammar(np.array(order, np.uint64), np.array([known[w][0] for w in order]), np.array([known[w][1] for w in order]))
+    totals = np.zeros((FOLDS, 2), np.int64)
+    for r in rows.groupBy("fold").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).collect():
+        totals[r.fold] = r.toxic, r.n
+    counts = counted(rows)
+    parts = [made(weighted(counts, totals, [k for k in range(FOLDS) if k != fold])) for fold in range(FOLDS)]
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.record_batch({"x": pa.array(out.features(batch.column("text")).tolist(), pa.list_(pa.float64())), "y": batch.column("toxic")})
+        fold = batch.column("fold").to_numpy()
+        x = np.zeros((batch.num_rows, 4))
+        for k, part in enumerate(parts):
+            x[fold == k] = part.features(batch.column("text").filter(pa.array(fold == k)))
+        return pa.record_batch({"x": pa.array(x.tolist(), pa.list_(pa.float64())), "y": batch.column("toxic")})
 
-    got = in_arrow(rows.where("fold = 1").select("text", "toxic"), each, "x array<double>, y int").collect()  # at most TOXIC_ROWS + CLEAN_ROWS rows
+    got = in_arrow(rows, each, "x array<double>, y int").collect()  # at most TOXIC_ROWS + CLEAN_ROWS rows
     got.sort(key=lambda r: (r.y, r.x))
     x, y = np.array([r.x for r in got]), np.array([r.y for r in got], float)
+    out = made(weighted(counts, totals, list(range(FOLDS))))
     if len(set(y)) == 2:
         out.curve = fitted(x, y)
     return out
