@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from kpiloom.llm import lines
+from tests.llm.conftest import documents, prose
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def changed(rng, text, edits, letters="aeé "):
+    out = list(text)
+    for _ in range(edits):
+        i, kind = rng.randrange(len(out)) if out else 0, rng.randrange(3) if out else 0
+        if kind == 0:
+            out.insert(i, rng.choice(letters))
+        elif kind == 1:
+            del out[i]
+        else:
+            out[i] = rng.choice(letters)
+    return "".join(out)
+
+
+def test_the_band_against_the_whole_table():
+    rng = random.Random(3)
+    for _ in range(4000):
+        a = "".join(rng.choice("abc") for _ in range(rng.randint(0, 16)))
+        b = changed(rng, a + "a", rng.randint(0, 5), "abc")
+        for edits in range(5):
+            assert lines.within(a, b, edits) == (distance(a, b) <= edits)
+
+
+def brute(rows, edits, least):
+    """rows: (doc_id, text). The expected result by comparing all pairs of distinct lines."""
+    occ = [(d, n, s.strip(), t) for d, t in rows for n, s, t in ((n, s, t or "") for n, s in enumerate((t or "").split("\n"))) if s.strip()]
+    texts = sorted({o[2] for o in occ})
+    first = {x: min((o[0], o[1]) for o in occ if o[2] == x) for x in texts}
+    parent, links = {x: x for x in texts}, dict.fromkeys(texts, 0)
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(texts):
+        for b in texts[:i]:
+            if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+                links[a] += 1
+                links[b] += 1
+                parent[root(a)] = root(b)
+    least_of = {}
+    for x in texts:
+        least_of[root(x)] = min(least_of.get(root(x), first[x]), first[x])
+    return sorted((d, n, x, links[x], *least_of[root(x)], (d, n) == least_of[root(x)]) for d, n, x, _ in occ)
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_classes_against_all_pairs(spark, rng, edits):
+    base = [prose(rng, rng.randint(3, 12)) + rng.choice(["", " é", "."]) for _ in range(50)] + ["ab", "abc", "a" * 30, "x " * 3000]
+    texts = []
+    for _ in range(60):
+        chosen = [rng.choice(base) for _ in range(rng.randint(0, 6))]
+        texts.append("\n".join(rng.choice(["", "  "]) + (changed(rng, c, rng.randint(0, edits + 1)) if len(c) < 200 else c) + rng.choice(["", " ", "\r"]) for c in chosen) + rng.choice(["", "\n", "\n\n"]))
+    got = lines.line_classes(documents(spark, texts), edits).collect()
+    out = sorted((r.doc_id, r.line, texts[r.doc_id][r.start:r.end], r.n_links, r.class_doc_id, r.class_line, r.kept) for r in got)
+    assert out == brute(list(enumerate(texts)), edits, lines.LEAST_CHARS)
+
+
+def test_every_pair_within_reach_shares_a_key(rng):
+    for edits in (1, 2, 3, 4):
+        for _ in range(300):
+            a = prose(rng, rng.randint(4, 9))
+            b = changed(rng, a, rng.randint(0, edits)).strip()
+            keys = []
+            for x in (a, b):
+                data = np.frombuffer(x.encode(), np.uint8)
+                one = lines.Lines(data, np.array([0, len(data)]))
+                keys.append([{int(k) for g in side for k in g[0]} for side in lines.entries(one, np.arange(len(one.start)), edits)])
+            (ia, pa), (ib, pb) = keys
+            assert ia & ib or ia & pb or ib & pa, (a, b)
+            one, two = (int(lines.Lines(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x.encode())])).counts(np.array([0]), np.array([len(x)]))[0]) for x in (a, b))
+            assert lines.difference(np.array([one], np.uint32), np.array([two], np.uint32))[0] <= 2 * edits
+
+
+def test_a_frequent_segment_is_matched_in_blocks(rng, monkeypatch):
+    monkeypatch.setattr(lines, "PAIRS", 50)
+    keys, digests = np.full(40, 7, np.uint64), np.arange(40)
+    one = [keys, digests, np.zeros(40, np.uint32)]
+    got = {p for a, b in lines.matched(one, [keys[:3], digests[:3] + 100, np.zeros(3, np.uint32)], 1) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    assert got == {(i, j) for i in range(40) for j in range(i + 1, 40)} | {(i, 100 + j) for i in range(40) for j in range(3)}
+
+
+def test_nulls_repeated_rows_clashing_columns_and_no_rows(spark, rng):
+    text = prose(rng, 10)
+    docs = documents(spark, [None, "", f"{text}\n\n{text}x", f"{text}", f"{text}y\nnew", f"{text}"], ids=[1, 2, 3, 3, None, 4]).withColumns({"line": F.lit(1), "digest": F.lit("x"), "start": F.lit(2)})
+    got = sorted((r.doc_id or 99, r.line, r.class_doc_id, r.class_line, r.kept) for r in lines.line_classes(docs).collect())
+    assert got == [(3, 0, 3, 0, True), (3, 0, 3, 0, True), (3, 2, 3, 0, False), (4, 0, 3, 0, False), (99, 0, None, 0, True), (99, 1, None, 1, True)]
+    assert lines.line_classes(docs.limit(0)).collect() == []
+
+
+def test_without_repeats(spark, rng):
+    a, b, c = (prose(rng, 12) for _ in range(3))
+    docs = documents(spark, [f"{a}\n{b}", f"{a}.\n{c}\n", a, None, "", f"{b}\n {a}\nown words of the last one"])
+    got = {r.doc_id: r for r in lines.without_repeats(docs, 2).collect()}
+    assert lines.without_repeats(docs, 2).columns == docs.columns
+    assert {i: r.text for i, r in got.items()} == {0: f"{a}\n{b}", 1: f"{c}\n", 3: None, 4: "", 5: "own words of the last one"}
+    assert got[5].n_chars == len(got[5].text) and got[3].n_chars is None
+    assert len(lines.without_repeats(docs, 9).collect()) == 6
