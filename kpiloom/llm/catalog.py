@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import minhash, mixing, pieces, toxicity, warc
+from kpiloom.llm import lines, minhash, mixing, pieces, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": minhash.query,
     "op8_sentencepiece": pieces.query,
     "op9_toxicity": toxicity.query,
+    "op10_line_dedup": lines.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
