@@ -8,13 +8,17 @@ probability (1 - 0.8**4)**32, about 5e-8.
 
 The work, none of which lists all pairs of a group:
 
-1. texts with one word sequence are collapsed to the smallest doc_id;
-2. of those, band keys that two documents or more share are kept;
-3. in each bucket the member that shares most buckets with others is compared
-   with the rest, on the full shingle sets, and links become components;
-4. buckets that still hold more than one component compare the next members
-   with those of other components, four times as many each round, until every
-   pair of members that components do not join already was compared.
+1. texts with one word sequence are collapsed;
+2. of the rest, band keys that two texts or more share are kept as buckets;
+3. in each bucket the text that shares most buckets with others leads, and the
+   others are compared with it on the full shingle sets;
+4. two texts of a bucket that are both linked with its leader are connected
+   already. For the others, every text that has this leader is described by its
+   symmetric difference from the leader's set. The differences of two texts
+   give the exact size of their intersection, and a text that is not linked
+   with the leader can only be linked with one whose difference shares a
+   shingle with its own. Blocks of differences are multiplied as incidence
+   matrices, and a block pair yields no more links than connect its texts.
 
 Defined results: null and empty texts and texts without words have an empty
 set and link with nothing; each row has the component of its own text, also
@@ -25,11 +29,12 @@ empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import in_arrow, table, written
@@ -45,6 +50,7 @@ _XOR = _RANDOM.integers(1, 2**64, PERMUTATIONS, np.uint64, endpoint=False)
 _TIMES = _RANDOM.integers(1, 2**64, PERMUTATIONS, np.uint64, endpoint=False) | np.uint64(1)
 _SALTS = _RANDOM.integers(1, 2**64, ROWS + BANDS, np.uint64, endpoint=False) | np.uint64(1)
 SPREAD = 256  # members compared with one copy of a leader's text
+BLOCK_BYTES = 1 << 19  # of differences that are compared with another block's
 
 
 def min_max(sets: list[np.ndarray]) -> np.ndarray:
@@ -103,36 +109,125 @@ def texts_of(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     return in_arrow(both.select("node", "text"), each, "node long, text string")
 
 
-def linked(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full shingle sets are similar enough. texts: node, text.
+def paired(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b and others) with text_a and text_b. texts: node, text.
 
-    A member that many pairs name is sent in one copy for every ``SPREAD`` of them.
+    A leader that many pairs name is sent in one copy for every ``SPREAD`` of them.
     """
     counted = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("copies"))
     spread = pairs.join(counted, "a").withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")).drop("copies")
     copies = (counted.join(texts, F.col("a") == F.col("node")).drop("node")
               .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies").withColumnRenamed("text", "text_a"))
-    both = (spread.join(texts, F.col("b") == F.col("node")).drop("node").withColumnRenamed("text", "text_b")
-            .join(copies.hint("merge"), ["a", "copy"]))
+    return (spread.join(texts, F.col("b") == F.col("node")).drop("node").withColumnRenamed("text", "text_b")
+            .join(copies.hint("merge"), ["a", "copy"]).drop("copy"))
+
+
+def _both_sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Row, the leader's and the other's shingles; a leader's are kept for the next rows."""
+    left = batch.column("text_a")
+
+    @lru_cache(64)
+    def leader(text: str) -> np.ndarray:
+        return next(shingle_sets(pa.array([text]), width))[2][0]
+
+    for row, _, sets in shingle_sets(batch.column("text_b"), width):
+        for i, mine in enumerate(sets, row):
+            yield i, leader(left[i].as_py()), mine
+
+
+def similar(same: np.ndarray | int, sizes: np.ndarray | int, threshold: int) -> np.ndarray | bool:
+    """Whether sets with so many common shingles and this sum of sizes are similar enough."""
+    return 100 * same >= threshold * (sizes - same)
+
+
+def compared(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """a, b, near: whether the full shingle sets of the pair are similar enough."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        @lru_cache(256)
-        def leader(text: str) -> np.ndarray:
-            return next(shingle_sets(pa.array([text]), width))[2][0]
+        near = np.zeros(batch.num_rows, bool)
+        for i, theirs, mine in _both_sets(batch, width):
+            at = np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)
+            near[i] = similar(int((theirs[at] == mine).sum()), len(mine) + len(theirs), threshold)
+        return pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "near": pa.array(near)})
+
+    return in_arrow(paired(pairs, texts).select("a", "b", "text_a", "text_b"), each, "a long, b long, near boolean")
 
-        a, b, left = batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("text_a")
-        kept = []
-        for row, _, sets in shingle_sets(batch.column("text_b"), width):
-            for i, mine in enumerate(sets, row):
-                theirs = leader(left[i].as_py())
-                if 100 * min(len(mine), len(theirs)) >= threshold * max(len(mine), len(theirs)):
-                    at = np.searchsorted(theirs, mine)
-                    same = int((theirs[np.minimum(at, len(theirs) - 1)] == mine).sum())
-                    if 100 * same >= threshold * (len(mine) + len(theirs) - same):
-                        kept.append(i)
-        return pa.record_batch({"a": pa.array([a[i] for i in kept], pa.int64()), "b": pa.array([b[i] for i in kept], pa.int64())})
 
-    return in_arrow(both.select("a", "b", "text_a", "text_b"), each, "a long, b long")
+def differences(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """a, b, near, size (of b's set), apart: the shingles that only one of the two has, as packed numbers."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        size, apart = [], []
+        for _, theirs, mine in _both_sets(batch, width):
+            size.append(len(mine))
+            apart.append(np.setxor1d(theirs, mine, assume_unique=True).tobytes())
+        return pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "near": batch.column("near"), "size": pa.array(size, pa.int64()), "apart": pa.array(apart, pa.binary())})
+
+    return in_arrow(paired(pairs, texts).select("a", "b", "near", "text_a", "text_b"), each, "a long, b long, near boolean, size long, apart binary")
+
+
+def common(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of one block shares with each of another."""
+    out = np.zeros((len(one), len(other)), np.float32)
+    values = [np.concatenate([np.zeros(0, np.uint64), *x]) for x in (one, other)]
+    both = np.intersect1d(np.unique(values[0]), np.unique(values[1]), assume_unique=True)
+    cells = []
+    for sets, value in zip((one, other), values, strict=True):
+        of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(both, value), max(len(both) - 1, 0))
+        shared = both[at] == value if len(both) else np.zeros(len(value), bool)
+        cells.append((of[shared], at[shared]))
+    for begin in range(0, len(both), 2048):
+        matrices = []
+        for sets, (of, at) in zip((one, other), cells, strict=True):
+            here = (at >= begin) & (at < begin + 2048)
+            matrix = np.zeros((len(sets), min(2048, len(both) - begin)), np.float32)
+            matrix[of[here], at[here] - begin] = 1
+            matrices.append(matrix)
+        out += matrices[0] @ matrices[1].T
+    return out
+
+
+def block_links(one: dict, other: dict, threshold: int) -> list[tuple[int, int]]:
+    """Links that connect what is similar between the texts of one block that are not near the leader, and those of another."""
+    far = [i for i, near in enumerate(one["near"]) if not near]
+    left, right = ([np.frombuffer(x, np.uint64) for x in some] for some in ([one["apart"][i] for i in far], other["apart"]))
+    ids, others = np.array([one["b"][i] for i in far]), np.array(other["b"])
+    size, sizes = np.array([one["size"][i] for i in far]), np.array(other["size"])
+    apart = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right]) - 2 * common(left, right).astype(np.int64)
+    total = size[:, None] + sizes
+    links = similar((total - apart) // 2, total, threshold) & (ids[:, None] != others)
+    found, label = [], {i: i for i in (*ids.tolist(), *others.tolist())}
+    members = {i: [i] for i in label}
+    for i in np.flatnonzero(links.any(axis=1)).tolist():
+        mine = int(ids[i])
+        for theirs in others[links[i]].tolist():
+            if (low := label[mine]) != (high := label[theirs]):
+                found.append((mine, theirs))
+                if len(members[low]) < len(members[high]):
+                    low, high = high, low
+                for x in members.pop(high):
+                    label[x] = low
+                    members[low].append(x)
+    return found
+
+
+def far_links(flags: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """a, b: what connects the texts that are not near a leader with others that have it. flags: a (the leader), b, near."""
+    some = flags.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("near")).alias("far")).where("n > 1 and far > 0").select("a")
+    told = written(differences(flags.join(some, "a"), texts, width), "minhash-differences")
+    bounds = told.groupBy("a").agg(F.ceil(F.sum(F.octet_length("apart") + 64) / BLOCK_BYTES).cast("int").alias("blocks"))
+    dealt = told.join(bounds, "a").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "b"), F.col("blocks")).cast("int"))
+    # A block holds about BLOCK_BYTES, whatever the size of its group.
+    packs = written(dealt.groupBy("a", "block").agg(*[F.collect_list(c).alias(c) for c in ("b", "near", "size", "apart")]), "minhash-blocks")
+    left = packs.where(F.exists("near", lambda x: ~x)).select("a", F.struct("b", "near", "size", "apart").alias("one"))
+    rows = left.join(packs.select("a", F.struct("b", "size", "apart").alias("other")).hint("merge"), "a").select("one", "other")
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [link for one, other in zip(batch.column("one"), batch.column("other"), strict=True) for link in block_links(one.as_py(), other.as_py(), threshold)]
+        return pa.record_batch({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
+
+    return in_arrow(rows, each, "a long, b long")
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
@@ -140,31 +235,14 @@ def near_links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, threshold:
     hashed = nodes.select("node", F.explode("keys").alias("key"))
     shared = hashed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = written(hashed.join(shared, "key").distinct(), "minhash-buckets")
-    # The member whose buckets hold most others comes first in all of them: the text that the others vary, as a rule.
-    ranks = buckets.groupBy("node").agg(F.sum("size").alias("rank"))
-    members = written(buckets.select("key", "node").join(ranks, "node"), "minhash-members")
+    # The member whose buckets hold most others leads them all: the text that the others vary, as a rule.
+    ranks = written(buckets.groupBy("node").agg(F.sum("size").alias("rank")), "minhash-ranks")
     texts = written(texts_of(docs, nodes.select("doc_id", "node").join(ranks, "node").select("doc_id", "node"), width), "minhash-texts")
-    first = members.groupBy("key").agg(F.max_by("node", F.struct("rank", "node")).alias("a"))
-    pairs = written(members.join(first, "key").where("node != a").select("a", F.col("node").alias("b")).distinct(), "minhash-pairs")
-    links = written(linked(pairs, texts, width, threshold), "minhash-links")
-    found = written(components(links, "a", "b"), "minhash-components")
-    begin, block = 1, 1
-    while True:
-        labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        still = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-        still = still.where((F.col("low") != F.col("high")) & (F.col("size") > begin + 1)).select("key")
-        place = Window.partitionBy("key").orderBy(F.desc("rank"), F.desc("node"))
-        rest = written(labelled.join(still, "key").withColumn("place", F.row_number().over(place) - 1).drop("rank"), "minhash-open")
-        if rest.isEmpty():
-            return found
-        leaders = rest.where((F.col("place") >= begin) & (F.col("place") < begin + block)).select("key", F.col("node").alias("a"), F.col("component").alias("of"), F.col("place").alias("at"))
-        more = (rest.join(leaders, "key").where("place > at and component != of")
-                .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-        more = written(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "minhash-pairs")
-        links = links.union(written(linked(more, texts, width, threshold), "minhash-links"))
-        found = written(components(links, "a", "b"), "minhash-components")
-        pairs = pairs.union(more)
-        begin, block = begin + block, block * 4
+    first = buckets.join(ranks, "node").groupBy("key").agg(F.max_by("node", F.struct("rank", "node")).alias("a"))
+    pairs = buckets.join(first, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    flags = written(compared(pairs, texts, width, threshold), "minhash-compared")
+    links = flags.where("near").select("a", "b").union(far_links(flags, texts, width, threshold))
+    return written(components(links, "a", "b"), "minhash-components")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:

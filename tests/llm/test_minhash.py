@@ -56,7 +56,8 @@ def test_components_against_all_pairs(spark, rng):
         assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (n, component, component == i), texts[i]
 
 
-def test_a_large_group_of_near_copies_whose_text_is_not_first(spark, rng):
+def test_a_large_group_of_near_copies_whose_text_is_not_first(spark, rng, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 1 << 14)
     base = prose(rng, 300)
     texts = [edited(rng, base, 12) for _ in range(150)] + [base]
     want = brute(list(enumerate(texts)))
@@ -84,3 +85,22 @@ def test_signature_values_agree_as_often_as_the_sets(rng):
     a = np.unique(np.random.default_rng(1).integers(0, 2**64, 3000, np.uint64))
     both = minhash.min_max([a[:2400], a[600:]])
     assert abs((both[:, 0] == both[:, 1]).mean() - 0.6) < 0.15
+
+
+def test_blocks_of_differences_give_the_exact_links(rng):
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(f"v{rng.random()}" if rng.random() < rate else w for w in base) for rate in [0, *[rng.choice([0.02, 0.05, 0.08]) for _ in range(40)]]]
+    texts += [" ".join(texts[k].split(" ")[:-3]) for k in range(5, 12)]
+    sets = [s for _, _, got in shingle_sets(pa.array(texts), 4) for s in got]
+    pack = {"b": list(range(1, len(texts))), "near": [False] * (len(texts) - 1), "size": [len(s) for s in sets[1:]], "apart": [np.setxor1d(sets[0], s).tobytes() for s in sets[1:]]}
+    found = minhash.block_links(pack, pack, 80)
+    parent = {i: i for i in pack["b"]}
+    for a, b in found:
+        assert len(np.intersect1d(sets[a], sets[b])) * 100 >= 80 * len(np.union1d(sets[a], sets[b]))
+        low, high = sorted((parent[a], parent[b]))
+        parent = {i: low if p == high else p for i, p in parent.items()}
+    for a in pack["b"]:
+        for b in pack["b"]:
+            if len(np.intersect1d(sets[a], sets[b])) * 100 >= 80 * len(np.union1d(sets[a], sets[b])):
+                assert parent[a] == parent[b]
+    assert 0 < len(found) < len(texts)
