@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import lines, minhash, mixing, pieces, toxicity, warc
+from kpiloom.llm import embeddings, lines, minhash, mixing, pieces, search, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
     "op2_warc": warc.query,
+    "op3_vantage_trees": search.query,
     "op4_minhash": minhash.query,
+    "op6_embedding_dedup": embeddings.query,
     "op8_sentencepiece": pieces.query,
     "op9_toxicity": toxicity.query,
     "op10_line_dedup": lines.query,
