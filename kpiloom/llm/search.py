@@ -244,7 +244,7 @@ def _neighbours(rows: DataFrame, width: int, k: int, factor: float) -> DataFrame
     bounds = first.select(F.col("query").alias("row"), F.when(F.size("scores") == k, F.array_min("scores")).alias("bound"))
     bounded = queries.join(bounds, "row", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
     # The stated queries meet every other shard, block by block.
-    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != first_shard)).cast("long")
+    others = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")), lambda s: s != first_shard))
     rest = run(requests(bounded, others), "search-rest")
     every = first.union(rest).select("query", "query_id", F.explode(F.arrays_zip("found", "scores")).alias("one"))
     order = Window.partitionBy("query").orderBy(F.desc("one.scores"), "one.found")
