@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import embeddings, lines, minhash, mixing, pieces, search, toxicity, warc
+from kpiloom.llm import embeddings, lines, minhash, mixing, pieces, repeats, search, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_vantage_trees": search.query,
     "op4_minhash": minhash.query,
     "op6_embedding_dedup": embeddings.query,
+    "op7_substring_dedup": repeats.query,
     "op8_sentencepiece": pieces.query,
     "op9_toxicity": toxicity.query,
     "op10_line_dedup": lines.query,
@@ -21,4 +22,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op2_warc": warc.SQL,
+    "op7_substring_dedup": repeats.SQL,
 }

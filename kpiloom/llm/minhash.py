@@ -262,5 +262,15 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESH
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def without_copies(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each group: those whose doc_id is the component of their text.
+
+    Rows that repeat a doc_id go if any of them has a smaller component; rows
+    with a null doc_id stay.
+    """
+    gone = near_duplicates(docs, width, threshold).where("kept = false").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

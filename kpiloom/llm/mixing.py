@@ -33,9 +33,9 @@ SEED = "mix-1"
 BUCKETS = 4096  # three hexadecimal digits
 
 
-def with_sizes(docs: DataFrame) -> DataFrame:
+def with_sizes(docs: DataFrame, others: list[str] | None = None) -> DataFrame:
     """doc_id, source and size: the number of words of the whole text."""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    return docs.select("doc_id", "source", *(others or []), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -59,8 +59,20 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, repetitions, taken: one row per document."""
+    return _mix(docs, weights, max_epochs, seed, [])
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it. Documents without words have no weight; they stay once."""
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("__row"))
+    times = F.when(F.col("size") == 0, F.lit(1).cast("long")).otherwise(F.col("repetitions"))
+    taken = _mix(rows, weights, max_epochs, seed, ["__row"])
+    return taken.select("__row", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select("__row.*")
+
+
+def _mix(docs: DataFrame, weights: tuple[float, ...], max_epochs: int, seed: str, others: list[str]) -> DataFrame:
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sizes = written(with_sizes(docs).withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3)), "mix-sizes")
+    sizes = written(with_sizes(docs, others).withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3)), "mix-sizes")
     goal = targets(sizes, weights, max_epochs).withColumn(
         "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     goal = goal.withColumn("part", F.col("target") - F.col("whole") * F.col("source_size"))
@@ -74,7 +86,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int =
     # A document is in the fraction if more than half of its words lie within it.
     extra = F.when(F.col("start") + F.col("upto") - F.col("size") / 2 <= F.col("part"), 1).otherwise(0)
     repetitions = (F.col("whole") + extra).cast("long")
-    return joined.select("doc_id", F.col("d.source").alias("source"), "size", "source_size", "target",
+    return joined.select("doc_id", F.col("d.source").alias("source"), "size", "source_size", "target", *others,
                          repetitions.alias("repetitions"), (repetitions * F.col("size")).alias("taken"))
 
 

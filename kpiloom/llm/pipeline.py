@@ -1,18 +1,67 @@
-"""The stages of the corpus pipeline and the way they are strung together."""
+"""The stages of the corpus pipeline and the way they are strung together.
+
+A stage takes documents and returns documents; the last one returns tokens. In
+between, every stage's rows are written as Parquet and read again.
+
+1. toxicity: documents with a score of at least ``toxicity.THRESHOLD`` go.
+2. line-dedup: of a class of near-equal lines that at least
+   ``LINE_DOCUMENTS`` documents share, only the earliest stays. Copies of
+   whole documents in smaller numbers are left to the next stage. A document
+   whose every line went goes too.
+3. near-dedup: of each group of near-copies the document with the smallest
+   doc_id stays. Documents without words are no copies of each other.
+4. mixture: each document is repeated as often as its source's target says,
+   which may be never.
+5. tokens: every copy is encoded.
+
+Defined results: documents with a null doc_id pass the second and third stage,
+unless the third finds their text in another document.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kpiloom.llm import lines, minhash, mixing, pieces, toxicity
 from kpiloom.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+LINE_DOCUMENTS = 5
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.without_repeats(docs, LINE_DOCUMENTS)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.without_copies(docs)
+
+
+def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.tokenised(docs, pieces.default_model())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
+    ("line-dedup", line_stage),
+    ("near-dedup", near_stage),
+    ("mixture", mixture_stage),
+    ("tokens", token_stage),
+]
 
 
-def run(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]] = STAGES) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in stages:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
