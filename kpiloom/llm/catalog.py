@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import embeddings, lines, minhash, mixing, pieces, repeats, search, toxicity, warc
+from kpiloom.llm import embeddings, labeller, lines, minhash, mixing, pieces, repeats, search, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.query,
     "op2_warc": warc.query,
     "op3_vantage_trees": search.query,
     "op4_minhash": minhash.query,
+    "op5_html_text": labeller.query,
     "op6_embedding_dedup": embeddings.query,
     "op7_substring_dedup": repeats.query,
     "op8_sentencepiece": pieces.query,
