@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -9,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,13 +49,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply ``function`` to every Arrow batch; batches of None are left out."""
+SLICE_BYTES = 8 << 20  # of a batch that a function gets at once, or one longer row
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about SLICE_BYTES."""
+    rows = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+    for begin in range(0, batch.num_rows, rows):
+        yield batch.slice(begin, rows)
+
+
+def release() -> None:
+    """Give freed memory back, as Python workers wait for their next task with what they hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not this C library
+
+
+def in_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType) -> DataFrame:
+    """Apply ``function`` to the rows of ``df``, some at a time; results of None are left out."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := function(batch)) is not None:
-                yield out
+        try:
+            for batch in batches:
+                for part in slices(batch):
+                    if (out := function(part)) is not None:
+                        yield out
+                    del part, out
+                del batch
+        finally:
+            release()
 
     return df.mapInArrow(each, schema)
 
@@ -66,7 +93,7 @@ def utf8_parts(column: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string())
+    column = (column.fill_null("") if column.null_count else column).cast(pa.large_string())
     _, offsets, data = column.buffers()
     n = len(column)
     starts = np.frombuffer(offsets, np.int64)[column.offset:column.offset + n + 1]

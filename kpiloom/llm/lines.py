@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import in_arrow, table, utf8_parts, written
+from kpiloom.llm.common import in_arrow, release, table, utf8_parts, written
 from kpiloom.llm.components import components
 from kpiloom.llm.words import mixed, powers
 
@@ -91,12 +91,10 @@ def occurrences(docs: DataFrame) -> DataFrame:
     """doc_id, line, start, end (code points of the text), digest: one row per non-blank line."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        parts = list(lines_of(batch.column("text")))
-        rows = np.concatenate([p.row for p in parts])
-        start = np.concatenate([p.offset for p in parts])
-        return pa.record_batch({"doc_id": batch.column("doc_id").take(pa.array(rows)), "line": pa.array(np.concatenate([p.number for p in parts]).astype(np.int32)),
-                                "start": pa.array(start), "end": pa.array(start + np.concatenate([p.end - p.start for p in parts])),
-                                "digest": pa.array(np.concatenate([p.digest for p in parts]).view(np.int64))})
+        columns = [(p.row, p.number, p.offset, p.offset + p.end - p.start, p.digest.view(np.int64)) for p in lines_of(batch.column("text"))]
+        row, number, start, end, digest = (np.concatenate(x) for x in zip(*columns, strict=True))
+        return pa.record_batch({"doc_id": batch.column("doc_id").take(pa.array(row)), "line": pa.array(number.astype(np.int32)),
+                                "start": pa.array(start), "end": pa.array(end), "digest": pa.array(digest)})
 
     return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), each, "doc_id long, line int, start long, end long, digest long")
 
@@ -213,6 +211,7 @@ def candidates(docs: DataFrame, edits: int, least: int) -> DataFrame:
                 held.append(batch.filter(pa.array(batch.column("part").to_numpy() == part)))
         if held:
             yield from pairs(held)
+        release()
 
     return rows.mapInArrow(each, "a long, b long").distinct()
 
