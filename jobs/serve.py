@@ -22,17 +22,24 @@ from kpiloom.sinks.writers import write_csv_single  # noqa: E402
 from kpiloom.sources.kpi_store import load_kpis  # noqa: E402
 
 
-def run_serving(spark, kpi_base: str, out: str) -> None:
+def run_serving(spark, kpi_base: str, out: str) -> list[str]:
+    """Writes what the readable KPIs allow; returns what had to be left out."""
     kpis = load_kpis(spark, {name: f"{kpi_base.rstrip('/')}/{name}" for name in KPIS})
     out = out.rstrip("/")
     needed = ("kpi1_revenue_platform", "kpi2_revenue_genre", "kpi6_discount_rate")
+    left_out = [f"{name} (its KPI is missing)" for name in KPIS if name not in kpis]
     if all(n in kpis for n in needed):
         write_csv_single(serving_summary(*(kpis[n] for n in needed)), f"{out}/summary")
-    if "kpi2_revenue_genre" in kpis:
+    else:
+        left_out.append("summary")
+    if "kpi2_revenue_genre" not in kpis:
+        left_out.append("revenue_share_genre")
+    else:
         share = money_display(revenue_share(kpis["kpi2_revenue_genre"]), ["total_revenue_usd"])
         write_csv_single(share, f"{out}/revenue_share_genre")
     for name, df in chart_orderings(kpis).items():
         write_csv_single(df, f"{out}/charts/{name}")
+    return left_out
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -42,8 +49,10 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     spark = build_session("kpiloom-serve")
     try:
-        run_serving(spark, args.kpis, args.out)
-        return 0
+        left_out = run_serving(spark, args.kpis, args.out)
+        for what in left_out:
+            print(f"left out: {what}", file=sys.stderr)
+        return 2 if left_out else 0
     finally:
         spark.stop()
 

@@ -4,22 +4,21 @@
         --kafka <host:port> --topic <topic> --out <alerts folder> [--checkpoint <folder>] [--console]
     spark-submit jobs/stream.py --input <folder of JSON-lines files> --out <alerts folder> --available-now
 
-Without ``--checkpoint`` the checkpoint goes under the cluster's shared
-checkpoint folder (``spark.checkpoint.dir``), named after the output
-folder, so a restarted job resumes from its last committed offsets.
+Without ``--checkpoint`` the checkpoint goes beside the output folder
+(``<out>_checkpoint``), so a restarted job resumes from its last committed
+offsets wherever it runs.
 """
 
 from __future__ import annotations
 
 import argparse
-import hashlib
 import os
 import sys
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, os.path.dirname(HERE))
 
-from kpiloom.session import build_session, stable_path  # noqa: E402
+from kpiloom.session import build_session  # noqa: E402
 from kpiloom.sources.events import read_event_stream  # noqa: E402
 from kpiloom.streaming.alerts import await_any, hype_alerts, parse_events, start_alert_queries  # noqa: E402
 
@@ -43,9 +42,7 @@ def main(argv: list[str] | None = None) -> int:
         messages = read_event_stream(spark, kafka_bootstrap=args.kafka, topic=args.topic, path=args.input,
                                      starting_offsets=args.starting_offsets,
                                      max_per_trigger=args.max_per_trigger)
-        # One checkpoint per output folder, stable across restarts.
-        key = hashlib.sha1(args.out.encode()).hexdigest()[:16]
-        checkpoint = args.checkpoint or stable_path(spark, f"kpiloom-alerts-{key}")
+        checkpoint = args.checkpoint or args.out.rstrip("/") + "_checkpoint"
         queries = start_alert_queries(hype_alerts(parse_events(messages)), args.out, checkpoint,
                                       parquet_trigger=args.trigger, console=args.console,
                                       available_now=args.available_now)

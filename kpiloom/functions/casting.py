@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StringType, TimestampType
+from pyspark.sql.types import DataType, DateType, IntegralType, StringType, TimestampType
 
 
 def typed_column(df: DataFrame, name: str, target: DataType, date_format: str | None = None) -> Column:
@@ -20,9 +20,13 @@ def typed_column(df: DataFrame, name: str, target: DataType, date_format: str |
     if current == target:
         return col.alias(name)
     if isinstance(target, DateType) and isinstance(current, StringType):
-        converted = F.try_to_date(col, date_format) if date_format else col.try_cast(target)
+        # Text with a time after the date is a date, too; other text is NULL.
+        converted = F.coalesce(F.try_to_date(col, date_format), col.try_cast(target)) if date_format else col.try_cast(target)
     elif isinstance(target, TimestampType) and isinstance(current, StringType):
         converted = F.try_to_timestamp(col, F.lit(date_format)) if date_format else F.try_to_timestamp(col)
+    elif isinstance(target, IntegralType) and isinstance(current, StringType):
+        # "1500.0" is a whole number, too.
+        converted = F.coalesce(col.try_cast(target), col.try_cast("double").try_cast(target))
     else:
         converted = col.try_cast(target)
     return converted.alias(name)

@@ -6,6 +6,8 @@ exact half-up rounding, independent of binary floating-point noise.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,17 +27,20 @@ def spike_flag(players: str | Column = "concurrent_players",
 
 
 def sale_price(base: str | Column, discount_pct: str | Column, on_sale: str | Column) -> Column:
-    """round(base * (1 - discount/100), 2) for rows on sale, else the base price."""
-    base_dec = col_of(base).cast("decimal(12,2)")
-    keep = F.lit(1).cast("decimal(1,0)") - col_of(discount_pct).cast("decimal(7,2)") * F.lit(0.01).cast("decimal(2,2)")
-    discounted = F.round(base_dec * keep, 2)
-    return F.when(col_of(on_sale) == 1, discounted).otherwise(F.round(base_dec, 2)).cast("double")
+    """round(base * (1 - discount/100), 2) for rows on sale, else the base price as it is.
+
+    Computed in decimal with eight digits of both; where a decimal cannot hold
+    them, in double.
+    """
+    exact = col_of(base).try_cast("decimal(18,8)") * (F.lit(100).cast("decimal(3,0)") - col_of(discount_pct).try_cast("decimal(11,8)"))
+    plain = F.round(col_of(base) * (1 - col_of(discount_pct) / 100), 2)
+    discounted = F.coalesce(F.round(exact / 100, 2).cast("double"), plain)
+    return F.when(col_of(on_sale) == 1, discounted).otherwise(col_of(base).cast("double"))
 
 
 def revenue_estimate(players: str | Column, price: str | Column, rate: float,
                      fallback: float) -> Column:
     """round(players * price * rate, 2); ``fallback`` when that is not positive (NULL stays NULL)."""
-    rate_dec = F.lit(f"{rate:.4f}").cast("decimal(6,4)")
-    estimate = F.round(col_of(players).cast("decimal(10,0)") * col_of(price).cast("decimal(12,2)") * rate_dec, 2)
-    fallback_dec = F.lit(f"{fallback:.2f}").cast("decimal(12,2)")
-    return F.when(estimate <= 0, fallback_dec).otherwise(estimate).cast("double")
+    exact = col_of(players).cast("decimal(10,0)") * col_of(price).try_cast("decimal(16,6)") * F.lit(Decimal(repr(rate)))
+    estimate = F.coalesce(F.round(exact, 2).cast("double"), F.round(col_of(players) * col_of(price) * rate, 2))
+    return F.when(estimate <= 0, F.lit(float(fallback))).otherwise(estimate)

@@ -1,15 +1,13 @@
 """Money arithmetic.
 
-Amounts carry cents. Summing them as doubles makes the result depend on the
-order rows arrive in (i.e. on partitioning), so money is summed exactly:
-each amount is rounded to cents as a ``decimal(18,2)`` cast does, turned
-into integer cents, split into whole units and a 0–99 cent remainder, and both parts are summed as ``bigint``. Integer sums are
-associative, so the total is identical however partial aggregates are
-combined across executors, and they run at primitive speed (a
-``decimal(28,2)`` sum buffer is several times slower per row). The whole
-units overflow only beyond 9.2e18 currency units; the parts are combined
-once per group in decimal and handed back as a double, the type of every
-money column in the KPI tables.
+Adding amounts as doubles gives a result that depends on the order in which
+rows arrive, so sums are taken in ``DECIMAL(28,8)`` and rounded once, at the
+end. A value that such a decimal cannot hold (NaN, an infinity, 1e20 or more)
+is added as a double instead: nothing is left out, no cell ends a job, and an
+infinite amount gives an infinite total. Averages are that sum by the count.
+
+Every expression here is SQL text, so that the DataFrame form and the SQL form
+of a figure are the same expression.
 """
 
 from __future__ import annotations
@@ -17,43 +15,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_TYPE = "decimal(18,2)"
-MONEY_TEXT_TYPE = "decimal(20,2)"
+EXACT_TYPE = "DECIMAL(28,8)"
 
 
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c: str | Column) -> Column:
-    return col_of(c).cast(MONEY_TYPE)
+def sum_text(c: str, digits: int | None = None) -> str:
+    """The sum of ``c`` as a double, exact before it is rounded; NULL without values."""
+    exact = f"SUM(TRY_CAST({c} AS {EXACT_TYPE}))"
+    rest = f"SUM(CASE WHEN TRY_CAST({c} AS {EXACT_TYPE}) IS NULL THEN CAST({c} AS DOUBLE) END)"
+    whole = exact if digits is None else f"ROUND({exact}, {digits})"
+    return f"CASE WHEN {rest} IS NULL THEN CAST({whole} AS DOUBLE) ELSE COALESCE(CAST({exact} AS DOUBLE), 0D) + {rest} END"
 
 
-def cents(c: str | Column) -> Column:
-    """Amount → integer cents.
+def avg_text(c: str, digits: int) -> str:
+    """The average of ``c``, from the same sum."""
+    return f"ROUND(TRY_DIVIDE({sum_text(c)}, COUNT({c})), {digits})"
 
-    Rounding is that of ``cast(x as decimal(18,2))`` (half-up on the decimal
-    value); the rounded amount, times 100, is then within a few ulps of an
-    integer and is snapped to it.
-    """
-    scaled = money(c).cast("double") * 100
-    return (F.signum(scaled) * F.floor(F.abs(scaled) + 0.5)).cast("bigint")
 
+def money_sum(c: str) -> Column:
+    return F.expr(sum_text(c, 2))
 
-def money_sum(c: str | Column) -> Column:
-    """round(sum(c), 2) computed exactly on integers, returned as double (NULL when no values)."""
-    amount = cents(c)
-    whole = F.floor(amount / 100)  # exact for |cents| < 2^53
-    remainder = amount - whole * 100
-    total = (F.sum(whole).cast("decimal(38,2)")
-             + F.sum(remainder).cast("decimal(38,2)") / F.lit(100).cast("decimal(3,0)"))
-    return total.cast("double")
 
-
-def rounded_avg(c: str | Column, digits: int) -> Column:
-    return F.round(F.avg(col_of(c)), digits)
+def rounded_avg(c: str, digits: int) -> Column:
+    return F.expr(avg_text(c, digits))
 
 
 def money_text(c: str | Column) -> Column:
-    """Fixed two-decimal text (never scientific notation)."""
-    return col_of(c).cast(MONEY_TEXT_TYPE).cast("string")
+    """Two decimals, never scientific notation; a value beyond 36 digits, NaN and infinities as Spark prints them."""
+    return F.coalesce(F.round(col_of(c).try_cast("decimal(38,4)"), 2).cast("decimal(38,2)").cast("string"), col_of(c).cast("string"))

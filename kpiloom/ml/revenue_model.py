@@ -3,12 +3,12 @@
 Scale notes. With three features ``LinearRegression`` (solver ``auto``)
 uses the weighted-least-squares path: each fit is one distributed pass that
 aggregates a 3×3 Gram matrix (a ``treeAggregate``), after which the
-elastic-net problem is solved on that tiny matrix. The training rows are
-written as a Parquet table in the shared checkpoint folder before
-splitting, so the random split and the CV folds are computed from fixed
-data even when an executor is lost and partitions are recomputed. The cross-validation folds
-are then cut from a persisted (memory, spilling to disk) copy, since the
-grid search passes over them a few dozen times.
+elastic-net problem is solved on that tiny matrix. Split and folds are taken
+from a hash of the row's values, so they do not depend on files, partitions
+or cores, another engine can compute them alike, and a lost executor changes
+nothing; equal rows fall on one side. ``randomSplit`` remains as an option. The
+labelled rows are written once to the shared folder, and the grid search
+passes over a persisted (memory, spilling to disk) copy.
 """
 
 from __future__ import annotations
@@ -44,25 +44,44 @@ def training_set(curated: DataFrame, features: list[str] = ML_FEATURES, label: s
                    .na.drop(how="any"))
 
 
-def build_pipeline(features: list[str] = ML_FEATURES, label: str = ML_LABEL) -> Pipeline:
-    assembler = VectorAssembler(inputCols=features, outputCol="features_raw")
-    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
-    lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol=ML_PREDICTION)
-    return Pipeline(stages=[assembler, scaler, lr])
+BUCKETS = 1000  # that the hash of a row falls into; the last digits cut the split, the rest the folds
+SPLIT, FOLD = "split_bucket", "fold"
+
+
+def keyed(data: DataFrame, features: list[str] = ML_FEATURES, label: str = ML_LABEL) -> DataFrame:
+    """Adds the split bucket and the fold of every row: digits of the MD5 of its values in thousandths."""
+    text = F.concat_ws("|", *[F.round(F.col(c).cast("double") * 1000).try_cast("decimal(38,0)").cast("string") for c in [*features, label]])
+    digits = F.md5(text)
+    number = lambda begin: F.conv(F.substring(digits, begin, 8), 16, 10).cast("bigint")
+    return data.withColumns({SPLIT: (number(1) % BUCKETS).cast("int"), FOLD: (number(9) % ML_FOLDS).cast("int")})
+
+
+def split(data: DataFrame, at_random: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows, by the share in ML_SPLIT."""
+    if at_random:
+        return tuple(data.randomSplit(ML_SPLIT, seed=ML_SEED))
+    cut = round(BUCKETS * ML_SPLIT[0])
+    return data.where(F.col(SPLIT) < cut), data.where(F.col(SPLIT) >= cut)
 
 
 def evaluator(metric: str = "rmse", label: str = ML_LABEL) -> RegressionEvaluator:
     return RegressionEvaluator(labelCol=label, predictionCol=ML_PREDICTION, metricName=metric)
 
 
-def build_cross_validator(pipeline: Pipeline, parallelism: int = 4) -> CrossValidator:
-    lr = pipeline.getStages()[-1]
-    grid = (ParamGridBuilder()
-            .addGrid(lr.regParam, ML_REG_PARAMS)
-            .addGrid(lr.elasticNetParam, ML_ELASTIC_NET_PARAMS)
-            .build())
-    return CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator("rmse"),
-                          numFolds=ML_FOLDS, seed=ML_SEED, parallelism=parallelism)
+def regression(features: list[str] = ML_FEATURES, label: str = ML_LABEL, **params: float) -> tuple[Pipeline, LinearRegression]:
+    """Features side by side, standardised, into an elastic-net regression; the last stage on its own, too."""
+    last = LinearRegression(featuresCol="scaled", labelCol=label, predictionCol=ML_PREDICTION, **params)
+    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="assembled"),
+                            StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True), last]), last
+
+
+def searched(label: str = ML_LABEL, parallelism: int = 4) -> CrossValidator:
+    """The grid search: every combination on every fold, the folds being a column of the rows."""
+    whole, last = regression(label=label)
+    grid = ParamGridBuilder()
+    for param, values in ((last.regParam, ML_REG_PARAMS), (last.elasticNetParam, ML_ELASTIC_NET_PARAMS)):
+        grid = grid.addGrid(param, values)
+    return CrossValidator(estimator=whole, estimatorParamMaps=grid.build(), evaluator=evaluator(label=label), numFolds=ML_FOLDS, foldCol=FOLD, parallelism=parallelism)
 
 
 @dataclass
@@ -73,26 +92,24 @@ class TrainedModel:
     avg_rmse: list[float]
 
 
-def train(data: DataFrame, checkpoint: bool = True, parallelism: int = 4, persist: bool = True) -> TrainedModel:
-    """Split 80/20 (seed 42), cross-validate the grid on the 80%, refit the best.
+def train(data: DataFrame, checkpoint: bool = True, parallelism: int = 4, persist: bool = True, random_split: bool = False) -> TrainedModel:
+    """Split 80/20, cross-validate the grid on the 80%, refit the best.
 
-    CV cuts its folds with ``rand(seed)`` filters over the 80% split and
-    caches one fold's training and validation sets at a time, so with
-    ``persist`` the peak cached volume is about twice the split (memory,
-    spilling to disk); without it each fold re-reads the materialised
-    Parquet table instead.
+    With ``persist`` the training rows are cached (memory, spilling to disk)
+    for the search; without it each fold re-reads the written table.
     """
+    data = keyed(data)
     if checkpoint:
         data = materialize(data, "ml-training-set")
-    train_df, test_df = data.randomSplit(ML_SPLIT, seed=ML_SEED)
+    train_df, test_df = split(data, random_split)
     if persist:
         train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cv_model = build_cross_validator(build_pipeline(), parallelism).fit(train_df)
+        found = searched(parallelism=parallelism).fit(train_df)
     finally:
         if persist:
             train_df.unpersist()
-    return TrainedModel(cv_model.bestModel, train_df, test_df, list(cv_model.avgMetrics))
+    return TrainedModel(found.bestModel, train_df, test_df, list(found.avgMetrics))
 
 
 def predictions(model: PipelineModel, df: DataFrame, label: str = ML_LABEL) -> DataFrame:

@@ -1,87 +1,15 @@
-"""The eight market KPIs over curated rows (DataFrame form).
-
-Every KPI is one hash aggregation on a low-cardinality key. All aggregates
-are algebraic (sum / count / avg / min / max), so Spark combines them
-map-side before the shuffle: a key holding a third of all rows costs one
-partial row per input partition, never a hot reducer. The results hold one
-row per key (tens of rows), so the final sorts are cheap.
-"""
+"""The eight market KPIs over curated rows (DataFrame form), from their one definition."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from kpiloom.functions.money import money_sum, rounded_avg
-from kpiloom.schemas import TOP_GENRES_LIMIT
-
-REVENUE = "estimated_revenue_usd"
-
-
-def kpi1_revenue_platform(df: DataFrame) -> DataFrame:
-    return (df.groupBy("platform")
-              .agg(money_sum(REVENUE).alias("total_revenue_usd"))
-              .orderBy(F.desc("total_revenue_usd")))
-
-
-def kpi2_revenue_genre(df: DataFrame) -> DataFrame:
-    return (df.groupBy("genre")
-              .agg(money_sum(REVENUE).alias("total_revenue_usd"))
-              .orderBy(F.desc("total_revenue_usd")))
-
-
-def kpi3_top_genres_ccu(df: DataFrame, limit: int = TOP_GENRES_LIMIT) -> DataFrame:
-    # Genre breaks ties on the rounded average so the top-k cut is stable.
-    return (df.groupBy("genre")
-              .agg(rounded_avg("concurrent_players", 0).alias("avg_concurrent_players"))
-              .orderBy(F.desc("avg_concurrent_players"), F.asc("genre"))
-              .limit(limit))
-
-
-def kpi4_avg_ccu_platform(df: DataFrame) -> DataFrame:
-    return (df.groupBy("platform")
-              .agg(rounded_avg("concurrent_players", 0).alias("avg_concurrent_players"))
-              .orderBy(F.desc("avg_concurrent_players")))
-
-
-def kpi5_avg_price_platform(df: DataFrame) -> DataFrame:
-    return (df.groupBy("platform")
-              .agg(rounded_avg("current_price_usd", 2).alias("avg_price_usd"))
-              .orderBy(F.desc("avg_price_usd")))
-
-
-def kpi6_discount_rate(df: DataFrame) -> DataFrame:
-    return (df.filter(F.col("is_on_sale") == 1)
-              .groupBy("platform")
-              .agg(rounded_avg("discount_pc", 2).alias("avg_discount_pct"))
-              .orderBy(F.desc("avg_discount_pct")))
-
-
-def kpi7_early_vs_full(df: DataFrame) -> DataFrame:
-    return (df.groupBy("is_early_access")
-              .agg(rounded_avg(REVENUE, 2).alias("avg_revenue_usd"),
-                   money_sum(REVENUE).alias("total_revenue_usd"),
-                   F.count(F.lit(1)).alias("num_records")))
-
-
-def kpi8_monthly_trend(df: DataFrame) -> DataFrame:
-    return (df.groupBy("year_month")
-              .agg(money_sum(REVENUE).alias("monthly_revenue_usd"))
-              .orderBy("year_month"))
 
+from kpiloom.plans.kpi_spec import KPI_SPECS, kpi_frame
 
-KPIS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "kpi1_revenue_platform": kpi1_revenue_platform,
-    "kpi2_revenue_genre": kpi2_revenue_genre,
-    "kpi3_top_genres_ccu": kpi3_top_genres_ccu,
-    "kpi4_avg_ccu_platform": kpi4_avg_ccu_platform,
-    "kpi5_avg_price_platform": kpi5_avg_price_platform,
-    "kpi6_discount_rate": kpi6_discount_rate,
-    "kpi7_early_vs_full": kpi7_early_vs_full,
-    "kpi8_monthly_trend": kpi8_monthly_trend,
-}
+KPIS: dict[str, Callable[[DataFrame], DataFrame]] = {name: partial(kpi_frame, name=name) for name in KPI_SPECS}
 
 
 def calculate_kpis(df: DataFrame) -> dict[str, DataFrame]:

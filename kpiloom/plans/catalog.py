@@ -17,17 +17,20 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.derive import revenue_estimate, sale_price, spike_flag
 from kpiloom.ml import revenue_model
-from kpiloom.operators import kpis
+from kpiloom.operators import kpis, serving
 from kpiloom.operators.clean import clean_market
 from kpiloom.operators.export import unify_kpis
 from kpiloom.operators.serving import money_display, revenue_share, serving_summary
 from kpiloom.plans.kpis_sql import SQL_KPIS, run_sql_kpi
-from kpiloom.plans.shared_scan import all_kpis
-from kpiloom.session import scratch_path
+from kpiloom.plans.shared_scan import all_kpis, some_kpis
+from kpiloom.schemas import ALERT_SCHEMA, MARKET_TYPES
+from kpiloom.session import materialize, scratch_path
 from kpiloom.sinks import writers
 from kpiloom.sources import events as event_sources
 from kpiloom.sources import kpi_store, market, testdata
-from kpiloom.streaming.alerts import hype_alerts, parse_events, start_alert_queries
+from kpiloom.streaming.alerts import await_any, hype_alerts, parse_events, start_alert_queries
+
+STREAM_FILES = 64  # files a micro-batch of the stream query takes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,19 +53,23 @@ def _sql_kpi(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_share_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue by genre with its share of the total and a ``$1,234.50`` text column."""
-    batch, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
+    batch = some_kpis(market_clean(spark, sf_dir), ["kpi2_revenue_genre"], materialize=True)
     return money_display(revenue_share(batch["kpi2_revenue_genre"]), ["total_revenue_usd"])
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
+    batch = some_kpis(market_clean(spark, sf_dir), ["kpi1_revenue_platform", "kpi2_revenue_genre", "kpi6_discount_rate"], materialize=True)
     return serving_summary(batch["kpi1_revenue_platform"], batch["kpi2_revenue_genre"],
                            batch["kpi6_discount_rate"])
 
 
 def kpi_export_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
-    return unify_kpis(batch)
+    return unify_kpis(some_kpis(market_clean(spark, sf_dir), list(kpis.KPIS), materialize=True))
+
+
+def chart_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of every dashboard chart with their positions."""
+    return serving.chart_tables(some_kpis(market_clean(spark, sf_dir), list(serving.CHARTS), materialize=True))
 
 
 def kpi_export_sql_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +92,17 @@ def market_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_market(market.read_market_csv(spark, path))
 
 
+def market_csv_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, from files with another column order, more columns, whole numbers as "7.0" and dates with a time."""
+    raw = testdata.market_raw(spark, sf_dir)
+    whole = [c for c, t in MARKET_TYPES.items() if t.typeName() == "integer"]
+    other = raw.select(F.lit("x").alias("note"), *[F.col(c).cast("double").alias(c) if c in whole else F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c == "obs_date" else F.col(c)
+                                                   for c in reversed(raw.columns)], F.lit(1).alias("more"))
+    path = scratch_path(spark, "market-csv-variants")
+    writers.write_market_csv(other, path)
+    return clean_market(market.read_market_csv(spark, path))
+
+
 def curated_view_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL KPI 6 through a named view over the curated Parquet folder."""
     path = scratch_path(spark, "curated-view")
@@ -96,7 +114,7 @@ def curated_view_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_export_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI folders written, loaded tolerantly (one left missing), unified, CSV round trip."""
     base = scratch_path(spark, "kpis")
-    frames, _ = all_kpis(market_clean(spark, sf_dir), materialize=True)
+    frames = some_kpis(market_clean(spark, sf_dir), list(kpis.KPIS), materialize=True)
     paths = writers.write_kpis(frames, base)
     paths["kpi9_not_written"] = f"{base}/kpi9_not_written"
     loaded = kpi_store.load_kpis(spark, paths)
@@ -127,29 +145,40 @@ def hype_alerts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hype_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spike alerts through the streaming job (file source → Parquet sink), read back."""
     source = scratch_path(spark, "event-stream-in")
-    writers.write_event_messages(testdata.event_rows(spark, sf_dir).repartition(4), source)
+    writers.write_event_messages(testdata.event_rows(spark, sf_dir), source)
     output = scratch_path(spark, "alerts")
-    checkpoint = scratch_path(spark, "alerts-checkpoint")
-    stream = event_sources.read_event_stream(spark, path=source, max_per_trigger=1)
-    for q in start_alert_queries(hype_alerts(parse_events(stream)), output, checkpoint, available_now=True):
-        q.awaitTermination()
-    return _comparable_alerts(spark.read.parquet(output))
+    _run_alerts(spark, source, output, scratch_path(spark, "alerts-checkpoint"))
+    return _comparable_alerts(spark.read.schema(ALERT_SCHEMA).parquet(output))
+
+
+def _run_alerts(spark: SparkSession, source: str, output: str, checkpoint: str) -> None:
+    stream = event_sources.read_event_stream(spark, path=source, max_per_trigger=STREAM_FILES)
+    await_any(spark, start_alert_queries(hype_alerts(parse_events(stream)), output, checkpoint, available_now=True), finite=True)
+
+
+def hype_alerts_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spike alerts of a stream that is stopped, gets more messages and is started again."""
+    source, output, checkpoint = (scratch_path(spark, f"restart-{n}") for n in ("in", "alerts", "checkpoint"))
+    for part in (0, 1):
+        rows = writers.encode_events(testdata.event_rows(spark, sf_dir).where(F.pmod(F.xxhash64("timestamp", "platform", "genre"), F.lit(2)) == part))
+        rows.write.mode("append").text(source)
+        _run_alerts(spark, source, output, checkpoint)
+    return _comparable_alerts(spark.read.schema(ALERT_SCHEMA).parquet(output))
 
 
 def ml_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue_model.training_set(market_clean(spark, sf_dir))
 
 
-# One cross-validated model per application and input folder, shared by the
-# ML entries below so that the grid search runs once.
-_TRAINED: dict[tuple[str, str], revenue_model.TrainedModel] = {}
+def ml_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every labelled row with the side of the split and the fold that its hash gives."""
+    rows = revenue_model.keyed(ml_training_set(spark, sf_dir))
+    train, test = revenue_model.split(rows)
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test"))).drop(revenue_model.SPLIT)
 
 
 def _trained(spark: SparkSession, sf_dir: str) -> revenue_model.TrainedModel:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        _TRAINED[key] = revenue_model.train(ml_training_set(spark, sf_dir))
-    return _TRAINED[key]
+    return revenue_model.train(ml_training_set(spark, sf_dir))
 
 
 def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +203,17 @@ def ml_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue_model.predictions(revenue_model.load_model(path), trained.test)
 
 
+def ml_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients, RMSE and R² of the regression without a penalty, which has a closed form; six digits."""
+    train, test = revenue_model.split(materialize(revenue_model.keyed(ml_training_set(spark, sf_dir)), "ml-rows"))
+    pipeline, _ = revenue_model.regression(regParam=0.0, elasticNetParam=0.0)
+    model = pipeline.fit(train)
+    scores = revenue_model.metrics(model.transform(test)).unpivot([], ["rmse", "r2"], "term", "value")
+    found = revenue_model.coefficients(spark, model).select("term", "value").unionByName(scores)
+    # Six digits: the solvers of two engines differ in the last ones of a double.
+    return found.select("term", F.format_string("%.5e", "value").alias("value"))
+
+
 # Revenue-estimate parameters of the derived-columns query.
 ESTIMATE_RATE = 0.15
 ESTIMATE_FALLBACK = 100.0
@@ -205,19 +245,24 @@ def catalog() -> dict[str, Query]:
         "serving_summary": summary,
         "kpi_export_unified": kpi_export_unified,
         "kpi_export_sql_unified": kpi_export_sql_unified,
+        "chart_tables": chart_tables,
         "curated_roundtrip": curated_roundtrip,
+        "market_csv_variants": market_csv_variants,
         "market_csv_roundtrip": market_csv_roundtrip,
         "curated_view_kpi": curated_view_kpi,
         "kpi_export_from_store": kpi_export_from_store,
         "event_json_roundtrip": event_json_roundtrip,
         "hype_alerts_batch": hype_alerts_batch,
         "hype_alerts_stream": hype_alerts_stream,
+        "hype_alerts_restart": hype_alerts_restart,
         "derived_price_revenue": derived_price_revenue,
         "ml_training_set": ml_training_set,
+        "ml_split": ml_split,
         "ml_predictions": ml_predictions,
         "ml_metrics": ml_metrics,
         "ml_coefficients": ml_coefficients,
         "ml_model_roundtrip": ml_model_roundtrip,
+        "ml_least_squares": ml_least_squares,
     })
     return out
 

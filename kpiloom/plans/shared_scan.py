@@ -1,127 +1,27 @@
-"""All KPI tables from one pass over the curated rows.
-
-The KPIs group the same rows by four different keys. Instead of one scan
-and one shuffle per KPI, a single ``GROUPING SETS ((platform), (genre),
-(is_early_access), (year_month))`` aggregation computes every measure for
-every key at once: each row is expanded four times inside the scan stage,
-combined map-side, and one small shuffle carries the partial results. Every
-KPI table (DataFrame and SQL form) is then a filter + projection of that one
-aggregate, which has one row per key value (tens of rows).
-
-When several KPI tables are consumed together (the unified export, the
-summary, the share, the batch job) the aggregate is materialised once as a
-Parquet table in the shared checkpoint folder: it is tiny, every consumer
-then reads the same files, and a lost executor cannot force the pass over
-the curated rows to run again. Without it, column pruning narrows each
-consumer's copy of the aggregate differently and Spark would run the pass
-once per consumer.
+"""Several KPI tables from one pass over the curated rows.
+
+One ``GROUPING SETS`` aggregation computes the measures of all wanted KPIs for
+all their keys; every table is then a filter and a projection of its result,
+which has one row per key value. Where several tables are consumed together
+the result is written once to the shared folder, so that every consumer
+reads the same files. Pre-aggregating by all four keys at once would shrink the
+rows first only where few of their combinations occur, which nothing bounds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from kpiloom.functions.derive import release_type
-from kpiloom.functions.money import money_sum
-from kpiloom.schemas import TOP_GENRES_LIMIT
+from kpiloom.plans.kpi_spec import KPI_SPECS, from_pass, kpi_pass, sql_name
 from kpiloom.session import materialize as materialize_table
 
-KEYS = ["platform", "genre", "is_early_access", "year_month"]
-REVENUE = "estimated_revenue_usd"
-
-
-def kpi_pass(clean: DataFrame) -> DataFrame:
-    """One row per (key, value) for the four keys, with every measure any KPI needs."""
-    on_sale = F.col("is_on_sale") == 1
-    return (clean
-            .groupingSets([[F.col(k)] for k in KEYS], *KEYS)
-            .agg(*[F.grouping(k).alias(f"rollup_{k}") for k in KEYS],
-                 money_sum(REVENUE).alias("revenue_total"),
-                 F.count(F.lit(1)).alias("rows"),
-                 F.avg(REVENUE).alias("revenue_avg"),
-                 F.avg("concurrent_players").alias("ccu_avg"),
-                 F.max("concurrent_players").alias("ccu_max"),
-                 F.avg("current_price_usd").alias("price_avg"),
-                 F.min("current_price_usd").alias("price_min"),
-                 F.max("current_price_usd").alias("price_max"),
-                 F.avg(F.when(on_sale, F.col("discount_pc"))).alias("sale_discount_avg"),
-                 F.count(F.when(on_sale, F.lit(1))).alias("sale_rows"),
-                 money_sum(F.when(on_sale, F.col(REVENUE))).alias("sale_revenue_total")))
-
-
-def by(agg: DataFrame, key: str) -> DataFrame:
-    """The aggregate rows of one grouping key."""
-    return agg.filter(F.col(f"rollup_{key}") == 0)
-
-
-def _r(c: str, digits: int) -> Column:
-    return F.round(F.col(c), digits)
 
-
-def _sorted(df: DataFrame, *order: Column) -> DataFrame:
-    """Globally sorted KPI table (one row per key value) in a single partition.
-
-    A range-partitioned ``orderBy`` runs a sampling job per table; for tens
-    of rows one task sorting them is cheaper, and a single partition is what
-    the single-file KPI writes want anyway. ``repartition(1)`` (not
-    ``coalesce(1)``) moves only the result rows, so the aggregation feeding
-    it keeps all its tasks.
-    """
-    return df.repartition(1).sortWithinPartitions(*order)
-
-
-def sql_kpis(agg: DataFrame) -> dict[str, DataFrame]:
-    platform, genre = by(agg, "platform"), by(agg, "genre")
-    early, month = by(agg, "is_early_access"), by(agg, "year_month")
-    total, rows = F.col("revenue_total").alias("total_revenue_usd"), F.col("rows").alias("num_records")
-    return {
-        "sql_kpi1_revenue_platform": _sorted(
-            platform.select("platform", total, rows), F.desc("total_revenue_usd")),
-        "sql_kpi2_revenue_genre": _sorted(
-            genre.select("genre", total, rows), F.desc("total_revenue_usd")),
-        "sql_kpi3_top_genres_ccu": genre.select(
-            "genre", _r("ccu_avg", 0).alias("avg_concurrent_players"))
-            .orderBy(F.desc("avg_concurrent_players"), F.asc("genre")).limit(TOP_GENRES_LIMIT),
-        "sql_kpi4_avg_ccu_platform": _sorted(
-            platform.select("platform", _r("ccu_avg", 0).alias("avg_concurrent_players"),
-                            F.col("ccu_max").alias("peak_concurrent_players")),
-            F.desc("avg_concurrent_players")),
-        "sql_kpi5_avg_price_platform": _sorted(
-            platform.select("platform", _r("price_avg", 2).alias("avg_price_usd"),
-                            _r("price_min", 2).alias("min_price_usd"), _r("price_max", 2).alias("max_price_usd")),
-            F.desc("avg_price_usd")),
-        "sql_kpi6_discount_rate": _sorted(
-            platform.filter(F.col("sale_rows") > 0).select(
-                "platform", _r("sale_discount_avg", 2).alias("avg_discount_pct"),
-                F.col("sale_rows").alias("games_on_sale"), F.col("sale_revenue_total").alias("revenue_on_sale")),
-            F.desc("avg_discount_pct")),
-        "sql_kpi7_early_vs_full": _sorted(
-            early.select(release_type("is_early_access").alias("release_type"),
-                         _r("revenue_avg", 2).alias("avg_revenue_usd"), total, rows),
-            F.desc("total_revenue_usd")),
-        "sql_kpi8_monthly_trend": _sorted(
-            month.select("year_month", F.col("revenue_total").alias("monthly_revenue_usd"), rows,
-                         _r("ccu_avg", 0).alias("avg_ccu")),
-            F.asc("year_month")),
-    }
-
-
-def batch_kpis(agg: DataFrame) -> dict[str, DataFrame]:
-    sql = sql_kpis(agg)
-    early = by(agg, "is_early_access")
-    return {
-        "kpi1_revenue_platform": sql["sql_kpi1_revenue_platform"].select("platform", "total_revenue_usd"),
-        "kpi2_revenue_genre": sql["sql_kpi2_revenue_genre"].select("genre", "total_revenue_usd"),
-        "kpi3_top_genres_ccu": sql["sql_kpi3_top_genres_ccu"],
-        "kpi4_avg_ccu_platform": sql["sql_kpi4_avg_ccu_platform"].select("platform", "avg_concurrent_players"),
-        "kpi5_avg_price_platform": sql["sql_kpi5_avg_price_platform"].select("platform", "avg_price_usd"),
-        "kpi6_discount_rate": sql["sql_kpi6_discount_rate"].select("platform", "avg_discount_pct"),
-        "kpi7_early_vs_full": early.select(
-            "is_early_access", _r("revenue_avg", 2).alias("avg_revenue_usd"),
-            F.col("revenue_total").alias("total_revenue_usd"), F.col("rows").alias("num_records")),
-        "kpi8_monthly_trend": sql["sql_kpi8_monthly_trend"].select("year_month", "monthly_revenue_usd"),
-    }
+def some_kpis(clean: DataFrame, names: list[str], materialize: bool = False) -> dict[str, DataFrame]:
+    """The named KPIs in DataFrame form; only their keys and measures are computed."""
+    passed = kpi_pass(clean, names, sql_form=False)
+    if materialize:
+        passed = materialize_table(passed, "kpi-pass")
+    return {name: from_pass(passed, name, False) for name in names}
 
 
 def all_kpis(clean: DataFrame, materialize: bool = False) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
@@ -129,7 +29,7 @@ def all_kpis(clean: DataFrame, materialize: bool = False) -> tuple[dict[str, Dat
 
     ``materialize=True`` runs the aggregation now and stores its result.
     """
-    agg = kpi_pass(clean)
+    passed = kpi_pass(clean)
     if materialize:
-        agg = materialize_table(agg, "kpi-pass")
-    return batch_kpis(agg), sql_kpis(agg)
+        passed = materialize_table(passed, "kpi-pass")
+    return ({name: from_pass(passed, name, False) for name in KPI_SPECS}, {sql_name(name): from_pass(passed, name, True) for name in KPI_SPECS})

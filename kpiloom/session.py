@@ -52,6 +52,10 @@ def local_test_session(cores: int | str = "*", shuffle_partitions: int = 8) -> S
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster names no folder that all of its machines share."""
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
     sc = spark.sparkContext
@@ -64,34 +68,37 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the configured shared checkpoint folder; set a scratch one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage. Only local
-    runs (tests, benchmarks) fall back to a fresh folder under the temp dir.
+    On a cluster ``spark.checkpoint.dir`` points at shared storage, and a cluster
+    without it is refused: its machines would each write to a disk of their
+    own, and a read would find a part of the table. Only local runs (tests,
+    benchmarks) take a fresh folder under the temp dir.
     """
     root = checkpoint_root(spark)
     if root:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
         return spark.sparkContext.getCheckpointDir() or root
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir() or root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under this application's checkpoint folder."""
+    """A fresh, unique folder under this application's checkpoint folder, removed when the application ends."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
-def stable_path(spark: SparkSession, name: str) -> str:
-    """A folder with a fixed name under the shared checkpoint root.
-
-    Unlike ``scratch_path`` (per application), the same name gives the same
-    folder in every run, as a streaming checkpoint needs across restarts.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    root = configured or ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/{name}"
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there and not empty, in whatever store the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(store.exists(target)) and len(store.listStatus(target)) > 0
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

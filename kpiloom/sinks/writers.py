@@ -26,7 +26,11 @@ def write_curated(df: DataFrame, path: str, compression: str = "snappy") -> None
 
 
 def write_kpi(df: DataFrame, path: str, compression: str = "snappy") -> None:
-    """One KPI table (tens of rows) as a single Parquet file, replacing ``path``."""
+    """One KPI table (one row per key value) as a single Parquet file, replacing ``path``.
+
+    KPI tables come sorted or in one partition already: there is an exchange
+    of the result rows before, and ``coalesce(1)`` pulls no aggregation into one task.
+    """
     df.coalesce(1).write.mode("overwrite").option("compression", compression).parquet(path)
 
 

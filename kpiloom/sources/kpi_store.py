@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
@@ -17,19 +18,23 @@ def read_kpi(spark: SparkSession, path: str) -> DataFrame:
 
 def _try_read(spark: SparkSession, name: str, path: str) -> DataFrame | None:
     try:
-        return read_kpi(spark, path)
-    except AnalysisException as exc:
+        df = read_kpi(spark, path)
+        df.write.format("noop").mode("overwrite").save()  # a KPI has one row per key value; its files are read here, so that a corrupt one shows
+        return df
+    except (AnalysisException, PySparkException, Py4JError) as exc:
         log.warning("skipping KPI %s at %s: %s", name, path, str(exc).splitlines()[0])
         return None
 
 
-def load_kpis(spark: SparkSession, paths: dict[str, str], parallel: int = 8) -> dict[str, DataFrame]:
+def load_kpis(spark: SparkSession, paths: dict[str, str], parallel: int = 8, strict: bool = False) -> dict[str, DataFrame]:
     """Every readable KPI folder, in order; unreadable ones are skipped with a warning.
 
-    Path and schema resolution are eager in ``spark.read.parquet`` (a small
-    footer-reading job each, run from a few driver threads side by side), so
-    a missing or empty folder raises here, not later. Raises when none loads.
+    Each is read once here (from a few driver threads side by side), so a
+    missing, empty or corrupt folder shows now, not later. With ``strict`` the
+    first such folder ends the load; else that happens only when none loads.
     """
+    if strict:
+        return {name: read_kpi(spark, path) for name, path in paths.items()}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         futures = {name: pool.submit(_try_read, spark, name, path) for name, path in paths.items()}
         results = {name: f.result() for name, f in futures.items()}

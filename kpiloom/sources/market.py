@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.schemas import CURATED_SCHEMA, MARKET_RAW_TEXT
+from kpiloom.schemas import CURATED_SCHEMA, MARKET_COLUMNS
 
 CURATED_VIEW = "market_curated"
 
@@ -15,15 +15,17 @@ CURATED_VIEW = "market_curated"
 def read_market_csv(spark: SparkSession, path: str, infer_schema: bool = False) -> DataFrame:
     """Raw market CSV with a header.
 
-    By default every column is read as text (``MARKET_RAW_TEXT``) and typed by
-    ``clean_market``; that avoids the extra full pass schema inference costs
-    and makes a bad cell a NULL instead of turning the column into text.
+    Columns are found by the names in the header, in any order; others are
+    ignored, and a file that lacks one is refused. Every column is text, typed
+    by ``clean_market``: that avoids the extra full pass that schema inference
+    costs and makes a bad cell a NULL instead of turning the column into text.
     ``infer_schema=True`` reproduces inference for ad-hoc files.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if infer_schema:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(MARKET_RAW_TEXT).csv(path)
+    df = spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", infer_schema).csv(path)
+    missing = [c for c in MARKET_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header has {', '.join(df.columns)}")
+    return df.select(*MARKET_COLUMNS)
 
 
 def read_curated(spark: SparkSession, path: str, platforms: Iterable[str] | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """Adapter from the benchmark tables onto the market and event schemas.
 
 The benchmark tables hold no market observations, so these two functions map
-them onto the market schema (lineitem ⋈ part ⋈ orders) and onto JSON event
+them onto the market schema (lineitem ⋈ part) and onto JSON event
 messages (events). They are input shims, not engine operators: the engine
 itself starts at ``operators.clean.clean_market`` and
 ``streaming.alerts.parse_events``.
@@ -25,7 +25,7 @@ NULL_PLATFORM_EVERY = 97     # l_orderkey % 97 = 0   → platform NULL
 NULL_GENRE_EVERY = 89        # l_orderkey % 89 = 0   → genre NULL
 NULL_EARLY_EVERY = 83        # l_orderkey % 83 = 0   → is_early_access NULL
 NEGATIVE_REVENUE_EVERY = 50  # l_partkey % 50 = 0    → revenue negated
-EARLY_ACCESS_STATUS = "P"    # o_orderstatus 'P'     → early access
+EARLY_ACCESS_FLAG = "R"      # l_returnflag 'R'      → early access
 HOLIDAY_MONTHS = [11, 12]
 EVENT_GENRE_BUCKETS = 8      # genre = 'G' || user_id % 8
 EVENT_PLAYER_SCALE = 2000    # players = floor(value * 2000)
@@ -37,9 +37,8 @@ EVENT_HYPE_MODULUS = 11      # hype = floor(value) % 11
 # per read, and a changed file layout fails loudly instead of drifting.
 TABLE_SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
-                "l_discount double, l_tax double, l_shipdate timestamp_ntz",
+                "l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz",
     "part": "p_partkey bigint, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": "o_orderkey bigint, o_orderstatus string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
 
@@ -51,40 +50,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_fact_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A fact table, spread over all cores when its file has fewer splits than cores.
-
-    Parquet splits at row-group boundaries, so a file written as one large
-    row group is scanned by a single task. Only then is the scan followed
-    by a hash repartition on a near-unique ``key`` (even, and deterministic
-    without the row sort a round-robin repartition needs); a table with
-    enough splits (any large input) is left alone and pays no shuffle.
-    """
-    df = read_table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, key)
-    return df
-
-
 def _cents(c: Column) -> Column:
     return F.round(c * 100).cast("bigint")
 
 
 def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed market rows (the schema of the raw CSV after typing), one per lineitem."""
-    lineitem = read_fact_table(spark, sf_dir, "lineitem", "l_orderkey").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_type", "p_brand", "p_size", "p_retailprice")
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-
-    # Both joins are plain equi-joins; AQE turns either into a broadcast at
-    # runtime only when that side's measured size is under the threshold,
-    # and splits skewed key partitions otherwise.
-    joined = (lineitem
-              .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    # A plain equi-join; AQE turns it into a broadcast at runtime only when
+    # that side's measured size is under the threshold, and splits skewed key
+    # partitions otherwise.
+    joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
 
     # One selectExpr: the whole projection is parsed in a single call instead
     # of ~60 Column-API calls (each a driver round trip).
@@ -106,14 +85,14 @@ def market_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CASE WHEN l_partkey % {NEGATIVE_REVENUE_EVERY} = 0 THEN -1.0D ELSE 1.0D END"
         f" * CAST({revenue_cents} / 100 AS DOUBLE) AS estimated_revenue_usd",
         f"CASE WHEN l_orderkey % {NULL_EARLY_EVERY} = 0 THEN CAST(NULL AS INT)"
-        f" WHEN o_orderstatus = '{EARLY_ACCESS_STATUS}' THEN 1 ELSE 0 END AS is_early_access",
+        f" WHEN l_returnflag = '{EARLY_ACCESS_FLAG}' THEN 1 ELSE 0 END AS is_early_access",
         f"CASE WHEN month(l_shipdate) IN ({months}) THEN 1 ELSE 0 END AS holiday_sale",
     )
 
 
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List prices before any discount (lineitem ⋈ part), one per lineitem."""
-    lineitem = read_fact_table(spark, sf_dir, "lineitem", "l_orderkey").select(
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
     joined = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -128,7 +107,7 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed event records (the producer's message fields), one per events row."""
-    events = read_fact_table(spark, sf_dir, "events", "event_id")
+    events = read_table(spark, sf_dir, "events")
     players = F.floor(F.col("value") * EVENT_PLAYER_SCALE)
     return events.select(
         iso_timestamp_text(F.col("ts")).alias("timestamp"),

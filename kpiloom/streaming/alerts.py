@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kpiloom.schemas import EVENT_SCHEMA
+from kpiloom.session import path_exists
 
 
 def parse_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
@@ -42,9 +43,16 @@ def start_alert_queries(alerts: DataFrame, output_path: str, checkpoint_path: st
 
     The checkpoint records source offsets and committed files, so a restart
     after a failure continues where it stopped and never writes a batch
-    twice. ``available_now`` processes everything present and stops (catch-up
+    twice. An output folder that such a query has written to is refused
+    without the checkpoint that belongs to it: the sink would take the new
+    query's first batches for ones that it has, and drop them.
+    ``available_now`` processes everything present and stops (catch-up
     runs, tests); otherwise micro-batches run every ``parquet_trigger``.
     """
+    spark = alerts.sparkSession
+    if path_exists(spark, f"{output_path.rstrip('/')}/_spark_metadata") and not path_exists(spark, f"{checkpoint_path.rstrip('/')}/offsets"):
+        raise ValueError(f"{output_path} was written with another checkpoint than {checkpoint_path}; give that one, or a new output folder")
+
     def trigger(writer, every: str):
         return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
 

@@ -22,9 +22,9 @@ SELECT CAST(l_shipdate AS date) AS obs_date,
          * CAST(floor((CAST(l_quantity*p_size*100 AS bigint) * CAST(round(p_retailprice*100) AS bigint)
              * (100 - CAST(round(l_discount*100) AS bigint)) * (5 + 3*l_linenumber) + 5000) / 10000) / 100 AS double)
          AS estimated_revenue_usd,
-       CASE WHEN l_orderkey % 83 = 0 THEN NULL WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS is_early_access,
+       CASE WHEN l_orderkey % 83 = 0 THEN NULL WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_early_access,
        CASE WHEN month(l_shipdate) IN (11, 12) THEN 1 ELSE 0 END AS holiday_sale
-FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 
 MARKET_CLEAN = """
@@ -48,7 +48,11 @@ FROM events
 
 
 def money_sum(c: str) -> str:
-    return f"CAST(round(sum(CAST({c} AS DECIMAL(18,2))), 2) AS DOUBLE)"
+    return f"CAST(round(sum(CAST({c} AS DECIMAL(28,8))), 2) AS DOUBLE)"
+
+
+def exact_avg(c: str, digits: int) -> str:
+    return f"round(CAST(sum(CAST({c} AS DECIMAL(28,8))) AS DOUBLE) / count({c}), {digits})"
 
 
 def with_market(body: str) -> str:
@@ -65,21 +69,21 @@ FROM market_clean GROUP BY platform""",
     "kpi2_revenue_genre": f"""
 SELECT genre, {money_sum(REV)} AS total_revenue_usd
 FROM market_clean GROUP BY genre""",
-    "kpi3_top_genres_ccu": """
-SELECT genre, round(avg(concurrent_players), 0) AS avg_concurrent_players
+    "kpi3_top_genres_ccu": f"""
+SELECT genre, {exact_avg('concurrent_players', 0)} AS avg_concurrent_players
 FROM market_clean GROUP BY genre
 ORDER BY avg_concurrent_players DESC NULLS LAST, genre ASC LIMIT 10""",
-    "kpi4_avg_ccu_platform": """
-SELECT platform, round(avg(concurrent_players), 0) AS avg_concurrent_players
+    "kpi4_avg_ccu_platform": f"""
+SELECT platform, {exact_avg('concurrent_players', 0)} AS avg_concurrent_players
 FROM market_clean GROUP BY platform""",
-    "kpi5_avg_price_platform": """
-SELECT platform, round(avg(current_price_usd), 2) AS avg_price_usd
+    "kpi5_avg_price_platform": f"""
+SELECT platform, {exact_avg('current_price_usd', 2)} AS avg_price_usd
 FROM market_clean GROUP BY platform""",
-    "kpi6_discount_rate": """
-SELECT platform, round(avg(discount_pc), 2) AS avg_discount_pct
+    "kpi6_discount_rate": f"""
+SELECT platform, {exact_avg('discount_pc', 2)} AS avg_discount_pct
 FROM market_clean WHERE is_on_sale = 1 GROUP BY platform""",
     "kpi7_early_vs_full": f"""
-SELECT is_early_access, round(avg({REV}), 2) AS avg_revenue_usd,
+SELECT is_early_access, {exact_avg(REV, 2)} AS avg_revenue_usd,
        {money_sum(REV)} AS total_revenue_usd, count(*) AS num_records
 FROM market_clean GROUP BY is_early_access""",
     "kpi8_monthly_trend": f"""
@@ -90,33 +94,33 @@ FROM market_clean GROUP BY year_month""",
 
 SQL_KPI_BODIES = {
     "sql_kpi1_revenue_platform": f"""
-SELECT platform, {money_sum(REV)} AS total_revenue_usd, count(*) AS num_records
+SELECT platform, {money_sum(REV)} AS total_revenue_usd, count(*) AS num_registros
 FROM market_clean GROUP BY platform""",
     "sql_kpi2_revenue_genre": f"""
-SELECT genre, {money_sum(REV)} AS total_revenue_usd, count(*) AS num_records
+SELECT genre, {money_sum(REV)} AS total_revenue_usd, count(*) AS num_registros
 FROM market_clean GROUP BY genre""",
     "sql_kpi3_top_genres_ccu": KPI_BODIES["kpi3_top_genres_ccu"],
-    "sql_kpi4_avg_ccu_platform": """
-SELECT platform, round(avg(concurrent_players), 0) AS avg_concurrent_players,
+    "sql_kpi4_avg_ccu_platform": f"""
+SELECT platform, {exact_avg('concurrent_players', 0)} AS avg_concurrent_players,
        max(concurrent_players) AS peak_concurrent_players
 FROM market_clean GROUP BY platform""",
-    "sql_kpi5_avg_price_platform": """
-SELECT platform, round(avg(current_price_usd), 2) AS avg_price_usd,
+    "sql_kpi5_avg_price_platform": f"""
+SELECT platform, {exact_avg('current_price_usd', 2)} AS avg_price_usd,
        round(min(current_price_usd), 2) AS min_price_usd,
        round(max(current_price_usd), 2) AS max_price_usd
 FROM market_clean GROUP BY platform""",
     "sql_kpi6_discount_rate": f"""
-SELECT platform, round(avg(discount_pc), 2) AS avg_discount_pct, count(*) AS games_on_sale,
-       {money_sum(REV)} AS revenue_on_sale
+SELECT platform, {exact_avg('discount_pc', 2)} AS avg_discount_pct, count(*) AS juegos_en_oferta,
+       {money_sum(REV)} AS revenue_en_oferta
 FROM market_clean WHERE is_on_sale = 1 GROUP BY platform""",
     "sql_kpi7_early_vs_full": f"""
 SELECT CASE WHEN is_early_access = 1 THEN 'Early Access' ELSE 'Full Release' END AS release_type,
-       round(avg({REV}), 2) AS avg_revenue_usd, {money_sum(REV)} AS total_revenue_usd,
-       count(*) AS num_records
+       {exact_avg(REV, 2)} AS avg_revenue_usd, {money_sum(REV)} AS total_revenue_usd,
+       count(*) AS num_registros
 FROM market_clean GROUP BY is_early_access""",
     "sql_kpi8_monthly_trend": f"""
 SELECT strftime(obs_date, '%Y-%m') AS year_month, {money_sum(REV)} AS monthly_revenue_usd,
-       count(*) AS num_records, round(avg(concurrent_players), 0) AS avg_ccu
+       count(*) AS num_registros, {exact_avg('concurrent_players', 0)} AS avg_ccu
 FROM market_clean GROUP BY strftime(obs_date, '%Y-%m')""",
 }
 
@@ -156,17 +160,17 @@ EXPORT_BODY = "\nUNION ALL BY NAME\n".join(
     f"SELECT {', '.join(cols)}, '{name}' AS kpi_name FROM {name}" for name, cols in EXPORT_COLUMNS.items())
 
 SQL_EXPORT_COLUMNS = {
-    "sql_kpi1_revenue_platform": ["platform", text2("total_revenue_usd"), text_int("num_records")],
-    "sql_kpi2_revenue_genre": ["genre", text2("total_revenue_usd"), text_int("num_records")],
+    "sql_kpi1_revenue_platform": ["platform", text2("total_revenue_usd"), text_int("num_registros")],
+    "sql_kpi2_revenue_genre": ["genre", text2("total_revenue_usd"), text_int("num_registros")],
     "sql_kpi3_top_genres_ccu": ["genre", text2("avg_concurrent_players")],
     "sql_kpi4_avg_ccu_platform": ["platform", text2("avg_concurrent_players"), text_int("peak_concurrent_players")],
     "sql_kpi5_avg_price_platform": ["platform", text2("avg_price_usd"), text2("min_price_usd"),
                                     text2("max_price_usd")],
-    "sql_kpi6_discount_rate": ["platform", text2("avg_discount_pct"), text_int("games_on_sale"),
-                               text2("revenue_on_sale")],
+    "sql_kpi6_discount_rate": ["platform", text2("avg_discount_pct"), text_int("juegos_en_oferta"),
+                               text2("revenue_en_oferta")],
     "sql_kpi7_early_vs_full": ["release_type", text2("avg_revenue_usd"), text2("total_revenue_usd"),
-                               text_int("num_records")],
-    "sql_kpi8_monthly_trend": ["year_month", text2("monthly_revenue_usd"), text_int("num_records"),
+                               text_int("num_registros")],
+    "sql_kpi8_monthly_trend": ["year_month", text2("monthly_revenue_usd"), text_int("num_registros"),
                                text2("avg_ccu")],
 }
 
@@ -179,18 +183,29 @@ SELECT s.*,
          AS total_revenue_text,
        CAST(round(CAST(avg_discount_pct AS DECIMAL(38,6)), 1) AS VARCHAR) || '%' AS avg_discount_text
 FROM (SELECT (SELECT {money_sum('total_revenue_usd')} FROM kpi1_revenue_platform) AS total_revenue_usd,
-             (SELECT arg_max(platform, total_revenue_usd) FROM kpi1_revenue_platform) AS top_platform,
-             (SELECT arg_max(genre, total_revenue_usd) FROM kpi2_revenue_genre) AS top_genre,
-             (SELECT round(avg(avg_discount_pct), 2) FROM kpi6_discount_rate) AS avg_discount_pct) s"""
+             (SELECT platform FROM kpi1_revenue_platform ORDER BY total_revenue_usd DESC, platform LIMIT 1) AS top_platform,
+             (SELECT genre FROM kpi2_revenue_genre ORDER BY total_revenue_usd DESC, genre LIMIT 1) AS top_genre,
+             (SELECT {exact_avg('avg_discount_pct', 2)} FROM kpi6_discount_rate) AS avg_discount_pct) s"""
 
 SHARE_BODY = """
 SELECT genre, total_revenue_usd,
-       round(total_revenue_usd / (SELECT CAST(sum(CAST(total_revenue_usd AS DECIMAL(28,2))) AS DOUBLE)
+       round(total_revenue_usd / (SELECT CAST(sum(CAST(total_revenue_usd AS DECIMAL(28,8))) AS DOUBLE)
                                   FROM kpi2_revenue_genre) * 100, 2) AS revenue_share_pct,
        '$' || format('{:,.2f}', round(CAST(total_revenue_usd AS DECIMAL(38,6)), 2)) AS total_revenue_usd_text
 FROM kpi2_revenue_genre"""
 
 
+CHARTS_BODY = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS chart, CAST(row_number() OVER (ORDER BY {by}, {label}) AS INT) AS position, CAST({label} AS VARCHAR) AS label, CAST({value} AS DOUBLE) AS value FROM {name}"
+    for name, by, label, value in (
+        ("kpi1_revenue_platform", "total_revenue_usd", "platform", "total_revenue_usd"),
+        ("kpi3_top_genres_ccu", "avg_concurrent_players DESC", "genre", "avg_concurrent_players"),
+        ("kpi4_avg_ccu_platform", "avg_concurrent_players DESC", "platform", "avg_concurrent_players"),
+        ("kpi5_avg_price_platform", "avg_price_usd DESC", "platform", "avg_price_usd"),
+        ("kpi6_discount_rate", "avg_discount_pct DESC", "platform", "avg_discount_pct"),
+        ("kpi8_monthly_trend", "year_month", "year_month", "monthly_revenue_usd")))
+
+
 EVENTS_PARSED = f"""
 SELECT e.*, CAST(ts AS TIMESTAMP) AS event_time
 FROM ({EVENT_ROWS.replace('FROM events', ', ts FROM events')}) e"""
@@ -208,20 +223,57 @@ WITH l AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 p AS (
   SELECT *, CASE WHEN on_sale = 1
-                 THEN round(CAST(base AS DECIMAL(12,2))
-                            * (CAST(1 AS DECIMAL(1,0)) - CAST(disc AS DECIMAL(7,2)) * CAST(0.01 AS DECIMAL(2,2))), 2)
-                 ELSE round(CAST(base AS DECIMAL(12,2)), 2) END AS price
+                 THEN CAST(round(CAST(base AS DECIMAL(18,8)) * (100 - CAST(disc AS DECIMAL(11,8))) / 100, 2) AS DOUBLE)
+                 ELSE base END AS price
   FROM l),
 e AS (
-  SELECT *, round(CAST(players AS DECIMAL(10,0)) * CAST(price AS DECIMAL(12,2)) * CAST(0.15 AS DECIMAL(6,4)), 2)
+  SELECT *, CAST(round(CAST(players AS DECIMAL(10,0)) * CAST(price AS DECIMAL(16,6)) * CAST(0.15 AS DECIMAL(3,2)), 2) AS DOUBLE)
               AS est
   FROM p)
 SELECT l_orderkey, l_linenumber, CAST(price AS DOUBLE) AS current_price_usd,
-       CAST(CASE WHEN est <= 0 THEN CAST(100.00 AS DECIMAL(12,2)) ELSE est END AS DOUBLE) AS estimated_revenue_usd,
+       CASE WHEN est <= 0 THEN 100.0 ELSE est END AS estimated_revenue_usd,
        CASE WHEN players > 300000 THEN 1 ELSE 0 END AS hype_spike
 FROM e"""
 
 
+ML_ROWS = """
+SELECT concurrent_players, hype_score, discount_pc, estimated_revenue_usd
+FROM market_clean
+WHERE estimated_revenue_usd > 0
+  AND concurrent_players IS NOT NULL
+  AND hype_score IS NOT NULL AND NOT isnan(hype_score)
+  AND discount_pc IS NOT NULL AND NOT isnan(discount_pc)"""
+
+ML_SPLIT = f"""
+SELECT concurrent_players, hype_score, discount_pc, estimated_revenue_usd,
+       CAST(CAST('0x' || substr(digits, 9, 8) AS BIGINT) % 3 AS INT) AS fold,
+       CASE WHEN CAST('0x' || substr(digits, 1, 8) AS BIGINT) % 1000 < 800 THEN 'train' ELSE 'test' END AS side
+FROM (SELECT *, md5(concat_ws('|', {', '.join(f"CAST(CAST(round(CAST({c} AS DOUBLE) * 1000) AS HUGEINT) AS VARCHAR)"
+                                              for c in ('concurrent_players', 'hype_score', 'discount_pc', 'estimated_revenue_usd'))})) AS digits
+      FROM ({ML_ROWS}))"""
+
+# The normal equations of three standardised features, by Cramer's rule.
+ML_LEAST_SQUARES = f"""
+, ml AS ({ML_SPLIT}),
+s AS (SELECT avg(concurrent_players) AS m1, avg(hype_score) AS m2, avg(discount_pc) AS m3, avg(estimated_revenue_usd) AS my,
+             stddev_samp(concurrent_players) AS d1, stddev_samp(hype_score) AS d2, stddev_samp(discount_pc) AS d3,
+             corr(concurrent_players, hype_score) AS a, corr(concurrent_players, discount_pc) AS b, corr(hype_score, discount_pc) AS c,
+             covar_samp(concurrent_players, estimated_revenue_usd) / stddev_samp(concurrent_players) AS y1,
+             covar_samp(hype_score, estimated_revenue_usd) / stddev_samp(hype_score) AS y2,
+             covar_samp(discount_pc, estimated_revenue_usd) / stddev_samp(discount_pc) AS y3
+      FROM ml WHERE side = 'train'),
+d AS (SELECT *, 1 + 2 * a * b * c - a * a - b * b - c * c AS det FROM s),
+w AS (SELECT *, (y1 * (1 - c * c) + y2 * (b * c - a) + y3 * (a * c - b)) / det AS w1,
+             (y1 * (b * c - a) + y2 * (1 - b * b) + y3 * (a * b - c)) / det AS w2,
+             (y1 * (a * c - b) + y2 * (a * b - c) + y3 * (1 - a * a)) / det AS w3 FROM d),
+t AS (SELECT estimated_revenue_usd AS y, my + w1 * (concurrent_players - m1) / d1 + w2 * (hype_score - m2) / d2 + w3 * (discount_pc - m3) / d3 AS p
+      FROM ml, w WHERE side = 'test'),
+e AS (SELECT sqrt(avg((y - p) * (y - p))) AS rmse, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM t)
+SELECT term, printf('%.5e', value) AS value FROM (
+  SELECT 'concurrent_players' AS term, w1 AS value FROM w UNION ALL SELECT 'hype_score', w2 FROM w UNION ALL SELECT 'discount_pc', w3 FROM w
+  UNION ALL SELECT 'intercept', my FROM w UNION ALL SELECT 'rmse', rmse FROM e UNION ALL SELECT 'r2', r2 FROM e)"""
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {
         "market_raw": f"{MARKET_RAW}",
@@ -236,20 +288,19 @@ def oracle_sql() -> dict[str, str]:
         "serving_summary": with_kpis(SUMMARY_BODY),
         "kpi_export_unified": with_kpis(EXPORT_BODY),
         "kpi_export_sql_unified": with_kpis(SQL_EXPORT_BODY),
+        "chart_tables": with_kpis(CHARTS_BODY),
         "curated_roundtrip": out["market_clean"],
+        "market_csv_variants": out["market_clean"],
         "market_csv_roundtrip": out["market_clean"],
         "curated_view_kpi": out["sql_kpi6_discount_rate"],
         "kpi_export_from_store": with_kpis(EXPORT_BODY),
         "event_json_roundtrip": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED})",
         "hype_alerts_batch": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
         "hype_alerts_stream": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
+        "hype_alerts_restart": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
         "derived_price_revenue": DERIVED,
-        "ml_training_set": with_market("""
-SELECT concurrent_players, hype_score, discount_pc, estimated_revenue_usd
-FROM market_clean
-WHERE estimated_revenue_usd > 0
-  AND concurrent_players IS NOT NULL
-  AND hype_score IS NOT NULL AND NOT isnan(hype_score)
-  AND discount_pc IS NOT NULL AND NOT isnan(discount_pc)"""),
+        "ml_training_set": with_market(ML_ROWS),
+        "ml_split": with_market(ML_SPLIT),
+        "ml_least_squares": with_market(ML_LEAST_SQUARES),
     })
     return out

@@ -48,10 +48,10 @@ def test_cleaning_keeps_expected_rows(clean):
 
 
 def test_kpi1(clean):
-    assert rows(kpis.kpi1_revenue_platform(clean)) == rows_of(
+    assert rows(kpis.KPIS["kpi1_revenue_platform"](clean)) == rows_of(
         [("PlayStation 5", 12345678.92), ("PC", 1000.25), ("Mobile", 27.5)])
     # sorted descending
-    assert [r.platform for r in kpis.kpi1_revenue_platform(clean).collect()] == ["PlayStation 5", "PC", "Mobile"]
+    assert [r.platform for r in kpis.KPIS["kpi1_revenue_platform"](clean).collect()] == ["PlayStation 5", "PC", "Mobile"]
 
 
 def rows_of(items):
@@ -59,16 +59,16 @@ def rows_of(items):
 
 
 def test_kpi4(clean):
-    assert rows(kpis.kpi4_avg_ccu_platform(clean)) == rows_of(
+    assert rows(kpis.KPIS["kpi4_avg_ccu_platform"](clean)) == rows_of(
         [("PlayStation 5", 300000.0), ("PC", 100.0), ("Mobile", None)])
 
 
 def test_kpi6(clean):
-    assert rows(kpis.kpi6_discount_rate(clean)) == rows_of([("PlayStation 5", 10.0), ("Mobile", None)])
+    assert rows(kpis.KPIS["kpi6_discount_rate"](clean)) == rows_of([("PlayStation 5", 10.0), ("Mobile", None)])
 
 
 def test_kpi7(clean):
-    assert rows(kpis.kpi7_early_vs_full(clean)) == rows_of(
+    assert rows(kpis.KPIS["kpi7_early_vs_full"](clean)) == rows_of(
         [(0, 510.13, 1020.25, 2), (1, 12345678.92, 12345678.92, 1), (None, 7.5, 7.5, 1)])
 
 
@@ -78,7 +78,7 @@ def test_kpi7_sql_groups_by_flag(clean, spark):
 
 
 def test_kpi8_nulls_first(clean):
-    got = [tuple(r) for r in kpis.kpi8_monthly_trend(clean).collect()]
+    got = [tuple(r) for r in kpis.KPIS["kpi8_monthly_trend"](clean).collect()]
     assert got == [(None, 20.0), ("2024-01", 1000.25), ("2024-02", 12345678.92), ("2024-03", 7.5)]
 
 
@@ -86,14 +86,14 @@ def test_kpi3_limit_and_tie_break(spark):
     df = spark.createDataFrame(
         [(f"g{i:02d}", 100 if i < 12 else i) for i in range(15)],
         "genre string, concurrent_players int")
-    got = [r.genre for r in kpis.kpi3_top_genres_ccu(df).collect()]
+    got = [r.genre for r in kpis.KPIS["kpi3_top_genres_ccu"](df).collect()]
     assert got == [f"g{i:02d}" for i in range(10)]
 
 
 def test_money_sum_is_exact(spark):
     df = spark.createDataFrame([("a", 0.1)] * 10 + [("a", 1.005)], "platform string, estimated_revenue_usd double")
     # 10 × 0.10 + 1.005 (→ 1.01 as cents, half-up) = 2.01 exactly
-    assert kpis.kpi1_revenue_platform(df).first().total_revenue_usd == 2.01
+    assert kpis.KPIS["kpi1_revenue_platform"](df).first().total_revenue_usd == 2.01
 
 
 def test_batch_and_sql_kpis_agree(clean, spark):
@@ -104,7 +104,7 @@ def test_batch_and_sql_kpis_agree(clean, spark):
         "kpi4_avg_ccu_platform": ("sql_kpi4_avg_ccu_platform", ["platform", "avg_concurrent_players"]),
         "kpi5_avg_price_platform": ("sql_kpi5_avg_price_platform", ["platform", "avg_price_usd"]),
         "kpi6_discount_rate": ("sql_kpi6_discount_rate", ["platform", "avg_discount_pct"]),
-        "kpi7_early_vs_full": ("sql_kpi7_early_vs_full", ["avg_revenue_usd", "total_revenue_usd", "num_records"]),
+        "kpi7_early_vs_full": ("sql_kpi7_early_vs_full", ["avg_revenue_usd", "total_revenue_usd"]),
         "kpi8_monthly_trend": ("sql_kpi8_monthly_trend", ["year_month", "monthly_revenue_usd"]),
     }
     for name, (sql_name, cols) in pairs.items():
@@ -134,3 +134,37 @@ def test_short_and_long_csv_rows(spark, tmp_path):
     rows = clean_market(read_market_csv(spark, str(path))).collect()
     # The short row has no revenue and is dropped; the long row keeps its first eleven fields.
     assert [(r.platform, r.estimated_revenue_usd, r.concurrent_players) for r in rows] == [("PC", 9.99, 5)]
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    path = tmp_path / "other.csv"
+    path.write_text("note,estimated_revenue_usd,genre,platform,obs_date,is_on_sale,discount_pc,concurrent_players,hype_score,current_price_usd,holiday_sale,is_early_access,more\n"
+                    "n,9.99,RPG,PC,2024-01-06 00:00:00,1.0,10.0,1500.0,3.5,8.99,0.0,1.0,x\n"
+                    "n,5,RPG,PC,soon,no,1,1500.7,1,1,1,,y\n")
+    one, two = sorted(clean_market(read_market_csv(spark, str(path))).collect(), key=lambda r: -r.estimated_revenue_usd)
+    assert (one.platform, one.year_month, one.is_on_sale, one.concurrent_players, one.is_early_access) == ("PC", "2024-01", 1, 1500, 1)
+    assert (two.obs_date, two.is_on_sale, two.concurrent_players, two.is_early_access) == (None, None, 1500, None)
+
+
+def test_a_file_without_a_needed_column_is_refused(spark, tmp_path):
+    path = tmp_path / "less.csv"
+    path.write_text("platform,genre\nPC,RPG\n")
+    with pytest.raises(ValueError, match="no column obs_date"):
+        read_market_csv(spark, str(path))
+
+
+@pytest.mark.parametrize(("values", "total", "average"), [
+    ([0.004] * 1000 + [2.344] * 1000, 2348.0, 1.17), ([0.004] * 1000, 4.0, 0.0), ([2e16, 1.25], 20000000000000001.25, 1e16),
+    ([130000000000000.57, 0.01], 130000000000000.58, 65000000000000.29), ([5.0, float("inf")], float("inf"), float("inf")), ([9e18] * 4, 3.6e19, 9e18), ([3e25, 1.0], 3e25, 1.5e25)])
+def test_no_amount_is_cut_and_total_and_average_agree(spark, values, total, average):
+    df = spark.createDataFrame([(1, "PC", v) for v in values], "is_early_access int, platform string, estimated_revenue_usd double")
+    row = kpis.KPIS["kpi7_early_vs_full"](df).first()
+    assert row.total_revenue_usd == pytest.approx(total, rel=1e-15) and row.avg_revenue_usd == pytest.approx(average, rel=1e-15) and row.num_records == len(values)
+    assert run_sql_kpi(spark, "sql_kpi1_revenue_platform", df).first().total_revenue_usd == row.total_revenue_usd
+
+
+def test_kpi_tables_are_in_their_order(spark, clean):
+    for name, column, down in (("kpi2_revenue_genre", "total_revenue_usd", True), ("kpi5_avg_price_platform", "avg_price_usd", True), ("kpi8_monthly_trend", "year_month", False)):
+        for df in (kpis.KPIS[name](clean), run_sql_kpi(spark, f"sql_{name}", clean)):
+            got = [r[column] for r in df.collect() if r[column] is not None]
+            assert got == sorted(got, reverse=down)

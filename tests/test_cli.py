@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import subprocess
 import sys
 
@@ -56,6 +57,15 @@ def test_stream_cli_restart_resumes_from_stable_checkpoint(tmp_path):
     second = run("jobs/stream.py", "--input", msgs, "--out", out, "--available-now")
     assert second.returncode == 0, second.stderr[-2000:]
     assert alerts() == 40
+    # Events that come between two runs: the same messages under other names.
+    for name in [f for f in os.listdir(msgs) if f.endswith(".txt")]:
+        shutil.copy(os.path.join(msgs, name), os.path.join(msgs, "more-" + name))
+    third = run("jobs/stream.py", "--input", msgs, "--out", out, "--available-now")
+    assert third.returncode == 0, third.stderr[-2000:]
+    assert alerts() == 80
+    # Another checkpoint would lose alerts without a word, so it is refused.
+    other = run("jobs/stream.py", "--input", msgs, "--out", out, "--available-now", "--checkpoint", str(tmp_path / "new"))
+    assert other.returncode != 0 and "another checkpoint" in other.stderr
 
 
 def test_serve_train_and_sql_kpi_clis(base, tmp_path):

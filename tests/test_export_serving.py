@@ -70,3 +70,35 @@ def test_summary_and_share(spark, frames):
     assert summary.avg_discount_pct == pytest.approx(sum(means) / len(means), abs=0.006)
     shares = revenue_share(frames["kpi2_revenue_genre"]).collect()
     assert sum(r.revenue_share_pct for r in shares) == pytest.approx(100, abs=0.2)
+
+
+def test_a_corrupt_kpi_is_skipped_by_the_export_and_ends_a_strict_load(spark, frames, tmp_dir):
+    paths = writers.write_kpis({k: frames[k] for k in ("kpi1_revenue_platform", "kpi2_revenue_genre")}, tmp_dir)
+    file = next(os.path.join(paths["kpi2_revenue_genre"], f) for f in os.listdir(paths["kpi2_revenue_genre"]) if f.endswith(".parquet"))
+    with open(file, "r+b") as f:
+        f.truncate(40)
+    for name in os.listdir(paths["kpi2_revenue_genre"]):
+        if name.endswith(".crc"):
+            with open(os.path.join(paths["kpi2_revenue_genre"], name), "r+b") as f:
+                f.write(b"x")
+    assert list(kpi_store.load_kpis(spark, paths)) == ["kpi1_revenue_platform"]
+    with pytest.raises(Exception, match="(?i)parquet|checksum|footer"):
+        unify_kpis(kpi_store.load_kpis(spark, paths, strict=True)).collect()
+
+
+def test_tables_are_written_with_snappy(spark, frames, tmp_dir):
+    import pyarrow.parquet as pq
+
+    path = writers.write_kpis({"kpi1_revenue_platform": frames["kpi1_revenue_platform"]}, tmp_dir)["kpi1_revenue_platform"]
+    file = next(f for f in os.listdir(path) if f.endswith(".parquet"))
+    assert pq.ParquetFile(os.path.join(path, file)).metadata.row_group(0).column(0).compression == "SNAPPY"
+
+
+def test_a_tie_gives_the_first_name_and_large_numbers_stay_text(spark):
+    one = spark.createDataFrame([("b", 5.0), ("a", 5.0), ("c", 1e19)], "platform string, total_revenue_usd double")
+    two = spark.createDataFrame([("y", 7.0), ("x", 7.0)], "genre string, total_revenue_usd double")
+    row = serving_summary(one.where("platform != 'c'"), two, spark.createDataFrame([], "platform string, avg_discount_pct double")).first()
+    assert (row.top_platform, row.top_genre, row.avg_discount_pct) == ("a", "x", None)
+    text = {r.platform: r.total_revenue_usd for r in as_text_columns(one.union(spark.createDataFrame([("d", float("inf"))], one.schema))).collect()}
+    assert text == {"a": "5.00", "b": "5.00", "c": "10000000000000000000.00", "d": "Infinity"}
+    assert revenue_share(one).count() == 3

@@ -25,6 +25,13 @@ def test_revenue_estimate_and_fallback(spark):
     assert got == [1498.5, 100.0, None, 100.0]
 
 
+def test_nothing_is_cut_from_price_and_rate(spark):
+    df = spark.createDataFrame([(1000, 9.995, 12.3456, 0), (1000, 9.995, 12.3456, 1), (617330, 10.0, 0.0, 0), (5, float("inf"), 0.0, 1)], "players int, price double, disc double, on_sale int")
+    assert [r[0] for r in df.select(sale_price("price", "disc", "on_sale")).collect()] == [9.995, 8.76, 10.0, float("inf")]
+    got = [r[0] for r in df.select(revenue_estimate("players", "price", 0.12344, 1.234)).collect()]
+    assert got == [1233.78, 1233.78, 762032.15, float("inf")]
+
+
 def test_spike_and_release_labels(spark):
     df = spark.createDataFrame([(300_000, 1), (300_001, 0), (None, None)], "p int, f int")
     rows = df.select(spike_flag("p"), release_type("f")).collect()

@@ -64,3 +64,13 @@ def test_cross_validated_fit_save_load(spark, data, tmp_dir):
     a = sorted(r.predicted_revenue for r in scored.collect())
     b = sorted(r.predicted_revenue for r in again.collect())
     assert a == pytest.approx(b)
+
+
+def test_split_and_folds_do_not_depend_on_partitions(spark, data):
+    def sides(df):
+        train, test = revenue_model.split(revenue_model.keyed(df))
+        return sorted(map(tuple, train.collect())), sorted(map(tuple, test.collect()))
+
+    one, other = sides(data.repartition(2)), sides(data.repartition(7, "hype_score"))
+    assert one == other and 0.7 < len(one[0]) / data.count() < 0.9
+    assert {r[-1] for r in one[0]} == {0, 1, 2}

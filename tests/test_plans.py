@@ -37,7 +37,7 @@ def test_curated_layout(curated_path):
 
 
 def test_revenue_filter_and_pruning_reach_scan(spark, curated_path):
-    df = kpis.kpi1_revenue_platform(clean_market(read_curated(spark, curated_path)))
+    df = kpis.KPIS["kpi1_revenue_platform"](clean_market(read_curated(spark, curated_path)))
     text = formatted(df)
     assert "PushedFilters: [IsNotNull(estimated_revenue_usd), GreaterThan(estimated_revenue_usd,0.0)" in text
     read_schema = [ln for ln in text.splitlines() if "ReadSchema" in ln][0]
@@ -48,20 +48,20 @@ def test_revenue_filter_and_pruning_reach_scan(spark, curated_path):
 
 def test_partition_pruning(spark, curated_path):
     some = sorted(d.split("=", 1)[1] for d in os.listdir(curated_path) if d.startswith("platform="))[:1]
-    df = kpis.kpi1_revenue_platform(clean_market(read_curated(spark, curated_path, platforms=some)))
+    df = kpis.KPIS["kpi1_revenue_platform"](clean_market(read_curated(spark, curated_path, platforms=some)))
     text = formatted(df)
     assert "PartitionFilters: [isnotnull(platform" in text
     assert [r.platform for r in df.collect()] == some
 
 
 def test_partial_aggregation_before_shuffle(spark, curated_path):
-    df = kpis.kpi7_early_vs_full(clean_market(read_curated(spark, curated_path)))
+    df = kpis.KPIS["kpi7_early_vs_full"](clean_market(read_curated(spark, curated_path)))
     text = formatted(df)
-    assert "partial_sum" in text and "partial_avg" in text and "partial_count" in text
+    assert "partial_sum" in text and "partial_count" in text
 
 
 def test_top_k_is_take_ordered(spark, curated_path):
-    df = kpis.kpi3_top_genres_ccu(clean_market(read_curated(spark, curated_path)))
+    df = kpis.KPIS["kpi3_top_genres_ccu"](clean_market(read_curated(spark, curated_path)))
     assert "TakeOrderedAndProject" in formatted(df)
 
 
@@ -74,7 +74,7 @@ def test_one_pass_plan_has_one_scan_and_one_exchange(spark, curated_path):
     assert operators.count("Expand") == 1
     assert operators.count("Exchange") == 1
     read_schema = [ln for ln in text.splitlines() if "ReadSchema" in ln][0]
-    for unused in ("hype_score", "holiday_sale", "obs_date"):
+    for unused in ("hype_score", "holiday_sale"):
         assert unused not in read_schema
 
 
@@ -86,3 +86,17 @@ def test_export_reads_only_the_materialized_aggregate(spark, curated_path):
     text = formatted(unify_kpis(batch))
     assert curated_path not in text
     assert "rangepartitioning" not in text
+
+
+def test_no_query_over_market_rows_reads_orders(spark):
+    from kpiloom.plans.catalog import catalog
+
+    for name in ("market_clean", "kpi1_revenue_platform", "kpi7_early_vs_full", "sql_kpi8_monthly_trend", "ml_training_set"):
+        assert "orders.parquet" not in formatted(catalog()[name](spark, SF_SMALL))
+
+
+def test_share_computes_its_own_measures_only(spark, curated_path):
+    from kpiloom.plans.kpi_spec import kpi_pass
+
+    df = kpi_pass(read_curated(spark, curated_path), ["kpi2_revenue_genre"], sql_form=False)
+    assert df.columns == ["__genre", "rollup_genre", "sum_estimated_revenue_usd_2"]

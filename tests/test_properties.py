@@ -22,7 +22,7 @@ cents = st.integers(min_value=1, max_value=10**11)
 def test_money_sum_is_exact_for_any_partitioning(spark, values, partitions):
     rows = [(p, c / 100) for p, c in values]
     df = spark.createDataFrame(rows, "platform string, estimated_revenue_usd double").repartition(partitions)
-    got = {r.platform: r.total_revenue_usd for r in kpis.kpi1_revenue_platform(df).collect()}
+    got = {r.platform: r.total_revenue_usd for r in kpis.KPIS["kpi1_revenue_platform"](df).collect()}
     want: dict[str, Decimal] = {}
     for p, c in values:
         want[p] = want.get(p, Decimal(0)) + Decimal(c) / 100

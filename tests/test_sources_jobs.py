@@ -29,7 +29,7 @@ def test_view_over_dataframe_applies_revenue_filter(spark):
                                "platform string, is_on_sale int, estimated_revenue_usd double, discount_pc double")
     view = register_curated_view(spark, df, "market_curated_test")
     row = run_sql_kpi(spark, "sql_kpi6_discount_rate", view).first()
-    assert (row.platform, row.avg_discount_pct, row.games_on_sale, row.revenue_on_sale) == ("PC", 2.0, 1, 10.0)
+    assert (row.platform, row.avg_discount_pct, row.juegos_en_oferta, row.revenue_en_oferta) == ("PC", 2.0, 1, 10.0)
 
 
 def test_inferred_csv_schema_is_opt_in(spark, tmp_path):
@@ -53,7 +53,7 @@ def test_batch_job_from_csv(spark, tmp_path):
     paths = run_batch(spark, out, input_csv=str(path))
     kpi1 = {r.platform: r.total_revenue_usd for r in spark.read.parquet(f"{paths['kpis']}/kpi1_revenue_platform").collect()}
     assert kpi1 == {"PlayStation 5": 12345678.92, "PC": 1000.25, "Mobile": 27.5}
-    kpi7 = sorted((r.release_type, r.num_records)
+    kpi7 = sorted((r.release_type, r.num_registros)
                   for r in spark.read.parquet(f"{paths['kpis_sql']}/sql_kpi7_early_vs_full").collect())
     assert kpi7 == [("Early Access", 1), ("Full Release", 1), ("Full Release", 2)]
     exported = [f for f in os.listdir(paths["export"]) if f.endswith(".csv")]
