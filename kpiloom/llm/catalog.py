@@ -3,12 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.llm import embeddings, labeller, lines, minhash, mixing, pieces, repeats, search, toxicity, warc
+from kpiloom.llm.common import ship
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_OWN: dict[str, Query] = {
     "op1_mixing": mixing.query,
     "op2_warc": warc.query,
     "op3_vantage_trees": search.query,
@@ -20,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity.query,
     "op10_line_dedup": lines.query,
 }
+QUERIES = {name: shipped(query) for name, query in _OWN.items()}
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op2_warc": warc.SQL,

@@ -5,18 +5,39 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+import kpiloom
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that their Python finds it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(kpiloom.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="kpiloom-code-")) / "kpiloom_code.zip"  # on the driver, whose file server hands it out
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 

@@ -21,12 +21,13 @@ unless the third finds their text in another document.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import lines, minhash, mixing, pieces, toxicity
-from kpiloom.llm.common import table, written
+from kpiloom.llm.common import ship, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 LINE_DOCUMENTS = 5
@@ -52,12 +53,21 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.tokenised(docs, pieces.default_model())
 
 
+def shipped(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", toxicity_stage),
-    ("line-dedup", line_stage),
-    ("near-dedup", near_stage),
-    ("mixture", mixture_stage),
-    ("tokens", token_stage),
+    ("toxicity", shipped(toxicity_stage)),
+    ("line-dedup", shipped(line_stage)),
+    ("near-dedup", shipped(near_stage)),
+    ("mixture", shipped(mixture_stage)),
+    ("tokens", shipped(token_stage)),
 ]
 
 
