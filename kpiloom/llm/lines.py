@@ -294,12 +294,12 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     """doc_id, line, start, end, n_links, class_doc_id, class_line, class_documents, kept: one row per non-blank line.
 
     The class is named by its earliest line; n_links counts other texts that
-    the line's text is linked with directly, class_documents the documents of
-    all its equal lines and those linked to them.
+    the line's text is linked with directly, class_documents the documents that
+    hold a line of the class.
     """
     occ = written(occurrences(docs), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
-    texts = occ.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.approx_count_distinct("doc_id").alias("documents"))
+    texts = occ.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     texts = written(texts, "lines-distinct")
     pairs = written(candidates(docs, edits, least), "lines-pairs")
     first = texts.where("first.doc_id is not null").select("digest", "first.doc_id", "first.line")
@@ -309,7 +309,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     # Only texts that occur again or have links need more than their own line says.
     again = texts.join(joined, "digest", "left").join(degree, "digest", "left").where("n > 1 or component is not null")
     again = written(again.withColumn("component", F.coalesce("component", "digest")), "lines-again")
-    classes = again.groupBy("component").agg(F.min("first").alias("class"), F.sum("documents").alias("class_documents"))
+    holders = occ.join(again.select("digest", "component"), "digest").select("component", "doc_id").distinct()
+    classes = again.groupBy("component").agg(F.min("first").alias("class")).join(holders.groupBy("component").agg(F.count("doc_id").alias("class_documents")), "component")
     known = again.join(classes, "component").select("digest", "class", "class_documents", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     own = occ.join(known, "digest", "left").withColumn("class", F.coalesce("class", place))
     kept = F.col("doc_id").eqNullSafe(F.col("class.doc_id")) & (F.col("line") == F.col("class.line"))
@@ -318,7 +319,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
 
 
 def without_repeats(docs: DataFrame, least_documents: int, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
-    """``docs`` without the lines that repeat an earlier one, of classes that so many documents (about) share.
+    """``docs`` without the lines that repeat an earlier one, of classes that so many documents share.
 
     A document of which no non-blank line is left goes; one that had none
     stays. n_chars, where there is such a column, becomes the new length.

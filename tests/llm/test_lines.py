@@ -76,6 +76,10 @@ def test_classes_against_all_pairs(spark, rng, edits):
     got = lines.line_classes(documents(spark, texts), edits).collect()
     out = sorted((r.doc_id, r.line, texts[r.doc_id][r.start:r.end], r.n_links, r.class_doc_id, r.class_line, r.kept) for r in got)
     assert out == brute(list(enumerate(texts)), edits, lines.LEAST_CHARS)
+    holders = {}
+    for r in got:
+        holders.setdefault((r.class_doc_id, r.class_line), set()).add(r.doc_id)
+    assert all(r.class_documents == len(holders[r.class_doc_id, r.class_line]) for r in got)
 
 
 def test_every_pair_within_reach_shares_a_key(rng):
