@@ -36,7 +36,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from kpiloom.operators import kpis
     from kpiloom.operators.clean import clean_market
-    from kpiloom.plans.shared_scan import kpi_pass
+    from kpiloom.plans.kpi_spec import kpi_pass
     from kpiloom.session import local_test_session, scratch_path
     from kpiloom.sinks.writers import write_curated
     from kpiloom.sources import testdata
@@ -57,17 +57,16 @@ def main() -> None:
         ("KPI 1 over the curated table",
          "Revenue filter pushed into the Parquet scan, only the needed columns read, partial aggregation before "
          "the one (tiny) exchange, range exchange for the final sort.",
-         kpis.kpi1_revenue_platform(clean_market(cur))),
+         kpis.KPIS["kpi1_revenue_platform"](clean_market(cur))),
         ("KPI 1 for one platform (partition pruning)",
          "A platform filter becomes a PartitionFilter: other platform folders are never listed or read.",
-         kpis.kpi1_revenue_platform(clean_market(read_curated(spark, curated, platforms=["PROMO"])))),
+         kpis.KPIS["kpi1_revenue_platform"](clean_market(read_curated(spark, curated, platforms=["PROMO"])))),
         ("All KPI tables in one pass",
          "One scan, Expand ×4 (one copy per grouping key), partial aggregation, one exchange of partial rows.",
          kpi_pass(cur)),
-        ("Adapter: lineitem ⋈ orders ⋈ part → clean market rows",
-         "Equi-joins left to the planner: at this size both dimension sides are under the broadcast threshold; "
-         "at cluster scale they become sort-merge joins with AQE skew splitting. The fact table is spread only "
-         "because the test file is a single row group.",
+        ("Adapter: lineitem ⋈ part → clean market rows",
+         "An equi-join left to the planner: at this size the dimension side is under the broadcast threshold; "
+         "at cluster scale it becomes a sort-merge join with AQE skew splitting.",
          clean_market(testdata.market_raw(spark, sf_dir))),
         ("Curated write (rebalance by platform)",
          "The rebalance hint is the only large shuffle of the batch job; AQE splits a hot platform by size.",
