@@ -139,6 +139,12 @@ def coefficients(spark: SparkSession, model: PipelineModel, features: list[str]
                                  "term string, value double, reg_param double, elastic_net_param double")
 
 
+def grid_scores(spark: SparkSession, avg_rmse: list[float]) -> DataFrame:
+    """One row per combination of the grid, in the order of the search."""
+    combinations = [(r, e) for r in ML_REG_PARAMS for e in ML_ELASTIC_NET_PARAMS]
+    return spark.createDataFrame([(r, e, float(s)) for (r, e), s in zip(combinations, avg_rmse, strict=True)], "reg_param double, elastic_net_param double, avg_rmse double")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -74,3 +74,17 @@ def test_split_and_folds_do_not_depend_on_partitions(spark, data):
     one, other = sides(data.repartition(2)), sides(data.repartition(7, "hype_score"))
     assert one == other and 0.7 < len(one[0]) / data.count() < 0.9
     assert {r[-1] for r in one[0]} == {0, 1, 2}
+
+
+def test_a_changed_table_is_trained_on_anew(spark, tmp_path):
+    import shutil
+
+    from kpiloom.plans.catalog import catalog
+
+    for name in ("lineitem", "part"):
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+    first = catalog()["ml_metrics"](spark, str(tmp_path)).first().rmse
+    assert catalog()["ml_metrics"](spark, str(tmp_path)).first().rmse == first
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").where("l_orderkey % 2 = 0").toPandas().to_parquet(tmp_path / "lineitem.parquet")
+    assert catalog()["ml_metrics"](spark, str(tmp_path)).first().rmse != first
+    assert catalog()["ml_training"](spark, str(tmp_path)).count() == 4
