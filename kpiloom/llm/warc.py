@@ -14,9 +14,8 @@ An archive holds what one partition holds (``ARCHIVE_BYTES`` of html, or one lon
 
 Defined results: a null html is an empty payload; payloads below
 ``least_bytes`` are always responses; where rows repeat the largest page_id of
-a payload, each of them is a response; rows with a null page_id are written
-and read with a null page_id, and are responses unless another row of their payload has a
-page_id; null urls are written as ``urn:page:<page_id>``; an empty table
+a payload, each of them is a response; rows with a null page_id are responses,
+written and read with a null page_id; null urls are written as ``urn:page:<page_id>``; an empty table
 gives no archives and an empty result. Other columns are ignored.
 """
 
@@ -34,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import fresh_path, table
+from kpiloom.llm.common import fresh_path, release, table, written
 
 # --- Fixed values of the formats ---
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -133,20 +132,22 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES)
     """Archives of ``pages`` (page_id, url, html) under ``path``, ``*.txt`` by the writer's naming."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.octet_length("payload"))
-    shared = (rows.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes")
-              .agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    total = rows.agg(F.sum("bytes")).first()[0] or 0
-    placed = rows.join(shared, ["digest", "bytes"], "left").select("page_id", "url", "payload", "refers_to")
-    # Without an order, rows are dealt evenly: a hot payload fills no archive of its own.
-    placed = placed.repartition(max(1, -(-total // ARCHIVE_BYTES)))
+    rows = rows.withColumn("digest", F.sha1("payload"))
+    # Who refers to whom is found on ids and digests; the payloads themselves move once, evenly, as pages are many.
+    known = written(rows.select("page_id", "digest", F.octet_length("payload").alias("bytes")), "warc-digests")
+    total = known.agg(F.sum("bytes")).first()[0] or 0
+    shared = (known.where((F.col("bytes") >= least_bytes) & F.col("page_id").isNotNull()).groupBy("digest")
+              .agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).where("least != refers_to").drop("least"))
+    revisits = known.join(shared, "digest").where("page_id != refers_to").select("page_id", "digest", "refers_to").distinct()
+    dealt = rows.repartition(max(1, -(-total // ARCHIVE_BYTES)), "page_id", "digest")
+    placed = dealt.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "payload", "refers_to")
 
     def archived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[bytes]:
             for batch in batches:
                 for page, url, body, to in zip(*(batch.column(c) for c in ("page_id", "url", "payload", "refers_to")), strict=True):
                     page, to = page.as_py(), to.as_py()
-                    yield record(page, url.as_py(), body.as_py(), to, to is not None and page != to)
+                    yield record(page, url.as_py(), body.as_py(), to, to is not None)
 
         pending, size = [], 0
         for frame in frames(each()):
@@ -157,6 +158,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES)
                 pending, size = [], 0
         if pending:
             yield pa.record_batch({"frame": pa.array(pending, pa.binary())})
+        release()
 
     out = placed.mapInArrow(archived, "frame binary").select(F.col("frame").cast("string").alias("value"))
     out.write.option("lineSep", EMPTY_FRAME).option("compression", "none").text(path)
