@@ -24,7 +24,6 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kpiloom.llm import lines, minhash, mixing, pieces, toxicity
 from kpiloom.llm.common import ship, table, written

@@ -12,12 +12,10 @@ from tests.llm.conftest import documents, prose
 def brute(rows, unit, least):
     seen, out = {}, []
     for doc, text in sorted(rows, key=lambda r: r[0]):
-        parts = [(m.start(), m.group()) for m in re.finditer(r"[^\n]*", text or "") if m.end() > m.start() or True]
         lines, place = [], 0
         for n, raw in enumerate((text or "").split("\n")):
             lines.append((n, place, raw))
             place += len(raw) + 1
-        del parts
         if unit == "paragraph":
             runs, now = [], []
             for n, place, raw in [*lines, (0, 0, "")]:
