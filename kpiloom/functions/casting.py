@@ -50,7 +50,3 @@ def with_types(df: DataFrame, types: dict[str, DataType], formats: dict[str, str
 def iso_timestamp_text(col: Column) -> Column:
     """Timestamp → ISO-8601 text with microseconds and no zone."""
     return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-
-
-def date_text(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM-dd")

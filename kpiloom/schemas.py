@@ -1,6 +1,6 @@
 """Schemas and fixed values of the market data model.
 
-The raw market CSV is read with an explicit all-text schema and typed by
+The raw market CSV is read as text, by the names in its header, and typed by
 ``operators.clean`` so that one bad cell cannot silently turn a column into
 text (which schema inference would do). Events arrive as JSON text.
 """
@@ -42,6 +42,17 @@ ML_ELASTIC_NET_PARAMS = [0.0, 0.5]
 ML_FOLDS = 3
 ML_SPLIT = [0.8, 0.2]
 ML_SEED = 42
+# Fields of an event message.
+EVENT_SCHEMA = StructType([
+    StructField("timestamp", StringType(), True),
+    StructField("platform", StringType(), True),
+    StructField("genre", StringType(), True),
+    StructField("concurrent_players", IntegerType(), True),
+    StructField("hype_score", DoubleType(), True),
+    StructField("current_price_usd", DoubleType(), True),
+    StructField("is_on_sale", IntegerType(), True),
+    StructField("hype_spike", IntegerType(), True),
+])
 # --- end of fixed values ---
 
 # Target type of every market column after cleaning.
@@ -59,7 +70,6 @@ MARKET_TYPES = {
     "holiday_sale": IntegerType(),
 }
 
-MARKET_RAW_TEXT = StructType([StructField(c, StringType(), True) for c in MARKET_COLUMNS])
 
 MARKET_CLEAN = StructType(
     [StructField(c, MARKET_TYPES[c], c not in REQUIRED_COLUMNS) for c in MARKET_COLUMNS]
@@ -72,17 +82,6 @@ CURATED_SCHEMA = StructType(
     + [StructField("platform", StringType(), True)]
 )
 
-EVENT_SCHEMA = StructType([
-    StructField("timestamp", StringType(), True),
-    StructField("platform", StringType(), True),
-    StructField("genre", StringType(), True),
-    StructField("concurrent_players", IntegerType(), True),
-    StructField("hype_score", DoubleType(), True),
-    StructField("current_price_usd", DoubleType(), True),
-    StructField("is_on_sale", IntegerType(), True),
-    StructField("hype_spike", IntegerType(), True),
-])
-
 EVENT_COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
 
 ALERT_SCHEMA = StructType(EVENT_SCHEMA.fields + [StructField("event_time", TimestampType(), True)])
