@@ -103,7 +103,8 @@ def train(data: DataFrame, checkpoint: bool = True, parallelism: int = 4, persis
         data = materialize(data, "ml-training-set")
     train_df, test_df = split(data, random_split)
     if persist:
-        train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
+        # The search passes over these rows dozens of times, so they are dealt to all cores once; which rows they are, and their folds, is settled.
+        train_df = train_df.repartition(data.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         found = searched(parallelism=parallelism).fit(train_df)
     finally:
