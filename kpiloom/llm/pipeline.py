@@ -4,10 +4,9 @@ A stage takes documents and returns documents; the last one returns tokens. In
 between, every stage's rows are written as Parquet and read again.
 
 1. toxicity: documents with a score of at least ``toxicity.THRESHOLD`` go.
-2. line-dedup: of a class of near-equal lines that at least
-   ``LINE_DOCUMENTS`` documents share, only the earliest stays. Copies of
-   whole documents in smaller numbers are left to the next stage. A document
-   whose every line went goes too.
+2. line-dedup: of each class of near-equal lines only the earliest stays, as
+   op10 decides, however many documents hold it. A document whose every line
+   went, such as a whole copy, goes too.
 3. near-dedup: of each group of near-copies the document with the smallest
    doc_id stays. Documents without words are no copies of each other.
 4. mixture: each document is repeated as often as its source's target says,
@@ -29,7 +28,7 @@ from kpiloom.llm import lines, minhash, mixing, pieces, toxicity
 from kpiloom.llm.common import ship, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-LINE_DOCUMENTS = 5
+LINE_DOCUMENTS = 1  # a class of any number of documents, as op10 has it
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kpiloom.llm import mixing, pieces, pipeline, toxicity
+from kpiloom.llm import lines, mixing, pieces, pipeline, toxicity
 from tests.llm.conftest import documents, edited, prose
 from tests.llm.test_lines import brute as brute_lines
 from tests.llm.test_minhash import brute as brute_near
@@ -93,3 +93,16 @@ def test_stages_keep_columns_nulls_repeated_rows_and_no_rows(spark, rng, tmp_pat
                 assert out.columns == docs.columns
                 now = spark.createDataFrame(rows, docs.schema)
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line-dedup", "near-dedup", "mixture", "tokens"]
+
+
+def test_the_line_stage_removes_what_op10_does_not_keep(spark, rng):
+    shared, own, near = prose(rng, 12), prose(rng, 9), prose(rng, 15)
+    docs = documents(spark, [f"{shared}\n{prose(rng, 20)}", f"{prose(rng, 20)}\n{shared}", f"{own}\n{own}\n{prose(rng, 20)}\n{own}", f"{near}\n{own}x", f"{prose(rng, 20)}\n{near}.", own])
+    want = {}
+    for r in lines.line_classes(docs).collect():
+        if r.kept:
+            want.setdefault(r.doc_id, set()).add(r.line)
+    before = {r.doc_id: r.text.split("\n") for r in docs.collect()}
+    got = {r.doc_id: r.text.split("\n") for r in pipeline.line_stage(spark, docs, "").collect()}
+    assert got == {d: [before[d][n] for n in sorted(kept)] for d, kept in want.items()}
+    assert sorted(got) == [0, 1, 2, 3, 4] and [len(got[d]) for d in sorted(got)] == [2, 1, 2, 1, 1]
