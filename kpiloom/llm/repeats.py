@@ -3,12 +3,13 @@
 A unit is a line, or a run of lines without a blank one between them. It is
 normalised to its words (runs of characters other than 0x20 and 0x09-0x0D,
 A-Z as a-z), and two independent 64-bit hashes of their sequence name it. Units of
-at least ``least_words`` words are grouped by name over all documents; the
-earliest occurrence, by (doc_id, unit number), stays and the others are
-removed. Their places refer to the original text, in characters.
+at least ``least_words`` words, by default all, are grouped by name over all
+documents; the earliest occurrence, by (doc_id, unit number), stays and the
+others are removed. Their places refer to the original text, in characters. A
+passage that is repeated only inside longer units is not found.
 
-Defined results: null, empty and blank texts have no units; shorter units are
-never removed; rows with a null doc_id come after all others; where rows
+Defined results: null, empty and blank texts have no units; units of fewer
+words are never removed; rows with a null doc_id come after all others; where rows
 repeat a doc_id, units at the same place as the earliest stay like it; an
 empty table gives an empty result. Other columns are ignored, or passed on by
 ``without_repeats``.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from kpiloom.llm.common import in_arrow, table, utf8_parts, written
 from kpiloom.llm.words import mixed, powers, running, span_hashes, word_spans
 
-LEAST_WORDS = 50
+LEAST_WORDS = 1
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 

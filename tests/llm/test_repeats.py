@@ -56,3 +56,12 @@ def test_nulls_repeated_rows_long_texts_clashing_columns_and_no_rows(spark, rng)
     left = {r.doc_id: r for r in repeats.without_repeats(docs).collect()}
     assert left[4].text == "x\n \nend" and left[3].text == left[None].text == long and left[1].text is None and left[4].unit == "x"
     assert repeats.repeats(docs.limit(0)).collect() == [] and len(left) == 6
+
+
+def test_the_query_covers_every_line_that_is_not_blank(spark, rng, tmp_path):
+    short, passage = prose(rng, 3), [prose(rng, 20) for _ in range(4)]
+    texts = [f"{short}\n{prose(rng, 8)}", "\n".join([prose(rng, 9), *passage]), f"{prose(rng, 70)}\nx\n \n{short.upper()}", "\n".join([*passage, "x", prose(rng, 9)])]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in repeats.query(spark, str(tmp_path)).collect())
+    assert got == brute(list(enumerate(texts)), "line", 1)
+    assert [(r[0], r[1], r[5], r[6]) for r in got] == [(2, 3, 0, 0), *((3, i, 1, i + 1) for i in range(4)), (3, 4, 2, 1)]
