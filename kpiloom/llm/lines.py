@@ -13,7 +13,10 @@ verified on the whole texts by banded bit-parallel edit distance.
 
 Index and probe entries travel as packed arrays, dealt by their key, so that a
 shuffled row holds thousands of them. A frequent segment makes no pairs of
-rows: its entries are compared as arrays, some million at a time.
+rows: its entries are compared as arrays, some million at a time. Keys that a
+sample of the texts shows to have many entries are cut into blocks, and each
+pair of blocks is a part of its own; so the entries of one part stay few, but
+the comparisons of a frequent segment grow with the square of its texts.
 
 A class is a connected component of linked texts. Its earliest line, by
 (doc_id, line number), is kept and the others go.
@@ -34,13 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import in_arrow, release, table, utf8_parts, written
+from kpiloom.llm.common import in_arrow, release, slices, table, utf8_parts, written
 from kpiloom.llm.components import components
 from kpiloom.llm.words import mixed, powers
 
 EDITS = 2
 LEAST_CHARS = 20
 PAIRS = 1 << 21  # candidate pairs looked at together
+PART = 1 << 20  # entries of a part, about
+BLOCK = 1 << 15  # index or probe entries of a key that are compared in one part, about
+SAMPLE = 64  # of so many texts one is counted to find the frequent keys
+OWN, PROBE, INDEX = range(3)  # entries: indexed and compared among themselves, probing, indexed for others' probes only
 _SPACES = np.array([9, 10, 11, 12, 13, 32, 0xA0, 0x2028, 0x2029, 0x3000], np.uint32)
 _GROUP = (mixed(np.arange(1 << 12, dtype=np.uint64)) & np.uint64(7)).astype(np.uint8)
 
@@ -87,16 +94,25 @@ def lines_of(column: pa.Array) -> Iterator[Lines]:
         yield Lines(data, offsets, row)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, line, start, end (code points of the text), digest: one row per non-blank line."""
+def occurrences(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, line, start, end (code points of the text), digest, sampled: one row per non-blank line.
+
+    sampled: the line itself, for one in ``sample`` texts, chosen by their digest.
+    """
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = [(p.row, p.number, p.offset, p.offset + p.end - p.start, p.digest.view(np.int64)) for p in lines_of(batch.column("text"))]
+        columns, sampled = [], []
+        for p in lines_of(batch.column("text")):
+            columns.append((p.row, p.number, p.offset, p.offset + p.end - p.start, p.digest.view(np.int64)))
+            texts = np.full(len(p.row), None, object)
+            for k in np.flatnonzero(p.digest % np.uint64(sample) == 0).tolist():
+                texts[k] = p.chars[p.start[k]:p.end[k]].tobytes().decode("utf-32-le")
+            sampled.append(texts)
         row, number, start, end, digest = (np.concatenate(x) for x in zip(*columns, strict=True))
         return pa.record_batch({"doc_id": batch.column("doc_id").take(pa.array(row)), "line": pa.array(number.astype(np.int32)),
-                                "start": pa.array(start), "end": pa.array(end), "digest": pa.array(digest)})
+                                "start": pa.array(start), "end": pa.array(end), "digest": pa.array(digest), "sampled": pa.array(np.concatenate(sampled), pa.string())})
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), each, "doc_id long, line int, start long, end long, digest long")
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), each, "doc_id long, line int, start long, end long, digest long, sampled string")
 
 
 def segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -125,39 +141,103 @@ def entries(lines: Lines, chosen: np.ndarray, edits: int) -> tuple[list, list]:
     return index, probes
 
 
-def packed(docs: DataFrame, edits: int, least: int, parts: int) -> DataFrame:
-    """part, probe, keys, digests, counts: entries whose keys belong to the part, as arrays."""
+def sampled(occ: DataFrame, edits: int, least: int) -> DataFrame:
+    """key, probe: the entries of the sampled texts."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for lines in lines_of(batch.column("text")):
-            eligible = np.flatnonzero(lines.end - lines.start >= max(least, edits + 1))
-            if not len(eligible):
-                continue
-            eligible = eligible[np.unique(lines.digest[eligible], return_index=True)[1]]
-            counts = np.zeros(len(lines.start), np.uint32)
-            counts[eligible] = lines.counts(lines.start[eligible], lines.end[eligible])
-            for probe, got in enumerate(entries(lines, eligible, edits)):
-                key, line = (np.concatenate([g[k] for g in got]) for k in (0, 1))
-                part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-                order = np.argsort(part, kind="stable")
-                cut = np.searchsorted(part[order], np.arange(parts + 1))
-                key, line = key[order], line[order]
-                for p in np.flatnonzero(np.diff(cut)).tolist():
-                    s = slice(cut[p], cut[p + 1])
-                    out.append({"part": p, "probe": bool(probe), "keys": key[s].tobytes(), "digests": lines.digest[line[s]].tobytes(), "counts": counts[line[s]].tobytes()})
-        return pa.RecordBatch.from_pylist(out, pa.schema([("part", pa.int32()), ("probe", pa.bool_()), ("keys", pa.binary()), ("digests", pa.binary()), ("counts", pa.binary())]))
-
-    return in_arrow(docs.select("text"), each, "part int, probe boolean, keys binary, digests binary, counts binary")
-
-
-def matched(index: list[np.ndarray], probe: list[np.ndarray], edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of digests (smaller first) with a common key whose character counts allow so few edits. Arrays: keys, digests, counts."""
-    order = np.lexsort((index[1], index[0]))
-    keys, digests, counts = (x[order] for x in index)
+        got = [(np.zeros(0, np.uint64), np.zeros(0, bool))]
+        for lines in lines_of(batch.column("sampled")):
+            chosen = np.flatnonzero(lines.end - lines.start >= max(least, edits + 1))
+            for probe, side in enumerate(entries(lines, chosen, edits)):
+                got += [(key, np.full(len(key), bool(probe))) for key, _ in side]
+        key, probe = (np.concatenate(x) for x in zip(*got, strict=True))
+        return pa.record_batch({"key": pa.array(key.view(np.int64)), "probe": pa.array(probe)})
+
+    texts = occ.where("sampled is not null").select("digest", "sampled").dropDuplicates(["digest"])
+    return in_arrow(texts.select("sampled"), each, "key long, probe boolean")
+
+
+def sizes(occ: DataFrame, edits: int, least: int, block: int, sample: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """About how many entries there are; the keys, in order, with more than ``block`` index or probe entries, and the blocks to cut each into.
+
+    The sample only says how the work is cut: whatever it says, all entries are compared.
+    """
+    probes = F.sum(F.col("probe").cast("long"))
+    counts = written(sampled(occ, edits, least).groupBy("key").agg(F.count(F.lit(1)).alias("n"), probes.alias("probes")), "lines-keys")
+    total = (counts.agg(F.sum("n")).first()[0] or 0) * sample
+    most = F.greatest(F.col("probes"), F.col("n") - F.col("probes")) * sample
+    found = counts.where(most > block).select("key", F.ceil(most / block).alias("blocks")).collect()  # at most entries / block rows
+    keys, blocks = np.array([r.key for r in found], np.int64).view(np.uint64), np.array([r.blocks for r in found], np.int64)
+    order = np.argsort(keys)
+    return total, keys[order], blocks[order]
+
+
+def packed(docs: DataFrame, edits: int, least: int, parts: int, frequent: np.ndarray, blocks: np.ndarray) -> DataFrame:
+    """part, kind, keys, digests, counts: entries whose keys belong to the part, as arrays.
+
+    The kind is OWN, PROBE or INDEX. A frequent key's entries are cut into
+    blocks by their digest; each pair of blocks (i, j) is a part of its own,
+    with the index entries of j and the probe entries of i, and for i < j the
+    index entries of i as probes.
+    """
+    before = parts + np.concatenate([[0], np.cumsum(blocks * blocks)])
+
+    def batch_of(lines: Lines, counts: np.ndarray, kind: int, part: np.ndarray, key: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(part.astype(np.uint16) if len(part) and part.max() < 1 << 16 else part, kind="stable")  # so few are sorted by counting
+        part, key, line = part[order], key[order], line[order]
+        cut = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])[:len(part)]), len(part)).tolist()
+        out = [{"part": int(part[b]), "kind": kind, "keys": key[b:e].tobytes(), "digests": lines.digest[line[b:e]].tobytes(), "counts": counts[line[b:e]].tobytes()}
+               for b, e in zip(cut[:-1], cut[1:], strict=True)]
+        return pa.RecordBatch.from_pylist(out, pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("digests", pa.binary()), ("counts", pa.binary())]))
+
+    def dealt(lines: Lines, counts: np.ndarray, probe: bool, key: np.ndarray, line: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = np.searchsorted(frequent, key)
+        often = np.append(frequent, np.uint64(0))[at] == key
+        often &= at < len(frequent)
+        rare = ~often
+        yield batch_of(lines, counts, PROBE if probe else OWN, ((key[rare] >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), key[rare], line[rare])
+        at, key, line = at[often], key[often], line[often]
+        many, first = blocks[at], before[at]
+        own = (mixed(lines.digest[line]) % many.astype(np.uint64)).astype(np.int64)
+        for other in range(int(many.max()) if len(many) else 0):
+            some = other < many
+            if not probe:
+                for kind, where in ((OWN, some & (own == other)), (INDEX, some & (own != other))):
+                    yield batch_of(lines, counts, kind, (first + other * many + own)[where], key[where], line[where])
+                some &= own < other
+            yield batch_of(lines, counts, PROBE, (first + own * many + other)[some], key[some], line[some])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in batches:
+                for part in slices(batch):
+                    for lines in lines_of(part.column("text")):
+                        eligible = np.flatnonzero(lines.end - lines.start >= max(least, edits + 1))
+                        if not len(eligible):
+                            continue
+                        eligible = eligible[np.unique(lines.digest[eligible], return_index=True)[1]]
+                        counts = np.zeros(len(lines.start), np.uint32)
+                        counts[eligible] = lines.counts(lines.start[eligible], lines.end[eligible])
+                        for probe, got in enumerate(entries(lines, eligible, edits)):
+                            yield from (b for b in dealt(lines, counts, bool(probe), *(np.concatenate([g[k] for g in got]) for k in (0, 1))) if b.num_rows)
+        finally:
+            release()
+
+    return docs.select("text").mapInArrow(each, "part long, kind int, keys binary, digests binary, counts binary")
+
+
+def distinct_entries(side: list[np.ndarray]) -> list[np.ndarray]:
+    """Keys, digests and counts in order of key and digest, each pair of them once."""
+    order = np.lexsort((side[1], side[0]))
+    keys, digests, counts = (x[order] for x in side)
     fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (digests[1:] != digests[:-1])])[:len(keys)]
-    keys, digests, counts = keys[fresh], digests[fresh], counts[fresh]
-    for own in (True, False):
+    return [keys[fresh], digests[fresh], counts[fresh]]
+
+
+def matched(index: list[np.ndarray], probe: list[np.ndarray], edits: int, among: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of digests (smaller first) with a common key whose character counts allow so few edits. Arrays: keys, digests, counts. among: also those of two index entries."""
+    keys, digests, counts = distinct_entries(index)
+    for own in (True, False) if among else (False,):
         k, d, c = (keys, digests, counts) if own else probe
         low = np.arange(1, len(keys) + 1) if own else np.searchsorted(keys, k)
         size = np.searchsorted(keys, k, "right") - low
@@ -186,31 +266,64 @@ def difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def candidates(docs: DataFrame, edits: int, least: int) -> DataFrame:
-    """a, b: digests of texts with a segment in common."""
+class Held:
+    """The entries of one part. Entries that came again are dropped whenever those held have doubled, from ``PART`` on."""
+
+    def __init__(self) -> None:
+        self.sides = {kind: [[np.zeros(0, t)] for t in (np.uint64, np.int64, np.uint32)] for kind in (OWN, PROBE, INDEX)}
+        self.size, self.most = 0, PART
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        for kind, *row in zip(*(batch.column(n).to_pylist() for n in ("kind", "keys", "digests", "counts")), strict=True):
+            for held, data, t in zip(self.sides[kind], row, (np.uint64, np.int64, np.uint32), strict=True):
+                held.append(np.frombuffer(data, t))
+            self.size += len(row[0]) // 8
+        if self.size > self.most:
+            self.sides = {kind: [[x] for x in distinct_entries(self.side(kind))] for kind in self.sides}
+            self.size = sum(len(x[0][0]) for x in self.sides.values())
+            self.most = max(PART, 2 * self.size)
+
+    def side(self, kind: int) -> list[np.ndarray]:
+        return [np.concatenate(x) for x in self.sides[kind]]
+
+    def pairs(self, edits: int) -> Iterator[pa.RecordBatch]:
+        """Some at a time, those of ``PAIRS`` each once."""
+        own, other = self.side(OWN), self.side(INDEX)  # a part has entries of one of these kinds
+        among = not len(other[0])
+        found, size = [], 0
+        for step in matched(own if among else other, self.side(PROBE), edits, among):
+            found, size = [*found, np.stack(step)], size + len(step[0])
+            if size >= PAIRS:
+                yield unique_pairs(found)
+                found, size = [], 0
+        if size:
+            yield unique_pairs(found)
+
+
+def unique_pairs(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+    return pa.record_batch({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+
+
+def candidates(docs: DataFrame, occ: DataFrame, edits: int, least: int, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
+    """a, b: digests of texts with a segment in common. occ: the occurrences of the lines of ``docs``, with that sample."""
     dealt = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = packed(docs, edits, least, 4 * dealt).repartition(dealt, "part").sortWithinPartitions("part")
+    total, frequent, blocks = sizes(occ, edits, least, block, sample)
+    parts = max(4 * dealt, -(-total // PART))
+    rows = packed(docs, edits, least, parts, frequent, blocks).repartition(max(dealt, parts // 64), "part").sortWithinPartitions("part")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sides = []
-            for probe in (False, True):
-                got = [b.filter(pa.array([x.as_py() == probe for x in b.column("probe")])) for b in held]
-                sides.append([np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_py(), kind) for b in got for x in b.column(name))]) for name, kind in (("keys", np.uint64), ("digests", np.int64), ("counts", np.uint32))])
-            found = list(matched(*sides, edits))
-            unique = np.unique(np.stack([np.concatenate([f[k] for f in found]) for k in (0, 1)]), axis=1) if found else np.zeros((2, 0), np.int64)
-            yield pa.record_batch({"a": pa.array(unique[0]), "b": pa.array(unique[1])})
-
-        held, now = [], None
+        held, now = None, None
         for batch in batches:
-            for part in np.unique(batch.column("part").to_numpy()).tolist():
+            of = batch.column("part").to_numpy()
+            for part in np.unique(of).tolist():
                 if held and part != now:
-                    yield from pairs(held)
-                    held = []
-                now = part
-                held.append(batch.filter(pa.array(batch.column("part").to_numpy() == part)))
+                    yield from held.pairs(edits)
+                    held = None
+                held, now = held or Held(), part
+                held.add(batch.slice(*(lambda b, e: (b, e - b))(*np.searchsorted(of, [part, part + 1]).tolist())))
         if held:
-            yield from pairs(held)
+            yield from held.pairs(edits)
         release()
 
     return rows.mapInArrow(each, "a long, b long").distinct()
@@ -301,7 +414,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
     texts = occ.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     texts = written(texts, "lines-distinct")
-    pairs = written(candidates(docs, edits, least), "lines-pairs")
+    pairs = written(candidates(docs, occ, edits, least), "lines-pairs")
     first = texts.where("first.doc_id is not null").select("digest", "first.doc_id", "first.line")
     links = written(linked(docs, pairs, first, edits), "lines-links")
     joined = components(links, "a", "b").select(F.col("node").alias("digest"), "component")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +123,37 @@ def test_without_repeats(spark, rng):
     assert {i: r.text for i, r in got.items()} == {0: f"{a}\n{b}", 1: f"{c}\n", 3: None, 4: "", 5: "own words of the last one"}
     assert got[5].n_chars == len(got[5].text) and got[3].n_chars is None
     assert len(lines.without_repeats(docs, 9).collect()) == 6
+
+
+def test_the_entries_of_a_frequent_segment_are_dealt_to_many_parts(spark, rng):
+    head, block = prose(rng, 12)[:40], 32
+    family = [head + "".join(rng.choice("abcdefgh") for _ in range(78 + rng.randint(0, 2))) for _ in range(300)]
+    family += [changed(rng, x[40:], rng.randint(0, 2)).join([head, ""]) for x in family[:80]]
+    texts = ["\n".join(rng.sample(family, 20) + [prose(rng, 8)]) for _ in range(30)] + ["\n".join(family)]
+    docs = documents(spark, texts).repartition(4)
+    every = lines.occurrences(docs, 1)
+    whole = {(r.a, r.b) for r in lines.candidates(docs, lines.occurrences(docs), 2, 20).collect()}
+    assert {(r.a, r.b) for r in lines.candidates(docs, every, 2, 20, block, 1).collect()} == whole and len(whole) > 50
+
+    _, keys, blocks = lines.sizes(every, 2, 20, block, 1)
+    assert len(keys) and blocks.max() >= 4
+
+    def most(*frequent):
+        held = {}
+        for r in lines.packed(docs, 2, 20, 1 << 20, *frequent).collect():
+            held.setdefault(r.part, set()).update((r.kind, r.keys[i:i + 8], r.digests[i:i + 8]) for i in range(0, len(r.keys), 8))
+        return max(map(len, held.values()))
+
+    assert most(keys, blocks) < 5 * block < 200 < most(keys[:0], blocks[:0])
+
+
+def test_pairs_and_repeated_entries_are_not_held_until_the_part_ends(monkeypatch):
+    monkeypatch.setattr(lines, "PAIRS", 50)
+    monkeypatch.setattr(lines, "PART", 100)
+    held, digests = lines.Held(), np.arange(40)
+    entry = [np.full(40, 7, np.uint64).tobytes(), digests.tobytes(), np.zeros(40, np.uint32).tobytes()]
+    for _ in range(50):
+        held.add(pa.RecordBatch.from_pydict({"kind": [lines.OWN], **{n: [x] for n, x in zip(("keys", "digests", "counts"), entry, strict=True)}}))
+        assert held.size <= 140
+    got = [set(zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True)) for b in held.pairs(1)]
+    assert set().union(*got) == {(i, j) for i in range(40) for j in range(i + 1, 40)} and max(map(len, got)) < 100
