@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import embeddings, labeller, lines, minhash, mixing, pieces, repeats, search, toxicity, urls, warc
+from kpiloom.llm import divergence, embeddings, labeller, lines, minhash, mixing, pieces, repeats, search, toxicity, urls, warc
 from kpiloom.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,7 @@ _OWN: dict[str, Query] = {
     "op8_sentencepiece": pieces.query,
     "op9_toxicity": toxicity.query,
     "op10_line_dedup": lines.query,
+    "op11_source_divergence": divergence.query,
     "op12_url_filter": urls.query,
 }
 QUERIES = {name: shipped(query) for name, query in _OWN.items()}
@@ -40,5 +41,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op2_warc": warc.SQL,
     "op7_substring_dedup": repeats.SQL,
+    "op11_source_divergence": divergence.SQL,
     "op12_url_filter": urls.SQL,
 }
