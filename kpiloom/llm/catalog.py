@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import divergence, embeddings, labeller, lines, minhash, mixing, pieces, repeats, search, toxicity, urls, warc
+from kpiloom.llm import divergence, embeddings, labeller, lines, minhash, mixing, phrases, pieces, repeats, search, toxicity, urls, warc
 from kpiloom.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,7 @@ _OWN: dict[str, Query] = {
     "op10_line_dedup": lines.query,
     "op11_source_divergence": divergence.query,
     "op12_url_filter": urls.query,
+    "op13_collocations": phrases.query,
 }
 QUERIES = {name: shipped(query) for name, query in _OWN.items()}
 ORACLE_SQL: dict[str, str] = {
@@ -43,4 +44,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_substring_dedup": repeats.SQL,
     "op11_source_divergence": divergence.SQL,
     "op12_url_filter": urls.SQL,
+    "op13_collocations": phrases.SQL,
 }
