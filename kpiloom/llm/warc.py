@@ -45,6 +45,7 @@ ARCHIVE_BYTES = 32 << 20
 SAMPLE_BYTES = 2 << 20
 DICTIONARY_BYTES = 64 << 10
 LEAST_BYTES = 0
+SLICE_BYTES = 4 << 10  # that a reader gives its decompressor at once
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -108,11 +109,14 @@ def records_of(archive: bytes) -> Iterator[bytes]:
         elif magic & 0xFFFFFFF0 == 0x184D2A50:
             stream.seek(size, io.SEEK_CUR)
         else:
-            begin = stream.tell() - 8
-            one = unpacker.decompressobj()
-            out = one.decompress(memoryview(archive)[begin:])
-            stream.seek(len(archive) - len(one.unused_data))
-            yield out
+            stream.seek(-8, io.SEEK_CUR)
+            one, out = unpacker.decompressobj(), []
+            while not one.eof:  # what a slice has beyond the frame is copied, so it is small
+                if not (some := stream.read(SLICE_BYTES)):
+                    raise ValueError("the archive ends within a frame")
+                out.append(one.decompress(some))
+            stream.seek(-len(one.unused_data), io.SEEK_CUR)
+            yield b"".join(out)
 
 
 def parsed(one: bytes) -> dict:
