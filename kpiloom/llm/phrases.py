@@ -47,7 +47,8 @@ TOP = 2000  # phrases of a language
 SCALE = 2_000_000
 MOST_BITS = 30
 BUCKET_BYTES = 18  # of text for each bucket: three words, each of which counts LONGEST prefixes
-SALTS = 64  # parts of a language that are cut to TOP before the language is
+SPLITS = 8  # of the input that a task counts windows of, at most
+SALTS = 16  # parts of a language that are cut to TOP before the language is
 _PENDING = 3 << 23  # prefixes that a task holds before it adds them up
 _BLOCK = 16  # bits of a bucket within its block
 
@@ -200,7 +201,10 @@ def windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
             parts.append(pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(at)), *(names.take(pa.array(c)) for c in reversed(columns)), pa.array(counts.astype(np.int64))], names=["lang", *LEAD_COLUMNS, "n"]))
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if parts else None
 
-    return in_arrow(docs, each, f"lang string, {', '.join(f'{c} string' for c in LEAD_COLUMNS)}, n long")
+    # The more text a task has, the more windows meet in it: several splits a task, as long as all cores have work.
+    tasks = docs.rdd.getNumPartitions()
+    fewer = docs.coalesce(max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-tasks // SPLITS)))
+    return in_arrow(fewer, each, f"lang string, {', '.join(f'{c} string' for c in LEAD_COLUMNS)}, n long")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -208,7 +212,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     if not 1 <= least < 1 << 16:
         raise ValueError("a phrase occurs at least once; the sieve counts to 65,535")
     own = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    summed = windows(own, least).rollup("lang", *LEAD_COLUMNS).agg(F.grouping_id().alias("level"), F.sum("n").alias("f"))
+    # Equal windows meet first, in as many rows as tasks hold them; only what is left of them is expanded to the levels.
+    whole = windows(own, least).groupBy("lang", *LEAD_COLUMNS).agg(F.sum("n").alias("n"))
+    summed = whole.rollup("lang", *LEAD_COLUMNS).agg(F.grouping_id().alias("level"), F.sum("n").alias("f"))
     # The grouping id has a bit for each column summed over: 0 for whole windows, 2 ** LONGEST - 1 for the language.
     sizes = {(1 << (LONGEST - k)) - 1: k for k in range(LONGEST + 1)}
     k = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("level").cast("int"))
