@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(HERE))
 
 from kpiloom.session import build_session  # noqa: E402
 from kpiloom.sources.events import read_event_stream  # noqa: E402
-from kpiloom.streaming.alerts import await_any, hype_alerts, parse_events, start_alert_queries  # noqa: E402
+from kpiloom.streaming.alerts import ConsoleSink, Sink, await_any, hype_alerts, parse_events, start_alert_queries, start_shared_sinks  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -31,21 +31,30 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--out", required=True)
     parser.add_argument("--checkpoint")
     parser.add_argument("--starting-offsets", default="latest")
+    parser.add_argument("--starting-files", default="earliest", help="earliest, latest, or a time: files modified up to then are passed over")
+    parser.add_argument("--fail-on-data-loss", action="store_true")
     parser.add_argument("--max-per-trigger", type=int)
     parser.add_argument("--trigger", default="30 seconds")
     parser.add_argument("--console", action="store_true")
     parser.add_argument("--available-now", action="store_true")
+    parser.add_argument("--also", action="append", default=[], metavar="FORMAT=PATH",
+                        help="a further sink of the same stream, read once for all of them; the console shares it, too")
     args = parser.parse_args(argv)
 
     spark = build_session("kpiloom-stream")
     try:
-        messages = read_event_stream(spark, kafka_bootstrap=args.kafka, topic=args.topic, path=args.input,
-                                     starting_offsets=args.starting_offsets,
-                                     max_per_trigger=args.max_per_trigger)
         checkpoint = args.checkpoint or args.out.rstrip("/") + "_checkpoint"
-        queries = start_alert_queries(hype_alerts(parse_events(messages)), args.out, checkpoint,
-                                      parquet_trigger=args.trigger, console=args.console,
-                                      available_now=args.available_now)
+        messages = read_event_stream(spark, kafka_bootstrap=args.kafka, topic=args.topic, path=args.input,
+                                     starting_offsets=args.starting_offsets, fail_on_data_loss=args.fail_on_data_loss,
+                                     max_per_trigger=args.max_per_trigger, starting_files=args.starting_files,
+                                     start_file=None if args.kafka else f"{checkpoint}_start")
+        alerts = hype_alerts(parse_events(messages))
+        if args.also:
+            sinks = [Sink("parquet", args.out), *[Sink(*given.split("=", 1)) for given in args.also], *[ConsoleSink()] * args.console]
+            queries = [start_shared_sinks(alerts, sinks, checkpoint, trigger=args.trigger, available_now=args.available_now)]
+        else:
+            queries = start_alert_queries(alerts, args.out, checkpoint, parquet_trigger=args.trigger,
+                                          console=args.console, available_now=args.available_now)
         print(f"alerts → {args.out} (checkpoint {checkpoint})")
         await_any(spark, queries, finite=args.available_now)
         return 0

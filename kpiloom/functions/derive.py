@@ -41,6 +41,6 @@ def sale_price(base: str | Column, discount_pct: str | Column, on_sale: str | Co
 def revenue_estimate(players: str | Column, price: str | Column, rate: float,
                      fallback: float) -> Column:
     """round(players * price * rate, 2); ``fallback`` when that is not positive (NULL stays NULL)."""
-    exact = col_of(players).cast("decimal(10,0)") * col_of(price).try_cast("decimal(16,6)") * F.lit(Decimal(repr(rate)))
+    exact = col_of(players).try_cast("decimal(10,0)") * col_of(price).try_cast("decimal(16,6)") * F.lit(Decimal(repr(rate)))
     estimate = F.coalesce(F.round(exact, 2).cast("double"), F.round(col_of(players) * col_of(price) * rate, 2))
     return F.when(estimate <= 0, F.lit(float(fallback))).otherwise(estimate)

@@ -22,12 +22,29 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def exact_text(c: str) -> str:
+    """``c`` as a decimal, or NULL where that type cannot hold it."""
+    return f"TRY_CAST({c} AS {EXACT_TYPE})"
+
+
+def rest_text(c: str) -> str:
+    """``c`` as a double where it is no such decimal, else NULL."""
+    return f"CASE WHEN {exact_text(c)} IS NULL THEN CAST({c} AS DOUBLE) END"
+
+
+def total_text(exact: str, rest: str, digits: int | None = None) -> str:
+    """The sum of a column given by its two parts."""
+    whole = f"SUM({exact})" if digits is None else f"ROUND(SUM({exact}), {digits})"
+    return f"CASE WHEN SUM({rest}) IS NULL THEN CAST({whole} AS DOUBLE) ELSE COALESCE(CAST(SUM({exact}) AS DOUBLE), 0D) + SUM({rest}) END"
+
+
+def mean_text(exact: str, rest: str, digits: int) -> str:
+    return f"ROUND(TRY_DIVIDE({total_text(exact, rest)}, COUNT({exact}) + COUNT({rest})), {digits})"
+
+
 def sum_text(c: str, digits: int | None = None) -> str:
     """The sum of ``c`` as a double, exact before it is rounded; NULL without values."""
-    exact = f"SUM(TRY_CAST({c} AS {EXACT_TYPE}))"
-    rest = f"SUM(CASE WHEN TRY_CAST({c} AS {EXACT_TYPE}) IS NULL THEN CAST({c} AS DOUBLE) END)"
-    whole = exact if digits is None else f"ROUND({exact}, {digits})"
-    return f"CASE WHEN {rest} IS NULL THEN CAST({whole} AS DOUBLE) ELSE COALESCE(CAST({exact} AS DOUBLE), 0D) + {rest} END"
+    return total_text(exact_text(c), rest_text(c), digits)
 
 
 def avg_text(c: str, digits: int) -> str:

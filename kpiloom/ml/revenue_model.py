@@ -21,7 +21,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.schemas import (
@@ -64,6 +64,11 @@ def split(data: DataFrame, at_random: bool = False) -> tuple[DataFrame, DataFram
     return data.where(F.col(SPLIT) < cut), data.where(F.col(SPLIT) >= cut)
 
 
+def sided(data: DataFrame) -> DataFrame:
+    """Both sides of the split in one pass: a column ``side`` instead of the bucket."""
+    return data.withColumn("side", F.when(F.col(SPLIT) < round(BUCKETS * ML_SPLIT[0]), "train").otherwise("test")).drop(SPLIT)
+
+
 def evaluator(metric: str = "rmse", label: str = ML_LABEL) -> RegressionEvaluator:
     return RegressionEvaluator(labelCol=label, predictionCol=ML_PREDICTION, metricName=metric)
 
@@ -146,6 +151,11 @@ def grid_scores(spark: SparkSession, avg_rmse: list[float]) -> DataFrame:
     return spark.createDataFrame([(r, e, float(s)) for (r, e), s in zip(combinations, avg_rmse, strict=True)], "reg_param double, elastic_net_param double, avg_rmse double")
 
 
+def digits(c: str | Column, n: int = 6) -> Column:
+    """A number cut to so many significant digits: the solvers of two engines differ in the last ones of a double."""
+    return F.format_string(f"%.{n - 1}e", F.col(c) if isinstance(c, str) else c).cast("double")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -9,6 +9,7 @@ read-back table.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import partial
 
@@ -23,13 +24,13 @@ from kpiloom.operators.clean import clean_market
 from kpiloom.operators.export import unify_kpis
 from kpiloom.operators.serving import money_display, revenue_share, serving_summary
 from kpiloom.plans.kpis_sql import SQL_KPIS, run_sql_kpi
-from kpiloom.plans.shared_scan import all_kpis, some_kpis
-from kpiloom.schemas import ALERT_SCHEMA, MARKET_TYPES
-from kpiloom.session import materialize, scratch_path
+from kpiloom.plans.shared_scan import all_kpis, kpi_order, some_kpis
+from kpiloom.schemas import ALERT_SCHEMA, MARKET_TYPES, ML_PREDICTION
+from kpiloom.session import materialize, move_files, scratch_path
 from kpiloom.sinks import writers
 from kpiloom.sources import events as event_sources
 from kpiloom.sources import kpi_store, market, testdata
-from kpiloom.streaming.alerts import await_any, hype_alerts, parse_events, start_alert_queries
+from kpiloom.streaming.alerts import BATCH, Sink, await_any, await_rows, hype_alerts, parse_events, start_alert_queries, start_shared_sinks
 
 STREAM_FILES = 64  # files a micro-batch of the stream query takes
 
@@ -79,6 +80,20 @@ def kpi_export_sql_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify_kpis(sql)
 
 
+def kpi_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all 16 KPI tables with their places in each table's own order."""
+    batch, sql = all_kpis(market_clean(spark, sf_dir), materialize=True)
+    return kpi_order(batch, sql)
+
+
+def market_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows written as CSV and read back with types found in a pass over all of them; the types as text, too."""
+    path = scratch_path(spark, "market-csv-inferred")
+    writers.write_market_csv(testdata.market_raw(spark, sf_dir), path)
+    found = market.read_market_csv(spark, path, infer_schema=True)
+    return found.withColumn("types", F.lit(", ".join(f"{c} {t}" for c, t in found.dtypes)))
+
+
 def curated_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated rows written partitioned by platform and scanned back."""
     path = scratch_path(spark, "curated")
@@ -167,15 +182,70 @@ def hype_alerts_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable_alerts(spark.read.schema(ALERT_SCHEMA).parquet(output))
 
 
+def hype_alerts_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream into two sinks, Parquet and JSON, stopped and started again; the rows of both."""
+    source, checkpoint = scratch_path(spark, "shared-in"), scratch_path(spark, "shared-checkpoint")
+    sinks = [Sink(kind, scratch_path(spark, f"shared-{kind}")) for kind in ("parquet", "json")]
+    for sale in (0, 1):
+        rows = testdata.event_rows(spark, sf_dir).where(F.col("is_on_sale") == sale)
+        writers.encode_events(rows).write.mode("append").text(source)
+        stream = event_sources.read_event_stream(spark, path=source, max_per_trigger=STREAM_FILES)
+        start_shared_sinks(hype_alerts(parse_events(stream)), sinks, checkpoint, available_now=True).awaitTermination()
+    read = [sink.read(spark, ALERT_SCHEMA).withColumn("sink", F.lit(sink.format)).drop(BATCH) for sink in sinks]
+    return _comparable_alerts(read[0].unionByName(read[1]))
+
+
+def hype_alerts_from_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that come in two parts, read by streams that start at the earliest file and after the first part."""
+    source = scratch_path(spark, "position-in")
+    parts = [scratch_path(spark, f"position-part-{sale}") for sale in (0, 1)]
+    for sale, part in enumerate(parts):
+        writers.write_event_messages(testdata.event_rows(spark, sf_dir).where(F.col("is_on_sale") == sale), part)
+        if not sale:
+            start = event_sources.newest_file_time(spark, part)
+            time.sleep(0.05)  # for a clock of milliseconds
+    for part in parts:
+        move_files(spark, part, source)
+    out = []
+    for name, position in (("earliest", event_sources.EARLIEST), ("after the first part", start)):
+        output, checkpoint = scratch_path(spark, "position-alerts"), scratch_path(spark, "position-checkpoint")
+        stream = event_sources.read_event_stream(spark, path=source, max_per_trigger=STREAM_FILES, starting_files=position or event_sources.EARLIEST, start_file=f"{checkpoint}-start")
+        await_any(spark, start_alert_queries(hype_alerts(parse_events(stream)), output, checkpoint, available_now=True), finite=True)
+        out.append(spark.read.schema(ALERT_SCHEMA).parquet(output).withColumn("start", F.lit(name)))
+    return _comparable_alerts(out[0].unionByName(out[1]))
+
+
+def hype_alerts_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of a stream with a timed trigger over two arrivals of files; arrival: in which of them a row came.
+
+    The second part is handed over when the query's progress shows all rows of
+    the first one, and the query is stopped when it shows those of the second.
+    """
+    source, checkpoint = scratch_path(spark, "timed-in"), scratch_path(spark, "timed-checkpoint")
+    sink, sizes = Sink("parquet", scratch_path(spark, "timed-alerts")), []
+    parts = [scratch_path(spark, f"timed-part-{sale}") for sale in (0, 1)]
+    for sale, part in enumerate(parts):
+        writers.write_event_messages(testdata.event_rows(spark, sf_dir).where(F.col("is_on_sale") == sale), part)
+        sizes.append(event_sources.read_event_messages(spark, part).count())
+    move_files(spark, parts[0], source)
+    query = start_shared_sinks(hype_alerts(parse_events(event_sources.read_event_stream(spark, path=source))), [sink], checkpoint, trigger="500 milliseconds")
+    try:
+        first = await_rows(query, sizes[0])
+        move_files(spark, parts[1], source)
+        await_rows(query, sum(sizes), first)
+    finally:
+        query.stop()
+    arrival = F.when(F.col(BATCH) <= max(first, default=-1), 1).otherwise(2).alias("arrival")
+    return _comparable_alerts(sink.read(spark, ALERT_SCHEMA).select(*ALERT_SCHEMA.names, arrival))
+
+
 def ml_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue_model.training_set(market_clean(spark, sf_dir))
 
 
 def ml_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every labelled row with the side of the split and the fold that its hash gives."""
-    rows = revenue_model.keyed(ml_training_set(spark, sf_dir))
-    train, test = revenue_model.split(rows)
-    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test"))).drop(revenue_model.SPLIT)
+    return revenue_model.sided(revenue_model.keyed(ml_training_set(spark, sf_dir)))
 
 
 # Where the model and the test rows of these tables, in the state named by their files, were saved.
@@ -204,20 +274,28 @@ def _saved(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
 
 def ml_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grid search itself, always anew: the mean RMSE over the folds of every combination."""
-    return revenue_model.grid_scores(spark, _train(spark, sf_dir).avg_rmse)
+    return _in_digits(revenue_model.grid_scores(spark, _train(spark, sf_dir).avg_rmse), "avg_rmse")
+
+
+def _in_digits(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: revenue_model.digits(c) for c in columns})
+
+
+def _scores(model: PipelineModel, test: DataFrame) -> DataFrame:
+    return _in_digits(revenue_model.predictions(model, test), ML_PREDICTION)
 
 
 def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revenue_model.predictions(*_saved(spark, sf_dir))
+    return _scores(*_saved(spark, sf_dir))
 
 
 def ml_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test = _saved(spark, sf_dir)
-    return revenue_model.metrics(model.transform(test))
+    return _in_digits(revenue_model.metrics(model.transform(test)), "rmse", "r2")
 
 
 def ml_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revenue_model.coefficients(spark, _saved(spark, sf_dir)[0])
+    return _in_digits(revenue_model.coefficients(spark, _saved(spark, sf_dir)[0]), "value")
 
 
 def ml_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +303,7 @@ def ml_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test = _saved(spark, sf_dir)
     path = scratch_path(spark, "model")
     revenue_model.save_model(model, path)
-    return revenue_model.predictions(revenue_model.load_model(path), test)
+    return _scores(revenue_model.load_model(path), test)
 
 
 def ml_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,12 +324,13 @@ ESTIMATE_FALLBACK = 100.0
 
 def derived_price_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sale price, revenue estimate and spike flag derived from list prices."""
-    rows = testdata.listing_rows(spark, sf_dir)
-    price = sale_price("base_price_usd", "discount_pc", "is_on_sale")
+    # The price in a projection of its own: both of its readers take the computed column.
+    rows = testdata.listing_rows(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", "concurrent_players",
+        sale_price("base_price_usd", "discount_pc", "is_on_sale").alias("current_price_usd"))
     return rows.select(
-        "l_orderkey", "l_linenumber",
-        price.alias("current_price_usd"),
-        revenue_estimate("concurrent_players", price, ESTIMATE_RATE, ESTIMATE_FALLBACK).alias("estimated_revenue_usd"),
+        "l_orderkey", "l_linenumber", "current_price_usd",
+        revenue_estimate("concurrent_players", "current_price_usd", ESTIMATE_RATE, ESTIMATE_FALLBACK).alias("estimated_revenue_usd"),
         spike_flag("concurrent_players").alias("hype_spike"),
     )
 
@@ -271,8 +350,10 @@ def catalog() -> dict[str, Query]:
         "kpi_export_unified": kpi_export_unified,
         "kpi_export_sql_unified": kpi_export_sql_unified,
         "chart_tables": chart_tables,
+        "kpi_positions": kpi_positions,
         "curated_roundtrip": curated_roundtrip,
         "market_csv_variants": market_csv_variants,
+        "market_csv_inferred": market_csv_inferred,
         "market_csv_roundtrip": market_csv_roundtrip,
         "curated_view_kpi": curated_view_kpi,
         "kpi_export_from_store": kpi_export_from_store,
@@ -280,6 +361,9 @@ def catalog() -> dict[str, Query]:
         "hype_alerts_batch": hype_alerts_batch,
         "hype_alerts_stream": hype_alerts_stream,
         "hype_alerts_restart": hype_alerts_restart,
+        "hype_alerts_two_sinks": hype_alerts_two_sinks,
+        "hype_alerts_from_position": hype_alerts_from_position,
+        "hype_alerts_timed": hype_alerts_timed,
         "derived_price_revenue": derived_price_revenue,
         "ml_training_set": ml_training_set,
         "ml_split": ml_split,

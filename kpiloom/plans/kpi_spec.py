@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.derive import release_type
-from kpiloom.functions.money import avg_text, sum_text
+from kpiloom.functions.money import avg_text, exact_text, mean_text, rest_text, sum_text, total_text
 from kpiloom.schemas import MONTH_FORMAT, RELEASE_EARLY, RELEASE_FULL, TOP_GENRES_LIMIT
 
 ON_SALE = "is_on_sale = 1"
@@ -34,6 +34,18 @@ class Measure:
             return f"ROUND({self.what.upper()}({c}), {self.digits})"
         return {"sum": sum_text(c, self.digits), "avg": avg_text(c, self.digits), "peak": f"MAX({c})", "rows": f"COUNT({c})"}[self.what]
 
+    def typed(self, only: str | None = None) -> tuple[dict[str, str], str]:
+        """The same in two steps: columns to compute once a row, and the measure over them as SQL."""
+        if not self.column and not only:
+            return {}, "COUNT(*)"
+        name = f"__{self.column or 'row'}" + ("_on_sale" if only else "")
+        c = f"CASE WHEN {only} THEN {self.column or 1} END" if only else self.column
+        if self.what not in ("sum", "avg"):
+            text = {"min": f"ROUND(MIN({name}), {self.digits})", "max": f"ROUND(MAX({name}), {self.digits})", "peak": f"MAX({name})", "rows": f"COUNT({name})"}
+            return {name: c}, text[self.what]
+        exact, rest = f"{name}_exact", f"{name}_rest"
+        return {exact: exact_text(c), rest: rest_text(c)}, (total_text if self.what == "sum" else mean_text)(exact, rest, self.digits)
+
 
 @dataclass(frozen=True)
 class Kpi:
@@ -126,19 +138,23 @@ def kpi_sql(name: str) -> str:
 def kpi_pass(clean: DataFrame, names: list[str] | None = None, sql_form: bool = True) -> DataFrame:
     """One row per key and value, with the measures that the named KPIs need: one pass over the rows.
 
-    Grouping sets expand a row once for each key and combine map-side. Only
-    the keys and measures asked for are computed.
+    Grouping sets expand a row once for each key and combine map-side. What a
+    measure adds up (decimals, flags) is typed once a row, below the
+    expansion; only the keys and measures asked for are computed.
     """
     chosen = {n: KPI_SPECS[n] for n in (names or KPI_SPECS)}
     keys = list(dict.fromkeys(k.key for k in chosen.values()))
+    columns: dict[str, str] = {}
     wanted: dict[str, str] = {}
     for kpi in chosen.values():
         for m in dict.fromkeys(columns_of(kpi, False) + (columns_of(kpi, True) if sql_form else ())):
-            wanted[_stored(m, kpi)] = m.text(kpi.only)
+            own, wanted[_stored(m, kpi)] = m.typed(kpi.only)
+            columns |= own
         if kpi.only:
-            wanted["rows_of_" + kpi.key] = f"COUNT_IF({kpi.only})"
-    keyed = clean.select("*", *[F.expr(GROUPED_BY.get(k, k)).alias(f"__{k}") for k in keys])
-    return (keyed.groupingSets([[F.col(f"__{k}")] for k in keys], *[f"__{k}" for k in keys])
+            own, wanted["rows_of_" + kpi.key] = Measure("", "rows").typed(kpi.only)
+            columns |= own
+    typed = clean.select(*[F.expr(GROUPED_BY.get(k, k)).alias(f"__{k}") for k in keys], *[F.expr(text).alias(name) for name, text in columns.items()])
+    return (typed.groupingSets([[F.col(f"__{k}")] for k in keys], *[f"__{k}" for k in keys])
             .agg(*[F.grouping(f"__{k}").alias(f"rollup_{k}") for k in keys], *[F.expr(text).alias(name) for name, text in wanted.items()]))
 
 

@@ -10,9 +10,13 @@ rows first only where few of their combinations occur, which nothing bounds.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from kpiloom.plans.kpi_spec import KPI_SPECS, from_pass, kpi_pass, sql_name
+from kpiloom.operators.ordering import positioned
+from kpiloom.plans.kpi_spec import KPI_SPECS, from_pass, kpi_pass, order_of, sql_name
 from kpiloom.session import materialize as materialize_table
 
 
@@ -33,3 +37,21 @@ def all_kpis(clean: DataFrame, materialize: bool = False) -> tuple[dict[str, Dat
     if materialize:
         passed = materialize_table(passed, "kpi-pass")
     return ({name: from_pass(passed, name, False) for name in KPI_SPECS}, {sql_name(name): from_pass(passed, name, True) for name in KPI_SPECS})
+
+
+def kpi_order(batch: dict[str, DataFrame], sql: dict[str, DataFrame]) -> DataFrame:
+    """kpi_name, position, label, value: the rows of all given KPI tables in each table's order.
+
+    label is the key, value the measure that the table is ordered by, null where that is the key; ties come
+    by label, a null label first. All tables are stacked and ordered at once.
+    """
+    stacked = []
+    for name, kpi in KPI_SPECS.items():
+        for of, frames, sql_form in ((name, batch, False), (sql_name(name), sql, True)):
+            if of in frames:
+                df = frames[of]
+                by, down = (order_of(kpi, sql_form) or [(kpi.key, False)])[0]
+                value = F.lit(None).cast("double") if by == kpi.key else F.col(by).cast("double")
+                stacked.append(df.select(F.lit(of).alias("kpi_name"), F.col(df.columns[0]).cast("string").alias("label"), value.alias("value"), (-value if down else value).alias("__by")))
+    rows = positioned(reduce(DataFrame.unionByName, stacked), [F.asc_nulls_last("__by"), F.asc("label")], ("kpi_name",))
+    return rows.select("kpi_name", "position", "label", "value")

@@ -101,6 +101,58 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(store.exists(target)) and len(store.listStatus(target)) > 0
 
 
+def _store_of(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A short note (a position, a ledger entry) as a file of its own, in whatever store the path names.
+
+    It is written under another name first and then renamed, so that a reader finds all of it or none.
+    """
+    store, target = _store_of(spark, path)
+    part = target.suffix(f".{uuid.uuid4().hex}.part")
+    out = store.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not store.rename(part, target):
+        raise OSError(f"{path} could not be written")
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """What ``write_small`` wrote, or None if there is no such file."""
+    store, target = _store_of(spark, path)
+    if not store.exists(target):
+        return None
+    source = store.open(target)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def remove_small(spark: SparkSession, path: str) -> None:
+    store, target = _store_of(spark, path)
+    store.delete(target, False)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is missing."""
+    store, target = _store_of(spark, path)
+    return [entry.getPath().getName() for entry in store.listStatus(target)] if store.exists(target) else []
+
+
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Every data file of a folder into another one, each at once, as a producer hands over finished files."""
+    store, folder = _store_of(spark, target)
+    store.mkdirs(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in names_in(spark, source):
+        if not name.startswith(("_", ".")) and not store.rename(path(f"{source}/{name}"), path(f"{target}/{name}")):
+            raise OSError(f"{name} could not be moved to {target}")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and return the read-back table.
 

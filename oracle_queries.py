@@ -206,6 +206,26 @@ CHARTS_BODY = "\nUNION ALL\n".join(
         ("kpi8_monthly_trend", "year_month", "year_month", "monthly_revenue_usd")))
 
 
+# The key of each KPI table, and the measure that it is ordered by (descending) or none.
+ORDERED_BY = {
+    "kpi1_revenue_platform": ("platform", "total_revenue_usd"), "kpi2_revenue_genre": ("genre", "total_revenue_usd"),
+    "kpi3_top_genres_ccu": ("genre", "avg_concurrent_players"), "kpi4_avg_ccu_platform": ("platform", "avg_concurrent_players"),
+    "kpi5_avg_price_platform": ("platform", "avg_price_usd"), "kpi6_discount_rate": ("platform", "avg_discount_pct"),
+    "kpi7_early_vs_full": ("is_early_access", None), "kpi8_monthly_trend": ("year_month", None),
+    "sql_kpi1_revenue_platform": ("platform", "total_revenue_usd"), "sql_kpi2_revenue_genre": ("genre", "total_revenue_usd"),
+    "sql_kpi3_top_genres_ccu": ("genre", "avg_concurrent_players"), "sql_kpi4_avg_ccu_platform": ("platform", "avg_concurrent_players"),
+    "sql_kpi5_avg_price_platform": ("platform", "avg_price_usd"), "sql_kpi6_discount_rate": ("platform", "avg_discount_pct"),
+    "sql_kpi7_early_vs_full": ("release_type", "total_revenue_usd"), "sql_kpi8_monthly_trend": ("year_month", None),
+}
+
+POSITIONS_BODY = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS kpi_name, row_number() OVER (ORDER BY {f'{by} DESC NULLS LAST, ' if by else ''}{key} NULLS FIRST) AS position, CAST({key} AS VARCHAR) AS label, CAST({by or 'NULL'} AS DOUBLE) AS value FROM {name}"
+    for name, (key, by) in ORDERED_BY.items())
+
+INFERRED_TYPES = ("obs_date date, platform string, genre string, current_price_usd double, discount_pc double, is_on_sale int, "
+                  "concurrent_players int, hype_score double, estimated_revenue_usd double, is_early_access int, holiday_sale int")
+
+
 EVENTS_PARSED = f"""
 SELECT e.*, CAST(ts AS TIMESTAMP) AS event_time
 FROM ({EVENT_ROWS.replace('FROM events', ', ts FROM events')}) e"""
@@ -274,6 +294,55 @@ SELECT term, printf('%.5e', value) AS value FROM (
   UNION ALL SELECT 'intercept', my FROM w UNION ALL SELECT 'rmse', rmse FROM e UNION ALL SELECT 'r2', r2 FROM e)"""
 
 
+def elastic_net(penalties: str = "(0.01, 0.0), (0.01, 0.5), (0.1, 0.0), (0.1, 0.5)", folds: int = 3) -> str:
+    """The tuned regression as CTEs, up to ``best`` (the chosen combination) and ``scored`` (its test rows).
+
+    Each model m < folds is fitted without the rows of fold m, the model m = folds on all training rows. In
+    units of standard deviations, with the correlations R of the features and r of features and label, the
+    elastic net minimises b'Rb/2 - r'b + l1 * sum(abs(b)) + l2 * b'b/2. Its solution has some signs: for each
+    of the 27 sign patterns, zeros included, the linear system of the features that are not zero is solved by
+    Cramer's rule, and the pattern that meets the conditions of an optimum is the solution.
+    """
+    features = ("concurrent_players", "hype_score", "discount_pc")
+    y = "estimated_revenue_usd"
+    of = lambda k, c: f"avg({c}) AS m{k}, stddev_pop({c}) AS d{k}, stddev_samp({c}) AS s{k}, corr({c}, {y}) AS r{k}"
+    x1, x2, x3 = features
+    predicted = f"my + dy * (b1 * ({x1} - m1) / d1 + b2 * ({x2} - m2) / d2 + b3 * ({x3} - m3) / d3)"
+    return f"""
+, ml AS ({ML_SPLIT}),
+given AS (SELECT m, ml.* FROM ml, range({folds + 1}) t(m) WHERE side = 'train' AND fold <> m),
+moments AS (SELECT m, {', '.join(of(k, c) for k, c in enumerate(features, 1))}, avg({y}) AS my, stddev_pop({y}) AS dy,
+                   corr({x1}, {x2}) AS a, corr({x1}, {x3}) AS b, corr({x2}, {x3}) AS c FROM given GROUP BY m),
+grid(reg_param, elastic_net_param) AS (VALUES {penalties}),
+problem AS (SELECT *, reg_param * elastic_net_param / dy AS l1, reg_param * (1 - elastic_net_param) / dy AS l2
+            FROM moments, (SELECT CAST(reg_param AS DOUBLE) AS reg_param, CAST(elastic_net_param AS DOUBLE) AS elastic_net_param FROM grid)),
+signed AS (SELECT *, CASE WHEN g1 <> 0 THEN 1 + l2 ELSE 1 END AS p11, CASE WHEN g2 <> 0 THEN 1 + l2 ELSE 1 END AS p22, CASE WHEN g3 <> 0 THEN 1 + l2 ELSE 1 END AS p33,
+                  a * abs(g1 * g2) AS p12, b * abs(g1 * g3) AS p13, c * abs(g2 * g3) AS p23,
+                  abs(g1) * (r1 - l1 * g1) AS h1, abs(g2) * (r2 - l1 * g2) AS h2, abs(g3) * (r3 - l1 * g3) AS h3
+           FROM problem, range(-1, 2) t1(g1), range(-1, 2) t2(g2), range(-1, 2) t3(g3)),
+solved AS (SELECT *, p11 * (p22 * p33 - p23 * p23) - p12 * (p12 * p33 - p23 * p13) + p13 * (p12 * p23 - p22 * p13) AS det,
+                  (h1 * (p22 * p33 - p23 * p23) - p12 * (h2 * p33 - p23 * h3) + p13 * (h2 * p23 - p22 * h3)) / det AS b1,
+                  (p11 * (h2 * p33 - p23 * h3) - h1 * (p12 * p33 - p23 * p13) + p13 * (p12 * h3 - h2 * p13)) / det AS b2,
+                  (p11 * (p22 * h3 - h2 * p23) - p12 * (p12 * h3 - h2 * p13) + h1 * (p12 * p23 - p22 * p13)) / det AS b3 FROM signed),
+fitted AS (SELECT * FROM solved
+           WHERE CASE WHEN g1 <> 0 THEN g1 * b1 > 0 ELSE abs(r1 - a * b2 - b * b3) <= l1 END
+             AND CASE WHEN g2 <> 0 THEN g2 * b2 > 0 ELSE abs(r2 - a * b1 - c * b3) <= l1 END
+             AND CASE WHEN g3 <> 0 THEN g3 * b3 > 0 ELSE abs(r3 - b * b1 - c * b2) <= l1 END),
+tried AS (SELECT m, reg_param, elastic_net_param, sqrt(avg(({y} - p) * ({y} - p))) AS rmse
+          FROM (SELECT fitted.m, reg_param, elastic_net_param, {y}, {predicted} AS p FROM ml JOIN fitted ON fold = m WHERE side = 'train') GROUP BY ALL),
+searched AS (SELECT reg_param, elastic_net_param, avg(rmse) AS avg_rmse FROM tried GROUP BY ALL),
+best AS (SELECT fitted.* FROM fitted JOIN searched USING (reg_param, elastic_net_param) WHERE m = {folds} ORDER BY avg_rmse, reg_param, elastic_net_param LIMIT 1),
+scored AS (SELECT {y} AS y, {predicted} AS p FROM ml, best WHERE side = 'test')"""
+
+
+def six_digits(c: str) -> str:
+    return f"CAST(printf('%.5e', {c}) AS DOUBLE)"
+
+
+ML_TERMS = (("concurrent_players", "b1 * dy * s1 / d1"), ("hype_score", "b2 * dy * s2 / d2"), ("discount_pc", "b3 * dy * s3 / d3"), ("intercept", "my"))
+ML_PREDICTIONS = f"{elastic_net()}\nSELECT y AS estimated_revenue_usd, {six_digits('p')} AS predicted_revenue FROM scored"
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {
         "market_raw": f"{MARKET_RAW}",
@@ -289,8 +358,10 @@ def oracle_sql() -> dict[str, str]:
         "kpi_export_unified": with_kpis(EXPORT_BODY),
         "kpi_export_sql_unified": with_kpis(SQL_EXPORT_BODY),
         "chart_tables": with_kpis(CHARTS_BODY),
+        "kpi_positions": with_kpis(POSITIONS_BODY),
         "curated_roundtrip": out["market_clean"],
         "market_csv_variants": out["market_clean"],
+        "market_csv_inferred": f"SELECT *, '{INFERRED_TYPES}' AS types FROM ({MARKET_RAW})",
         "market_csv_roundtrip": out["market_clean"],
         "curated_view_kpi": out["sql_kpi6_discount_rate"],
         "kpi_export_from_store": with_kpis(EXPORT_BODY),
@@ -298,9 +369,17 @@ def oracle_sql() -> dict[str, str]:
         "hype_alerts_batch": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
         "hype_alerts_stream": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
         "hype_alerts_restart": f"SELECT {EVENT_COLS} FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
+        "hype_alerts_two_sinks": f"SELECT {EVENT_COLS}, unnest(['parquet', 'json']) AS sink FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
+        "hype_alerts_from_position": f"SELECT {EVENT_COLS}, unnest(CASE is_on_sale WHEN 0 THEN ['earliest'] ELSE ['earliest', 'after the first part'] END) AS start FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
+        "hype_alerts_timed": f"SELECT {EVENT_COLS}, is_on_sale + 1 AS arrival FROM ({EVENTS_PARSED}) WHERE hype_spike = 1",
         "derived_price_revenue": DERIVED,
         "ml_training_set": with_market(ML_ROWS),
         "ml_split": with_market(ML_SPLIT),
         "ml_least_squares": with_market(ML_LEAST_SQUARES),
+        "ml_training": with_market(f"{elastic_net()}\nSELECT reg_param, elastic_net_param, {six_digits('avg_rmse')} AS avg_rmse FROM searched"),
+        "ml_coefficients": with_market(elastic_net() + "\n" + " UNION ALL ".join(f"SELECT '{t}' AS term, {six_digits(v)} AS value, reg_param, elastic_net_param FROM best" for t, v in ML_TERMS)),
+        "ml_metrics": with_market(f"{elastic_net()}\nSELECT {six_digits('sqrt(avg((y - p) * (y - p)))')} AS rmse, {six_digits('1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))')} AS r2 FROM scored"),
+        "ml_predictions": with_market(ML_PREDICTIONS),
+        "ml_model_roundtrip": with_market(ML_PREDICTIONS),
     })
     return out

@@ -79,3 +79,20 @@ def test_serve_train_and_sql_kpi_clis(base, tmp_path):
     assert train.returncode == 0, train.stderr[-2000:]
     assert "rmse" in train.stdout and "intercept" in train.stdout
     assert os.path.isdir(tmp_path / "model" / "stages")
+
+
+def test_stream_cli_with_shared_sinks_and_a_start_position(tmp_path):
+    import json
+
+    msgs, out, more = (str(tmp_path / n) for n in ("msgs", "alerts", "json"))
+    assert run("jobs/publish.py", "--tables", SF_SMALL, "--out", msgs).returncode == 0
+    args = ["jobs/stream.py", "--input", msgs, "--out", out, "--also", f"json={more}", "--console", "--available-now"]
+    done = run(*args)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "Batch 0" in done.stdout and "hype_spike" in done.stdout
+    lines = [json.loads(x) for d, _, names in os.walk(more) for n in names if n.endswith(".json") for x in open(os.path.join(d, n))]
+    assert len(lines) == 40 and os.listdir(f"{out}_ledger") and os.path.exists(f"{out}_checkpoint_start")
+    # From the files that come after the first start: none are there.
+    late = run("jobs/stream.py", "--input", msgs, "--out", str(tmp_path / "late"), "--starting-files", "latest", "--available-now")
+    assert late.returncode == 0, late.stderr[-2000:]
+    assert not [f for f in os.listdir(tmp_path / "late") if f.endswith(".parquet") and os.path.getsize(tmp_path / "late" / f) > 5000]

@@ -88,3 +88,32 @@ def test_a_changed_table_is_trained_on_anew(spark, tmp_path):
     spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").where("l_orderkey % 2 = 0").toPandas().to_parquet(tmp_path / "lineitem.parquet")
     assert catalog()["ml_metrics"](spark, str(tmp_path)).first().rmse != first
     assert catalog()["ml_training"](spark, str(tmp_path)).count() == 4
+
+
+@pytest.mark.parametrize(("reg", "mix"), [(0.01, 0.5), (1e5, 0.0), (1e5, 1.0), (1e6, 0.5), (3e6, 1.0), (1e9, 1.0)])
+def test_elastic_net_by_sign_patterns(spark, data, reg, mix):
+    """The oracle's solution, held against Spark's solver also where the penalty sets coefficients to zero."""
+    import oracle_queries as oracle
+    from oracle_check import duck_conn
+
+    sql = oracle.with_market(f"{oracle.elastic_net(f'({reg}, {mix})')}\nSELECT b1 * dy * s1 / d1, b2 * dy * s2 / d2, b3 * dy * s3 / d3, my FROM best")
+    (*want, intercept), = duck_conn(SF_SMALL).execute(sql).fetchall()
+    train, _ = revenue_model.split(revenue_model.keyed(data))
+    pipeline, _ = revenue_model.regression(regParam=reg, elasticNetParam=mix, tol=1e-12, maxIter=1000)
+    fitted = pipeline.fit(train).stages[-1]
+    assert list(fitted.coefficients) == pytest.approx(want, rel=1e-5, abs=1e-3) and fitted.intercept == pytest.approx(intercept, rel=1e-9)
+    assert (reg < 3e6) or 0.0 in want
+
+
+def test_search_and_choice_against_the_oracle(spark, data):
+    """The folds, the mean scores and the chosen combination."""
+    import oracle_queries as oracle
+    from oracle_check import duck_conn
+
+    trained = revenue_model.train(data)
+    con = duck_conn(SF_SMALL)
+    scores = con.execute(oracle.with_market(f"{oracle.elastic_net()}\nSELECT avg_rmse FROM searched ORDER BY reg_param, elastic_net_param")).fetchall()
+    assert trained.avg_rmse == pytest.approx([s for s, in scores], rel=1e-9)
+    chosen = con.execute(oracle.with_market(f"{oracle.elastic_net()}\nSELECT reg_param, elastic_net_param FROM best")).fetchall()
+    last = trained.model.stages[-1]
+    assert chosen == [(last.getRegParam(), last.getElasticNetParam())]

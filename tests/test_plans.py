@@ -100,3 +100,21 @@ def test_share_computes_its_own_measures_only(spark, curated_path):
 
     df = kpi_pass(read_curated(spark, curated_path), ["kpi2_revenue_genre"], sql_form=False)
     assert df.columns == ["__genre", "rollup_genre", "sum_estimated_revenue_usd_2"]
+
+
+def test_measures_are_typed_once_below_the_expansion(spark, curated_path):
+    """No value is cast in an expanded row: casts to the decimal of the sums stand below Expand only."""
+    from kpiloom.plans.shared_scan import kpi_pass
+
+    tree = kpi_pass(read_curated(spark, curated_path))._jdf.queryExecution().sparkPlan().toString()
+    above, _, below = tree.partition("Expand")
+    assert "decimal(28,8)" not in above.replace(" ", "").lower().replace("sum(", "") or "try_cast" not in above.lower()
+    assert "cast(estimated_revenue_usd" not in above.replace("try_", "") and "decimal(28,8)" in below.lower()
+
+
+def test_split_reads_its_tables_once(spark):
+    from kpiloom.plans.catalog import catalog
+
+    text = formatted(catalog()["ml_split"](spark, SF_SMALL))
+    assert text.count("Scan parquet") == 2 * 2  # lineitem and part, each in the tree and in the details
+    assert "Union" not in text
