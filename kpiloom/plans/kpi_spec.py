@@ -34,17 +34,19 @@ class Measure:
             return f"ROUND({self.what.upper()}({c}), {self.digits})"
         return {"sum": sum_text(c, self.digits), "avg": avg_text(c, self.digits), "peak": f"MAX({c})", "rows": f"COUNT({c})"}[self.what]
 
-    def typed(self, only: str | None = None) -> tuple[dict[str, str], str]:
-        """The same in two steps: columns to compute once a row, and the measure over them as SQL."""
+    def typed(self, only: str | None = None, where: str | None = None) -> tuple[dict[str, str], str]:
+        """The same in two steps: columns to compute once a row, and the measure over them, as far as ``where``, as SQL."""
         if not self.column and not only:
             return {}, "COUNT(*)"
-        name = f"__{self.column or 'row'}" + ("_on_sale" if only else "")
-        c = f"CASE WHEN {only} THEN {self.column or 1} END" if only else self.column
+        name, taken = f"__{self.column or 'row'}", lambda c: f"CASE WHEN {where} THEN {c} END" if where else c
+        chosen = lambda c: f"CASE WHEN {only} THEN {c} END" if only else c
+        if only:
+            name += "_on_sale"
         if self.what not in ("sum", "avg"):
-            text = {"min": f"ROUND(MIN({name}), {self.digits})", "max": f"ROUND(MAX({name}), {self.digits})", "peak": f"MAX({name})", "rows": f"COUNT({name})"}
-            return {name: c}, text[self.what]
+            text = {"min": f"ROUND(MIN({taken(name)}), {self.digits})", "max": f"ROUND(MAX({taken(name)}), {self.digits})", "peak": f"MAX({taken(name)})", "rows": f"COUNT({taken(name)})"}
+            return {name: chosen(self.column or "1")}, text[self.what]
         exact, rest = f"{name}_exact", f"{name}_rest"
-        return {exact: exact_text(c), rest: rest_text(c)}, (total_text if self.what == "sum" else mean_text)(exact, rest, self.digits)
+        return {exact: chosen(exact_text(self.column)), rest: chosen(rest_text(self.column))}, (total_text if self.what == "sum" else mean_text)(taken(exact), taken(rest), self.digits)
 
 
 @dataclass(frozen=True)
@@ -140,19 +142,21 @@ def kpi_pass(clean: DataFrame, names: list[str] | None = None, sql_form: bool =
 
     Grouping sets expand a row once for each key and combine map-side. What a
     measure adds up (decimals, flags) is typed once a row, below the
-    expansion; only the keys and measures asked for are computed.
+    expansion, and added up for the keys that need it; only the keys and measures asked for are computed.
     """
     chosen = {n: KPI_SPECS[n] for n in (names or KPI_SPECS)}
     keys = list(dict.fromkeys(k.key for k in chosen.values()))
-    columns: dict[str, str] = {}
-    wanted: dict[str, str] = {}
+    needed: dict[str, tuple[Measure, str | None, list[str]]] = {}
     for kpi in chosen.values():
         for m in dict.fromkeys(columns_of(kpi, False) + (columns_of(kpi, True) if sql_form else ())):
-            own, wanted[_stored(m, kpi)] = m.typed(kpi.only)
-            columns |= own
+            needed.setdefault(_stored(m, kpi), (m, kpi.only, []))[2].append(kpi.key)
         if kpi.only:
-            own, wanted["rows_of_" + kpi.key] = Measure("", "rows").typed(kpi.only)
-            columns |= own
+            needed["rows_of_" + kpi.key] = (Measure("", "rows"), kpi.only, [kpi.key])
+    columns: dict[str, str] = {}
+    wanted: dict[str, str] = {}
+    for name, (m, only, of) in needed.items():
+        own, wanted[name] = m.typed(only, None if {*keys} <= {*of} else " OR ".join(f"GROUPING(__{k}) = 0" for k in dict.fromkeys(of)))
+        columns |= own
     typed = clean.select(*[F.expr(GROUPED_BY.get(k, k)).alias(f"__{k}") for k in keys], *[F.expr(text).alias(name) for name, text in columns.items()])
     return (typed.groupingSets([[F.col(f"__{k}")] for k in keys], *[f"__{k}" for k in keys])
             .agg(*[F.grouping(f"__{k}").alias(f"rollup_{k}") for k in keys], *[F.expr(text).alias(name) for name, text in wanted.items()]))
