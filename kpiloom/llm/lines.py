@@ -22,8 +22,9 @@ A class is a connected component of linked texts. Its earliest line, by
 (doc_id, line number), is kept and the others go.
 
 Defined results: blank lines and null texts have no rows; shorter lines are
-linked with equal lines only; lines of rows with a null doc_id come after all
-others and are linked with equal lines only; where rows repeat a doc_id, lines
+linked with equal lines only; a row is told by its doc_id and a hash of its
+text, in this order, so rows that share an id are documents of their own; lines of rows
+with a null doc_id come after all others; of rows equal in both, lines
 at the same place as the earliest are kept like it; an empty table gives an
 empty result. Other columns are ignored, or passed on by ``without_repeats``.
 """
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import in_arrow, release, slices, table, utf8_parts, written
@@ -95,7 +96,7 @@ def lines_of(column: pa.Array) -> Iterator[Lines]:
 
 
 def occurrences(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, line, start, end (code points of the text), digest, sampled: one row per non-blank line.
+    """doc_id, text_key, line, start, end (code points of the text), digest, sampled: one row per non-blank line.
 
     sampled: the line itself, for one in ``sample`` texts, chosen by their digest.
     """
@@ -109,10 +110,20 @@ def occurrences(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 texts[k] = p.chars[p.start[k]:p.end[k]].tobytes().decode("utf-32-le")
             sampled.append(texts)
         row, number, start, end, digest = (np.concatenate(x) for x in zip(*columns, strict=True))
-        return pa.record_batch({"doc_id": batch.column("doc_id").take(pa.array(row)), "line": pa.array(number.astype(np.int32)),
+        return pa.record_batch({"doc_id": batch.column("doc_id").take(pa.array(row)), "text_key": batch.column("text_key").take(pa.array(row)), "line": pa.array(number.astype(np.int32)),
                                 "start": pa.array(start), "end": pa.array(end), "digest": pa.array(digest), "sampled": pa.array(np.concatenate(sampled), pa.string())})
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), each, "doc_id long, line int, start long, end long, digest long, sampled string")
+    return in_arrow(named(docs), each, "doc_id long, text_key long, line int, start long, end long, digest long, sampled string")
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, text: a row is told by its doc_id and a hash of its text, as ids may repeat or be null."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
+def same_row(docs: DataFrame, other: DataFrame) -> Column:
+    """other: __id and __key."""
+    return docs["doc_id"].cast("long").eqNullSafe(other["__id"]) & (F.xxhash64(docs["text"]) == other["__key"])
 
 
 def segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -373,9 +384,10 @@ def within(a: str, b: str, edits: int) -> bool:
 
 
 def linked(docs: DataFrame, pairs: DataFrame, first: DataFrame, edits: int) -> DataFrame:
-    """Those of the pairs that so few edits part. first: digest, doc_id, line of one line with that text."""
+    """Those of the pairs that so few edits part. first: digest, doc_id, text_key, line of one line with that text."""
     wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(first, "digest").groupBy("doc_id").agg(F.collect_set(F.struct("line", "digest")).alias("wanted"))  # at most the lines of one document
+    wanted = wanted.join(first, "digest").groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
+        F.collect_set(F.struct("line", "digest")).alias("wanted"))  # at most the lines of one document
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = {"digest": [], "text": []}
@@ -391,7 +403,7 @@ def linked(docs: DataFrame, pairs: DataFrame, first: DataFrame, edits: int) -> D
                         out["text"].append(lines.chars[lines.start[k]:lines.end[k]].tobytes().decode("utf-32-le"))
         return pa.record_batch({"digest": pa.array(out["digest"], pa.int64()), "text": pa.array(out["text"], pa.string())})
 
-    both = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    both = docs.join(wanted, same_row(docs, wanted))
     texts = written(in_arrow(both.select("text", "wanted"), each, "digest long, text string"), "lines-texts")
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -404,42 +416,48 @@ def linked(docs: DataFrame, pairs: DataFrame, first: DataFrame, edits: int) -> D
 
 
 def line_classes(docs: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
-    """doc_id, line, start, end, n_links, class_doc_id, class_line, class_documents, kept: one row per non-blank line.
+    """The result of ``keyed_classes`` without the text_key."""
+    return keyed_classes(docs, edits, least).drop("text_key")
+
+
+def keyed_classes(docs: DataFrame, edits: int, least: int) -> DataFrame:
+    """doc_id, text_key, line, start, end, n_links, class_doc_id, class_line, class_documents, kept: one row per non-blank line.
 
     The class is named by its earliest line; n_links counts other texts that
     the line's text is linked with directly, class_documents the documents that
     hold a line of the class.
     """
     occ = written(occurrences(docs), "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line")
     texts = occ.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     texts = written(texts, "lines-distinct")
     pairs = written(candidates(docs, occ, edits, least), "lines-pairs")
-    first = texts.where("first.doc_id is not null").select("digest", "first.doc_id", "first.line")
+    first = texts.select("digest", "first.doc_id", "first.text_key", "first.line")
     links = written(linked(docs, pairs, first, edits), "lines-links")
     joined = components(links, "a", "b").select(F.col("node").alias("digest"), "component")
     degree = links.select(F.col("a").alias("digest")).union(links.select("b")).groupBy("digest").agg(F.count(F.lit(1)).alias("n_links"))
     # Only texts that occur again or have links need more than their own line says.
     again = texts.join(joined, "digest", "left").join(degree, "digest", "left").where("n > 1 or component is not null")
     again = written(again.withColumn("component", F.coalesce("component", "digest")), "lines-again")
-    holders = occ.join(again.select("digest", "component"), "digest").select("component", "doc_id").distinct()
-    classes = again.groupBy("component").agg(F.min("first").alias("class")).join(holders.groupBy("component").agg(F.count("doc_id").alias("class_documents")), "component")
+    holders = occ.join(again.select("digest", "component"), "digest").select("component", "doc_id", "text_key").distinct()
+    classes = again.groupBy("component").agg(F.min("first").alias("class")).join(holders.groupBy("component").agg(F.count(F.lit(1)).alias("class_documents")), "component")
     known = again.join(classes, "component").select("digest", "class", "class_documents", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     own = occ.join(known, "digest", "left").withColumn("class", F.coalesce("class", place))
-    kept = F.col("doc_id").eqNullSafe(F.col("class.doc_id")) & (F.col("line") == F.col("class.line"))
-    return own.select("doc_id", "line", "start", "end", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("class.doc_id").alias("class_doc_id"),
+    kept = F.col("doc_id").eqNullSafe(F.col("class.doc_id")) & (F.col("text_key") == F.col("class.text_key")) & (F.col("line") == F.col("class.line"))
+    return own.select("doc_id", "text_key", "line", "start", "end", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("class.doc_id").alias("class_doc_id"),
                       F.col("class.line").alias("class_line"), F.coalesce("class_documents", F.lit(1)).cast("long").alias("class_documents"), kept.alias("kept"))
 
 
 def without_repeats(docs: DataFrame, least_documents: int, edits: int = EDITS, least: int = LEAST_CHARS) -> DataFrame:
     """``docs`` without the lines that repeat an earlier one, of classes that so many documents share.
 
-    A document of which no non-blank line is left goes; one that had none
+    Rows that share a doc_id are documents of their own, told by their texts; rows equal in both are treated
+    alike. A document of which no non-blank line is left goes; one that had none
     stays. n_chars, where there is such a column, becomes the new length.
     """
-    again = line_classes(docs, edits, least).where(~F.col("kept") & (F.col("class_documents") >= least_documents) & F.col("doc_id").isNotNull())
-    gone = again.groupBy("doc_id").agg(F.collect_set("line").alias("__gone"))  # at most the lines of one document
-    whole = docs.join(gone.withColumnRenamed("doc_id", "__id"), docs["doc_id"].cast("long") == F.col("__id"), "left").drop("__id")
+    again = keyed_classes(docs, edits, least).where(~F.col("kept") & (F.col("class_documents") >= least_documents))
+    gone = again.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("line").alias("__gone"))  # at most the lines of one document
+    whole = docs.join(gone, same_row(docs, gone), "left").drop("__id", "__key")
     lines = F.split("text", "\n", -1)
     left = F.filter(lines, lambda _, i: ~F.array_contains(F.col("__gone"), i))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))

@@ -34,7 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import in_arrow, table, written
@@ -50,6 +50,7 @@ _XOR = _RANDOM.integers(1, 2**64, PERMUTATIONS, np.uint64, endpoint=False)
 _TIMES = _RANDOM.integers(1, 2**64, PERMUTATIONS, np.uint64, endpoint=False) | np.uint64(1)
 _SALTS = _RANDOM.integers(1, 2**64, ROWS + BANDS, np.uint64, endpoint=False) | np.uint64(1)
 SPREAD = 256  # members compared with one copy of a leader's text
+SALTS = 16  # parts that the pairs of one leader are counted and joined in
 BLOCK_BYTES = 1 << 19  # of differences that are compared with another block's
 
 
@@ -79,7 +80,10 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the word sequence, band keys (both null without words)."""
+    """doc_id, text_key, n_shingles, digest of the word sequence, band keys (both null without words).
+
+    A row is told by its doc_id and a hash of its text.
+    """
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         whole, sizes, keys = [], [], [np.zeros((0, BANDS), np.uint64)]
@@ -92,34 +96,44 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
         flat = np.concatenate(keys).view(np.int64).ravel()
         ends = np.concatenate([[0], np.cumsum((count > 0) * BANDS)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(count == 0, False)), flat)
-        return pa.record_batch({"doc_id": batch.column("doc_id"), "n_shingles": pa.array(count),
+        return pa.record_batch({"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "n_shingles": pa.array(count),
                                 "digest": pa.array(np.concatenate(whole).view(np.int64), mask=count == 0), "keys": lists})
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), each, "doc_id long, n_shingles long, digest long, keys array<long>")
+    return in_arrow(docs.select(*_named(docs), "text"), each, "doc_id long, text_key long, n_shingles long, digest long, keys array<long>")
+
+
+def _named(docs: DataFrame) -> list[Column]:
+    return [docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_key")]
+
+
+def _same(one: DataFrame, other: DataFrame) -> Column:
+    return one["doc_id"].eqNullSafe(other["__id"]) & (one["text_key"] == other["__key"])
 
 
 def texts_of(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
-    """node, text for each (doc_id, node) of ``chosen``: of a repeated doc_id, the text that has this digest."""
+    """node, text for each (doc_id, text_key, node) of ``chosen``."""
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         whole = np.concatenate([block for _, block, _ in shingle_sets(batch.column("text"), width)]).view(np.int64)
         return batch.filter(pa.array(whole == batch.column("node").to_numpy()))
 
-    both = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    return in_arrow(both.select("node", "text"), each, "node long, text string")
+    given, wanted = docs.select(*_named(docs), "text"), chosen.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
+    return in_arrow(given.join(wanted, _same(given, wanted)).select("node", "text"), each, "node long, text string")
 
 
 def paired(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b and others) with text_a and text_b. texts: node, text.
 
-    A leader that many pairs name is sent in one copy for every ``SPREAD`` of them.
+    A leader that many pairs name is sent in one copy for every ``SPREAD`` of them. They are counted and joined
+    in ``SALTS`` parts, so that no task gets all pairs of a leader.
     """
-    counted = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("copies"))
-    spread = pairs.join(counted, "a").withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")).drop("copies")
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "b"), F.lit(SALTS)).cast("int"))
+    counted = salted.groupBy("a", "salt").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("copies"))
+    spread = salted.join(counted, ["a", "salt"]).withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")).drop("copies")
     copies = (counted.join(texts, F.col("a") == F.col("node")).drop("node")
               .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies").withColumnRenamed("text", "text_a"))
     return (spread.join(texts, F.col("b") == F.col("node")).drop("node").withColumnRenamed("text", "text_b")
-            .join(copies.hint("merge"), ["a", "copy"]).drop("copy"))
+            .join(copies.hint("merge"), ["a", "salt", "copy"]).drop("salt", "copy"))
 
 
 def _both_sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -231,13 +245,14 @@ def far_links(flags: DataFrame, texts: DataFrame, width: int, threshold: int) ->
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
-    """node, component of linked nodes. nodes: one row for each distinct text, with node, doc_id and keys."""
+    """node, component of linked nodes. nodes: one row for each distinct text, with node, doc_id, text_key and keys."""
     hashed = nodes.select("node", F.explode("keys").alias("key"))
     shared = hashed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = written(hashed.join(shared, "key").distinct(), "minhash-buckets")
     # The member whose buckets hold most others leads them all: the text that the others vary, as a rule.
     ranks = written(buckets.groupBy("node").agg(F.sum("size").alias("rank")), "minhash-ranks")
-    texts = written(texts_of(docs, nodes.select("doc_id", "node").join(ranks, "node").select("doc_id", "node"), width), "minhash-texts")
+    chosen = nodes.join(ranks, "node").select("doc_id", "text_key", "node")
+    texts = written(texts_of(docs, chosen, width), "minhash-texts")
     first = buckets.join(ranks, "node").groupBy("key").agg(F.max_by("node", F.struct("rank", "node")).alias("a"))
     pairs = buckets.join(first, "key").where("node != a").select("a", F.col("node").alias("b")).distinct()
     flags = written(compared(pairs, texts, width, threshold), "minhash-compared")
@@ -245,31 +260,47 @@ def near_links(docs: DataFrame, nodes: DataFrame, width: int = WIDTH, threshold:
     return written(components(links, "a", "b"), "minhash-components")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
+def classes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, text_key, n_shingles, digest, component_id, stays: one row for each row of ``docs``.
+
+    stays is the (last, doc_id, text_key) of the one row of the component that
+    a deduplication leaves: the smallest, rows with a null doc_id after all others. It and the digest are null without words.
+    """
     rows = written(signatures(docs, width), "minhash-signatures")
-    first = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
-    nodes = rows.join(first, "digest").where("doc_id = first").select(F.col("digest").alias("node"), "doc_id", "keys")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = rows.where("digest is not null").groupBy("digest").agg(F.min(place).alias("first"))
+    nodes = rows.join(first, "digest").where(place == F.col("first")).select(F.col("digest").alias("node"), "doc_id", "text_key", "keys")
     nodes = written(nodes, "minhash-nodes")
     found = near_links(docs, nodes, width, threshold)
     least = first.join(found, F.col("digest") == F.col("node"), "left").select("digest", "first", F.coalesce("component", "digest").alias("component"))
     least = written(least, "minhash-classes")
-    smallest = least.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = least.join(smallest, "component").select("digest", "component_id")
-    # Without words a document is alone; a null doc_id has no component of its own.
-    out = rows.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    out = out.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    smallest = least.groupBy("component").agg(F.min("first").alias("stays"))
+    known = least.join(smallest, "component").select("digest", "stays")
+    out = rows.select("doc_id", "text_key", "n_shingles", "digest").join(known, "digest", "left")
+    # Without words a document is alone; a component of null ids alone has no doc_id to be named by.
+    return out.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("stays.doc_id")))
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
+    return classes(docs, width, threshold).select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def without_copies(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each group: those whose doc_id is the component of their text.
+    """``docs`` with exactly one row of each group of near-copies, that of the smallest doc_id; null ids come last.
 
-    Rows that repeat a doc_id go if any of them has a smaller component; rows
-    with a null doc_id stay.
+    Rows are judged by their doc_id and text, so a text stays if only another
+    row of its doc_id is a copy. Of rows equal in both, one stays.
     """
-    gone = near_duplicates(docs, width, threshold).where("kept = false").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    judged = classes(docs, width, threshold).where("digest is not null").groupBy("doc_id", "text_key").agg(
+        F.first(place != F.col("stays")).alias("gone"), F.count(F.lit(1)).alias("rows"))  # rows equal in both share their component
+    judged = written(judged.where("gone or rows > 1").withColumnsRenamed({"doc_id": "__id", "text_key": "__key"}), "minhash-judged")
+    mine = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__key"))
+    left = docs.join(judged, mine, "left_anti")
+    again = docs.join(judged.where("not gone"), mine)
+    one = Window.partitionBy("__id", "__key").orderBy(F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]))
+    return left.unionByName(again.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

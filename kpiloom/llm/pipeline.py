@@ -13,8 +13,9 @@ between, every stage's rows are written as Parquet and read again.
    which may be never.
 5. tokens: every copy is encoded.
 
-Defined results: documents with a null doc_id pass the second and third stage,
-unless the third finds their text in another document.
+Defined results: rows are told by their doc_id and text, so rows that share an
+id are documents of their own. Documents with a null doc_id come after all others: the
+second and third stage remove what they repeat. Of rows equal in id and text the third stage leaves one.
 """
 
 from __future__ import annotations

@@ -104,3 +104,21 @@ def test_blocks_of_differences_give_the_exact_links(rng):
             if len(np.intersect1d(sets[a], sets[b])) * 100 >= 80 * len(np.union1d(sets[a], sets[b])):
                 assert parent[a] == parent[b]
     assert 0 < len(found) < len(texts)
+
+
+def test_exactly_one_row_of_a_group_stays(spark, rng):
+    """Ids that repeat, are null, or belong to different texts: rows are judged one by one."""
+    copy, own, other = (prose(rng, 60) for _ in range(3))
+    near = copy + " end"
+    docs = documents(spark, [copy, near, own, copy, copy, own, other, other, None, ""], ids=[7, 5, 5, 5, None, None, None, None, 5, 5])
+    left = sorted((r.doc_id or 0, r.text or "") for r in minhash.without_copies(docs).collect())
+    assert [t for _, t in left if t in (copy, near)] in ([copy], [near]) and (5, own) in left
+    assert [d for d, t in left if t == own] == [5] and [d for d, t in left if t == other] == [0]
+    assert left.count((5, "")) == 2  # without words there are no copies
+
+
+def test_equal_rows_leave_one_whatever_their_other_columns(spark, rng):
+    text = prose(rng, 30)
+    docs = documents(spark, [text, text, text], ["a", "b", "b"], ids=[1, 1, 1])
+    assert minhash.without_copies(docs).count() == 1
+    assert minhash.without_copies(docs).columns == docs.columns
