@@ -5,7 +5,8 @@ space, character references are decoded. Elements that hold no text of the
 page (scripts, styles, titles, templates, form controls) give no blocks. Without
 its end tag a template or an element of raw text goes to the end of the page,
 another to the end of the block or link around it, and svg and math at most to
-the next block; one of these that its tag closes ("/>") is empty. A head has no
+the next block; one of these that its tag closes ("/>") is empty. An inline
+element that is hidden or styled not to be shown is silent in the same way. A head has no
 text of its own: what stands in it is silent or, as in browsers, of the body.
 A tag that the end of the page cuts off is markup.
 """
@@ -27,6 +28,8 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(
                     r"""|<(?P<silent>""" + "|".join(RAW_TAGS) + r""")(?=[\s/>])[^>]*>(?:.*?</(?P=silent)\s*>|.*\Z)"""
                     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+(?:>|\Z)|[^>]*(?:>|\Z))|</[^>]*(?:>|\Z)""", re.I | re.S)
 _NAMES = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+_ATTRIBUTES = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -45,7 +48,7 @@ def names_of(tag: str, rest: str) -> tuple[str, ...]:
         for key, *values in _NAMES.findall(rest):
             key, value = key.lower(), "".join(values)
             if key == "style":
-                out += ["is:hidden"] * bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+                out += ["is:hidden"] * bool(_NOT_SHOWN.search(value))
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 out.append("is:hidden")
             elif key in ("class", "id", "role"):
@@ -53,6 +56,13 @@ def names_of(tag: str, rest: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def unseen(rest: str) -> bool:
+    """Whether an inline element's attributes say that it is not shown."""
+    if "hidden" not in rest.lower() and "display" not in rest.lower():
+        return False
+    return any(key.lower() == "hidden" or key.lower() == "style" and _NOT_SHOWN.search(value) for key, value in _ATTRIBUTES.findall(rest))
+
+
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -128,8 +138,8 @@ def blocks_of(page: str) -> list[Block]:
                     stack.pop()
                 if tag not in VOID_TAGS:
                     stack.append((tag, names_of(tag, token["rest"])))
-        elif tag in ("span", "label") and not token["end"] and "hidden" in token["rest"]:
-            parts.append(" ")
+        elif not token["end"] and tag not in VOID_TAGS and not token["rest"].endswith("/>") and unseen(token["rest"]):
+            silent, depth, inside = tag, 1, []
     text(page[at:])
     flush()
     return out

@@ -60,21 +60,20 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
 
 
 def vectors(blocks: list[Block]) -> np.ndarray:
-    """A row per block: its tag path, its first and last words, counts of all of it."""
+    """A row per block: its tag path, all of its words, counts of all of it."""
     out = np.zeros((len(blocks), INPUT), np.float32)
     total, before = sum(len(b.text) for b in blocks), 0
     places, signs, counts = [], [], []
     for i, block in enumerate(blocks):
         text = block.text
         words = text.split(" ")
-        some = words if len(words) <= 12 else words[:8] + words[-4:]
-        scale = len(some) ** -0.5
-        for at, sign in map(hashed_word, some):
+        scale = len(words) ** -0.5
+        for at, sign in map(hashed_word, words):
             places.append(i * WORDS + at)
             signs.append(sign * scale)
         n = len(text)
         counts.append((log1p(len(words)) / 4, log1p(n) / 6, block.linked / n, text.count(",") / len(words), text[-1] in ".!?", text[0].isupper(),
-                       len(_DIGITS.findall(text, 0, 200)) / min(n, 200), i / len(blocks), before / total, n / total, 1.0))
+                       len(_DIGITS.findall(text)) / n, i / len(blocks), before / total, n / total, 1.0))
         before += n
     out[:, :PATH] = [path_vector(b.path) for b in blocks]
     out[:, PATH:PATH + WORDS] = np.bincount(places, signs, len(blocks) * WORDS).reshape(len(blocks), WORDS)

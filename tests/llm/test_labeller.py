@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kpiloom.llm import labeller
+from kpiloom.llm import blocks, labeller
 from kpiloom.llm.blocks import blocks_of
 from kpiloom.llm.common import table
 
@@ -107,3 +107,43 @@ def test_query_on_the_small_table(spark):
         got = r.text.split("\n")
         right, total = right + len(set(want) & set(got)), total + max(len(set(want)), len(set(got)))
     assert right >= 0.99 * total
+
+
+def test_hidden_inline_elements_have_no_text():
+    page = ('<p>one <span style="display: none">no <b>not</b> <span>no</span></span>two <b hidden>no</b><i class="hidden">three</i> <em HIDDEN>no</em>'
+            '<span aria-hidden="true">four</span> <span style="visibility:hidden">no</p><p>five <a href="x" title="hidden" >six</a> <img hidden> <b title="a hidden gem" style="font-style: display">seven</b></p>')
+    assert [b.text for b in blocks.blocks_of(page)] == ["one two three four", "five six seven"]
+
+
+def test_every_word_of_a_block_counts():
+    words = [f"w{k}" for k in range(40)]
+    one, other = ([blocks.Block(" ".join(x), ("p", "in:p"), 0)] for x in (words, [*words[:20], "casino", *words[21:]]))
+    first, second = labeller.vectors(one), labeller.vectors(other)
+    assert (first[:, labeller.PATH:labeller.PATH + labeller.WORDS] != second[:, labeller.PATH:labeller.PATH + labeller.WORDS]).any()
+    digits = labeller.vectors([blocks.Block("a" * 300 + " " + "1" * 50, ("p", "in:p"), 0)])
+    assert abs(digits[0, labeller.PATH + labeller.WORDS + 6] - 50 / 351) < 1e-6
+
+
+def network_step_by_step(x, weights):
+    """The bidirectional pass of one page, a block and a number at a time."""
+    import math
+
+    sig, hidden = lambda v: 1 / (1 + math.exp(-v)), labeller.HIDDEN
+    states = []
+    for side, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+        h, c, out = [0.0] * hidden, [0.0] * hidden, {}
+        for t in order:
+            gate = [sum(x[t][k] * weights["x" + side][k][g] for k in range(len(x[t]))) + sum(h[k] * weights["h" + side][k][g] for k in range(hidden)) + weights["c" + side][g] for g in range(4 * hidden)]
+            c = [sig(gate[hidden + k]) * c[k] + sig(gate[k]) * math.tanh(gate[3 * hidden + k]) for k in range(hidden)]
+            h = [sig(gate[2 * hidden + k]) * math.tanh(c[k]) for k in range(hidden)]
+            out[t] = h
+        states.append(out)
+    return [sig(sum(v * w for v, w in zip([*states[0][t], *states[1][t]], weights["w"], strict=True)) + weights["o"][0]) for t in range(len(x))]
+
+
+def test_the_network_against_a_step_by_step_version():
+    rng = np.random.default_rng(5)
+    weights = {k: v.astype(float) for k, v in labeller.started(3).items()}
+    x = rng.normal(0, 1, (5, labeller.INPUT))
+    got, _ = labeller.forward(x[:, None, :], np.ones((5, 1), bool), weights)
+    assert np.allclose(got[:, 0], network_step_by_step(x.tolist(), {k: v.tolist() for k, v in weights.items()}), atol=1e-5)
