@@ -50,7 +50,12 @@ SPLIT, FOLD = "split_bucket", "fold"
 
 def keyed(data: DataFrame, features: list[str] = ML_FEATURES, label: str = ML_LABEL) -> DataFrame:
     """Adds the split bucket and the fold of every row: digits of the MD5 of its values in thousandths."""
-    text = F.concat_ws("|", *[F.round(F.col(c).cast("double") * 1000).try_cast("decimal(38,0)").cast("string") for c in [*features, label]])
+    def thousandths(c: str) -> Column:
+        whole = F.round(F.col(c).cast("double") * 1000)
+        # A decimal only where 64 bits are too few: most numbers need none.
+        return F.coalesce(whole.try_cast("bigint").cast("string"), whole.try_cast("decimal(38,0)").cast("string"))
+
+    text = F.concat_ws("|", *[thousandths(c) for c in [*features, label]])
     digits = F.md5(text)
     number = lambda begin: F.conv(F.substring(digits, begin, 8), 16, 10).cast("bigint")
     return data.withColumns({SPLIT: (number(1) % BUCKETS).cast("int"), FOLD: (number(9) % ML_FOLDS).cast("int")})
