@@ -8,60 +8,99 @@ from pyspark.sql import functions as F
 from kpiloom.llm import repeats
 from tests.llm.conftest import documents, prose
 
+SPACE = "\x20\x09-\x0d"
+
+
+def units_of(text, unit):
+    """(start, end, words) of every unit of a text."""
+    if unit == "paragraph":
+        spans, place, now = [], 0, None
+        for raw in [*text.split("\n"), ""]:
+            if re.search(f"[^{SPACE}]", raw):
+                now = (now or (place, 0))[0], place + len(raw)
+            elif now:
+                spans, now = [*spans, now], None
+            place += len(raw) + 1
+        if now:
+            spans.append(now)
+    else:
+        spans = [m.span() for m in re.finditer("[^\n]+", text)]
+        if unit == "sentence":
+            spans = [(a + m.start(), a + m.end()) for a, b in spans for m in re.finditer(rf".+?(?:[.!?](?=[{SPACE}])|$)", text[a:b], re.S)]
+    out = []
+    for a, b in spans:
+        found = [(m.start() + a, m.end() + a, re.sub("[A-Z]", lambda x: x[0].lower(), m[0])) for m in re.finditer(f"[^{SPACE}]+", text[a:b])]
+        if found:
+            out.append((found[0][0], found[-1][1], [w for _, _, w in found]))
+    return out
+
 
 def brute(rows, unit, least):
-    seen, out = {}, []
+    """(doc, unit, start, end, words, first doc, first unit, removed) of the runs that occur again, in one ordered pass."""
+    seen = {}
     for doc, text in sorted(rows, key=lambda r: r[0]):
-        lines, place = [], 0
-        for n, raw in enumerate((text or "").split("\n")):
-            lines.append((n, place, raw))
-            place += len(raw) + 1
-        if unit == "paragraph":
-            runs, now = [], []
-            for n, place, raw in [*lines, (0, 0, "")]:
-                if re.search(r"[^\x20\x09-\x0D]", raw):
-                    now.append((place, raw))
-                elif now:
-                    runs.append((len(runs), now[0][0], (text or "")[now[0][0]:now[-1][0] + len(now[-1][1])]))
-                    now = []
-            lines = runs
-        for n, place, raw in lines:
-            words = re.findall(r"[^\x20\x09-\x0D]+", raw.translate({c: c + 32 for c in range(65, 91)}))
-            if len(words) < least:
-                continue
-            first, last = re.search(r"[^\x20\x09-\x0D]", raw).start(), len(re.sub(r"[\x20\x09-\x0D]+$", "", raw))
-            if (name := tuple(words)) in seen:
-                out.append((doc, n, place + first, place + last, len(words), *seen[name]))
-            else:
-                seen[name] = (doc, n)
-    return sorted(out)
-
-
-@pytest.mark.parametrize(("unit", "least"), [("line", 5), ("line", 1), ("paragraph", 3)])
-def test_units_against_one_pass_in_order(spark, rng, unit, least):
-    base = [prose(rng, rng.randint(1, 12)) + rng.choice(["", " É."]) for _ in range(25)]
+        own = units_of(text or "", unit)
+        for n in range(len(own)):
+            words, k = [], n
+            while len(words) < least and k < len(own):
+                words += own[k][2]
+                k += 1
+            if len(words) >= least:
+                seen.setdefault(tuple(words), []).append((doc, n, own[n][0], own[k - 1][1], len(words)))
+    return sorted((*place, *places[0][:2], place != places[0]) for places in seen.values() if len(places) > 1 for place in places)
+
+
+@pytest.mark.parametrize(("unit", "least"), [("line", 5), ("line", 1), ("paragraph", 3), ("sentence", 1), ("sentence", 12)])
+def test_runs_against_one_pass_in_order(spark, rng, unit, least):
+    base = [prose(rng, rng.randint(1, 12)) + rng.choice(["", " É.", ".", "?!", " . ."]) for _ in range(15)]
     texts = []
     for _ in range(120):
         chosen = [rng.choice([str.upper, str, str])(rng.choice(base)).replace(" ", rng.choice([" ", "  ", "\t"])) for _ in range(rng.randint(0, 7))]
-        texts.append(rng.choice(["", " ", "é\n"]) + "".join(c + rng.choice(["\n", "\n", " \r\n", "\n\n", "\n \n"]) for c in chosen))
-    got = sorted(tuple(r) for r in repeats.repeats(documents(spark, texts), unit, least).collect())
-    assert got == brute(list(enumerate(texts)), unit, least) and got
+        texts.append(rng.choice(["", " ", "é\n"]) + "".join(c + rng.choice(["\n", "\n", " \r\n", "\n\n", "\n \n", " ", ". "]) for c in chosen))
+    got = sorted(tuple(r) for r in repeats.occurrences(documents(spark, texts), unit, least).drop("key").collect())
+    assert got == brute(list(enumerate(texts)), unit, least) and any(r[-1] for r in got)
+    gone = sorted(tuple(r) for r in repeats.repeats(documents(spark, texts), unit, least).collect())
+    assert gone == [r[:-1] for r in got if r[-1]]
+    # What is left is the text without the removed stretches.
+    left = {r.doc_id: r.text for r in repeats.without_repeats(documents(spark, texts), unit, least).collect()}
+    for doc, text in enumerate(texts):
+        cut = [any(r[0] == doc and r[2] <= k < r[3] for r in gone) for k in range(len(text))]
+        assert left[doc] == "".join(c for c, x in zip(text, cut, strict=True) if not x)
+    words = lambda some: {tuple(u[2]) for t in some for u in units_of(t, unit)}
+    if unit == "line" and least == 1:
+        assert words(left.values()) == words(texts)  # no line is lost everywhere
 
 
 def test_nulls_repeated_rows_long_texts_clashing_columns_and_no_rows(spark, rng):
     long = prose(rng, 60_000)
-    docs = documents(spark, [None, "", long, f"x\n {long}\nend", long, "\n\n"], ids=[1, 2, 3, 4, None, 5]).withColumns({"unit": F.lit("x"), "name": F.lit(1), "start": F.lit(0)})
-    got = sorted((r.doc_id or 99, r.unit, r.start, r.first_doc_id) for r in repeats.repeats(docs).collect())
+    docs = documents(spark, [None, "", long, f"x\n {long}\nend", long, "\n\n"], ids=[1, 2, 3, 4, None, 5]).withColumns({"unit": F.lit("x"), "name": F.lit(1), "start": F.lit(0), "key": F.lit(2)})
+    got = sorted((r.doc_id or 99, r.unit, r.start, r.first_doc_id) for r in repeats.repeats(docs, "line").collect())
     assert got == [(4, 1, 3, 3), (99, 0, 0, 3)]
-    left = {r.doc_id: r for r in repeats.without_repeats(docs).collect()}
-    assert left[4].text == "x\n \nend" and left[3].text == left[None].text == long and left[1].text is None and left[4].unit == "x"
+    left = {r.doc_id: r for r in repeats.without_repeats(docs, "line").collect()}
+    assert left[3].text == long and left[None].text == "" and left[1].text is None and left[4].unit == "x" and left[4].text == "x\n \nend"
     assert repeats.repeats(docs.limit(0)).collect() == [] and len(left) == 6
 
 
-def test_the_query_covers_every_line_that_is_not_blank(spark, rng, tmp_path):
-    short, passage = prose(rng, 3), [prose(rng, 20) for _ in range(4)]
-    texts = [f"{short}\n{prose(rng, 8)}", "\n".join([prose(rng, 9), *passage]), f"{prose(rng, 70)}\nx\n \n{short.upper()}", "\n".join([*passage, "x", prose(rng, 9)])]
+def test_rows_that_share_an_id_keep_their_own_text(spark, rng):
+    passage, own, other = prose(rng, 55) + ".", prose(rng, 60) + ".", prose(rng, 70) + "."
+    texts = [f"{passage}\n{prose(rng, 20)}", f"{passage}\n{own}", f"{other}\nand a line that occurs nowhere else\n{passage}", own, own]
+    docs = documents(spark, texts, ids=[1, 3, 3, None, None])
+    left = sorted(r.text.strip() for r in repeats.without_repeats(docs).collect())
+    assert left == sorted([texts[0], own, f"{other}\nand a line that occurs nowhere else", "", ""])
+
+
+def test_a_very_common_passage(spark, rng):
+    """All documents share one passage: its runs are dealt to many parts, and all but one are removed."""
+    passage = prose(rng, 60) + "."
+    texts = [f"{prose(rng, 20)}.\n{passage}\n{prose(rng, 15)}" for _ in range(400)]
+    got = repeats.repeats(documents(spark, texts)).collect()
+    assert sorted(r.doc_id for r in got) == list(range(1, 400)) and {(r.first_doc_id, r.n_words) for r in got} == {(0, 60)}
+
+
+def test_the_query_names_passages_over_several_lines(spark, rng, tmp_path):
+    passage = [prose(rng, 20) for _ in range(4)]
+    texts = [f"x\n{prose(rng, 8)}", "\n".join([prose(rng, 9), *passage]), f"{prose(rng, 70)}\nx\n \nX", "\n".join([*passage, "x", prose(rng, 9)])]
     documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted(tuple(r) for r in repeats.query(spark, str(tmp_path)).collect())
-    assert got == brute(list(enumerate(texts)), "line", 1)
-    assert [(r[0], r[1], r[5], r[6]) for r in got] == [(2, 3, 0, 0), *((3, i, 1, i + 1) for i in range(4)), (3, 4, 2, 1)]
+    assert got == brute(list(enumerate(texts)), "sentence", repeats.PASSAGE_WORDS)
+    assert [(r[0], r[1], r[4], r[-1]) for r in got] == [*((1, k, 40, False) for k in (1, 2, 3)), *((3, k, 40, True) for k in (0, 1, 2))]
