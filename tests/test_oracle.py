@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 
 QUERIES = entry.queries()
 SQLS = entry.oracle_sql()
-ML_ONLY_ROWS = {name for name in QUERIES if name not in SQLS}
+NO_ORACLE = {name for name in QUERIES if name not in SQLS}
 
 
 @pytest.fixture(scope="module")
@@ -19,9 +19,8 @@ def con():
     return duck_conn(SF_SMALL)
 
 
-def test_every_query_has_an_oracle_or_is_iterative():
-    own = {n for n in ML_ONLY_ROWS if n != "pipeline" and not n.startswith("op")}  # those have their tests in tests/llm
-    assert own <= {"ml_training", "ml_predictions", "ml_metrics", "ml_coefficients", "ml_model_roundtrip"}
+def test_every_query_has_an_oracle():
+    assert {n for n in NO_ORACLE if n != "pipeline" and not n.startswith("op")} == set()  # those have their tests in tests/llm
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in SQLS])
