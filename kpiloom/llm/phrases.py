@@ -47,9 +47,8 @@ TOP = 2000  # phrases of a language
 SCALE = 2_000_000
 MOST_BITS = 30
 BUCKET_BYTES = 18  # of text for each bucket: three words, each of which counts LONGEST prefixes
-SPLITS = 8  # of the input that a task counts windows of, at most
 SALTS = 16  # parts of a language that are cut to TOP before the language is
-_PENDING = 3 << 23  # prefixes that a task holds before it adds them up
+_PENDING = 1 << 23  # prefixes that a task holds before it adds them up
 _BLOCK = 16  # bits of a bucket within its block
 
 _PIECE_ENDS = np.zeros(256, bool)
@@ -103,9 +102,16 @@ def _lang_hashes(langs: pa.Array) -> np.ndarray:
     return own[coded.indices.to_numpy(zero_copy_only=False)]
 
 
+def taken(pending: list[np.ndarray]) -> np.ndarray:
+    """All of them as one array; the list is empty then."""
+    out = np.concatenate(pending)
+    pending.clear()
+    return out
+
+
 def packed(buckets: np.ndarray, least: int) -> pa.RecordBatch:
-    """Counts of the buckets, up to ``least``, a compressed row for each block."""
-    buckets = np.sort(buckets)
+    """Counts of the buckets, up to ``least``, a compressed row for each block. Sorts ``buckets``."""
+    buckets.sort()
     first = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
     counts = np.minimum(np.diff(np.append(first, len(buckets))), least).astype(np.uint16)
     own = buckets[first]
@@ -132,16 +138,16 @@ def sieve(docs: DataFrame, least: int, bits: int) -> np.ndarray:
         for batch in batches:
             for part in slices(batch):
                 langs = _lang_hashes(part.column("lang"))
-                for row, _, data, offsets in utf8_parts(part.column("text"), 4 << 20):
+                for row, _, data, offsets in utf8_parts(part.column("text"), 2 << 20):
                     for prefix, there in Words(row, data, offsets).prefixes(langs):
                         pending.append((prefix[there] >> shift).astype(np.uint32))
                         size += len(pending[-1])
                     if size > _PENDING:
-                        yield packed(np.concatenate(pending), least)
-                        pending, size = [], 0
+                        yield packed(taken(pending), least)
+                        size = 0
+                        release()
         if size:
-            yield packed(np.concatenate(pending), least)
-        del pending
+            yield packed(taken(pending), least)
         release()
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +183,7 @@ def windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
         bitmap, langs, parts = frequent.value, batch.column("lang"), []
         hashes, coded = _lang_hashes(langs), langs.dictionary_encode()
         lang_codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        for row, _, data, offsets in utf8_parts(batch.column("text"), 8 << 20):
+        for row, _, data, offsets in utf8_parts(batch.column("text"), 2 << 20):
             words = Words(row, data, offsets)
             if not len(words.codes):
                 continue
@@ -201,10 +207,7 @@ def windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
             parts.append(pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(at)), *(names.take(pa.array(c)) for c in reversed(columns)), pa.array(counts.astype(np.int64))], names=["lang", *LEAD_COLUMNS, "n"]))
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if parts else None
 
-    # The more text a task has, the more windows meet in it: several splits a task, as long as all cores have work.
-    tasks = docs.rdd.getNumPartitions()
-    fewer = docs.coalesce(max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-tasks // SPLITS)))
-    return in_arrow(fewer, each, f"lang string, {', '.join(f'{c} string' for c in LEAD_COLUMNS)}, n long")
+    return in_arrow(docs, each, f"lang string, {', '.join(f'{c} string' for c in LEAD_COLUMNS)}, n long")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:

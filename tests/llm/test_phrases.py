@@ -64,7 +64,7 @@ def test_sieve_loses_no_phrase(spark, corpus, monkeypatch):
     buckets = np.random.default_rng(1).integers(0, 1 << 20, 50_000).astype(np.uint32)
     buckets[:9000] = 77
     monkeypatch.undo()
-    batch = phrases.packed(buckets, 40)
+    batch = phrases.packed(buckets.copy(), 40)
     got = {}
     for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
         places, n = phrases.unpacked(counts)
