@@ -7,14 +7,17 @@ elastic-net problem is solved on that tiny matrix. Split and folds are taken
 from a hash of the row's values, so they do not depend on files, partitions
 or cores, another engine can compute them alike, and a lost executor changes
 nothing; equal rows fall on one side. ``randomSplit`` remains as an option. The
-labelled rows are written once to the shared folder, and the grid search
-passes over a persisted (memory, spilling to disk) copy.
+labelled rows are written once to the shared folder. A fit and its RMSE depend on
+count, means and covariances of the rows alone, so one pass over all training rows
+takes these for every fold, and the grid search runs over a few weighted rows a fold
+that have the same ones. The best combination is fitted on all training rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -74,24 +77,54 @@ def sided(data: DataFrame) -> DataFrame:
     return data.withColumn("side", F.when(F.col(SPLIT) < round(BUCKETS * ML_SPLIT[0]), "train").otherwise("test")).drop(SPLIT)
 
 
-def evaluator(metric: str = "rmse", label: str = ML_LABEL) -> RegressionEvaluator:
-    return RegressionEvaluator(labelCol=label, predictionCol=ML_PREDICTION, metricName=metric)
+def evaluator(metric: str = "rmse", label: str = ML_LABEL, **params: str) -> RegressionEvaluator:
+    return RegressionEvaluator(labelCol=label, predictionCol=ML_PREDICTION, metricName=metric, **params)
 
 
-def regression(features: list[str] = ML_FEATURES, label: str = ML_LABEL, **params: float) -> tuple[Pipeline, LinearRegression]:
+def regression(features: list[str] = ML_FEATURES, label: str = ML_LABEL, **params: float | str) -> tuple[Pipeline, LinearRegression]:
     """Features side by side, standardised, into an elastic-net regression; the last stage on its own, too."""
     last = LinearRegression(featuresCol="scaled", labelCol=label, predictionCol=ML_PREDICTION, **params)
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="assembled"),
                             StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True), last]), last
 
 
-def searched(label: str = ML_LABEL, parallelism: int = 4) -> CrossValidator:
+WEIGHT = "weight"
+
+
+def condensed(data: DataFrame, features: list[str] = ML_FEATURES, label: str = ML_LABEL) -> DataFrame:
+    """A few weighted rows a fold with the count, means and covariances that all rows of the fold have.
+
+    From one aggregation of all rows. Around the mean, two rows lie on each principal axis of the fold's
+    correlations, as far out as its variance asks; a column that is constant stays so.
+    """
+    columns = [*features, label]
+    values = [F.col(c).cast("double") for c in columns]
+    pairs = [(i, k) for i in range(len(columns)) for k in range(i + 1)]
+    found = data.groupBy(FOLD).agg(F.count(F.lit(1)).alias("n"), *[F.avg(v).alias(f"m{i}") for i, v in enumerate(values)],
+                                   *[F.covar_pop(values[i], values[k]).alias(f"c{i}_{k}") for i, k in pairs]).collect()
+    rows = []
+    for r in found:
+        mean = np.array([r[f"m{i}"] for i in range(len(columns))])
+        spread = np.zeros((len(columns),) * 2)
+        for i, k in pairs:
+            spread[i, k] = spread[k, i] = r[f"c{i}_{k}"]
+        varied = np.flatnonzero(np.diag(spread) > 0)
+        scale = np.sqrt(np.diag(spread)[varied])
+        size, axes = np.linalg.eigh(spread[np.ix_(varied, varied)] / np.outer(scale, scale))
+        out = np.zeros((max(len(varied), 1), len(columns)))  # without any spread, the mean alone
+        out[:len(varied), varied] = (axes * np.sqrt(np.maximum(size, 0) * len(varied))).T * scale
+        rows += [(*point, r[FOLD], r.n / (2 * len(out))) for side in (1, -1) for point in (mean + side * out).tolist()]
+    schema = ", ".join([*[f"`{c}` double" for c in columns], f"{FOLD} int", f"{WEIGHT} double"])
+    return data.sparkSession.createDataFrame(rows, schema).coalesce(1)
+
+
+def searched(label: str = ML_LABEL, parallelism: int = 4, **weighted: str) -> CrossValidator:
     """The grid search: every combination on every fold, the folds being a column of the rows."""
-    whole, last = regression(label=label)
+    whole, last = regression(label=label, **weighted)
     grid = ParamGridBuilder()
     for param, values in ((last.regParam, ML_REG_PARAMS), (last.elasticNetParam, ML_ELASTIC_NET_PARAMS)):
         grid = grid.addGrid(param, values)
-    return CrossValidator(estimator=whole, estimatorParamMaps=grid.build(), evaluator=evaluator(label=label), numFolds=ML_FOLDS, foldCol=FOLD, parallelism=parallelism)
+    return CrossValidator(estimator=whole, estimatorParamMaps=grid.build(), evaluator=evaluator(label=label, **weighted), numFolds=ML_FOLDS, foldCol=FOLD, parallelism=parallelism)
 
 
 @dataclass
@@ -105,22 +138,25 @@ class TrainedModel:
 def train(data: DataFrame, checkpoint: bool = True, parallelism: int = 4, persist: bool = True, random_split: bool = False) -> TrainedModel:
     """Split 80/20, cross-validate the grid on the 80%, refit the best.
 
-    With ``persist`` the training rows are cached (memory, spilling to disk)
-    for the search; without it each fold re-reads the written table.
+    The search passes over the training rows once, the refit twice. With ``persist``
+    they are cached (memory, spilling to disk) for these passes; without it each
+    re-reads the written table.
     """
     data = keyed(data)
     if checkpoint:
         data = materialize(data, "ml-training-set")
     train_df, test_df = split(data, random_split)
     if persist:
-        # The search passes over these rows dozens of times, so they are dealt to all cores once; which rows they are, and their folds, is settled.
-        train_df = train_df.repartition(data.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+        train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = searched(parallelism=parallelism).fit(train_df)
+        found = searched(parallelism=parallelism, weightCol=WEIGHT).fit(condensed(train_df))
+        best = found.bestModel.stages[-1]
+        whole, _ = regression(regParam=best.getRegParam(), elasticNetParam=best.getElasticNetParam())
+        model = whole.fit(train_df)
     finally:
         if persist:
             train_df.unpersist()
-    return TrainedModel(found.bestModel, train_df, test_df, list(found.avgMetrics))
+    return TrainedModel(model, train_df, test_df, list(found.avgMetrics))
 
 
 def predictions(model: PipelineModel, df: DataFrame, label: str = ML_LABEL) -> DataFrame:

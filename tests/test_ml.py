@@ -19,7 +19,9 @@ from conftest import SF_SMALL
 
 @pytest.fixture(scope="module")
 def data(spark):
-    return revenue_model.training_set(clean_market(testdata.market_raw(spark, SF_SMALL))).cache()
+    rows = revenue_model.training_set(clean_market(testdata.market_raw(spark, SF_SMALL))).cache()
+    yield rows
+    rows.unpersist()  # the plans of other modules' tests would read it
 
 
 def test_training_set_rules(spark):
@@ -117,3 +119,28 @@ def test_search_and_choice_against_the_oracle(spark, data):
     chosen = con.execute(oracle.with_market(f"{oracle.elastic_net()}\nSELECT reg_param, elastic_net_param FROM best")).fetchall()
     last = trained.model.stages[-1]
     assert chosen == [(last.getRegParam(), last.getElasticNetParam())]
+
+
+def test_the_search_passes_over_a_few_rows_that_stand_for_all(spark, data, monkeypatch):
+    from pyspark.ml.tuning import CrossValidator
+
+    seen, fit = [], CrossValidator.fit
+    monkeypatch.setattr(CrossValidator, "fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    trained = revenue_model.train(data)
+    assert seen == [3 * 2 * 4]  # folds, sides, columns
+    whole = revenue_model.searched().fit(revenue_model.split(revenue_model.keyed(data))[0])
+    assert trained.avg_rmse == pytest.approx(whole.avgMetrics, rel=1e-13)
+    (a, b) = (x.stages[-1] for x in (trained.model, whole.bestModel))
+    assert (a.getRegParam(), a.getElasticNetParam()) == (b.getRegParam(), b.getElasticNetParam())
+    assert list(a.coefficients) == pytest.approx(list(b.coefficients), rel=1e-9) and a.intercept == pytest.approx(b.intercept, rel=1e-12)
+
+
+def test_search_on_constant_and_dependent_columns_and_small_folds(spark):
+    rows = [(i * i % 17, 3.0, 2.0 * (i * i % 17), 10.0 * i + 7 * (i % 3), i % 2 if i else 2) for i in range(40)]  # fold 2 has one row
+    df = spark.createDataFrame(rows, "concurrent_players int, hype_score double, discount_pc double, estimated_revenue_usd double, fold int")
+    few = revenue_model.condensed(df)
+    assert {r.hype_score for r in few.collect()} == {3.0} and few.where("fold = 2").agg({"weight": "sum"}).first()[0] == 1
+    got = revenue_model.searched(weightCol=revenue_model.WEIGHT).fit(few).avgMetrics
+    assert list(got) == pytest.approx(list(revenue_model.searched().fit(df).avgMetrics), rel=1e-9)
+    with pytest.raises(ValueError, match="empty"):
+        revenue_model.train(spark.createDataFrame([], "concurrent_players int, hype_score double, discount_pc double, estimated_revenue_usd double"))
