@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, IntegralType, StringType, TimestampType
 
+ISO_DATE = "yyyy-MM-dd"  # the cast reads it by itself; a format that does not fit costs an exception for each row
+
 
 def typed_column(df: DataFrame, name: str, target: DataType, date_format: str | None = None) -> Column:
     """``name`` converted to ``target``; bad or out-of-range text becomes NULL."""
@@ -21,12 +23,15 @@ def typed_column(df: DataFrame, name: str, target: DataType, date_format: str |
         return col.alias(name)
     if isinstance(target, DateType) and isinstance(current, StringType):
         # Text with a time after the date is a date, too; other text is NULL.
-        converted = F.coalesce(F.try_to_date(col, date_format), col.try_cast(target)) if date_format else col.try_cast(target)
+        converted = col.try_cast(target)
+        if date_format and date_format != ISO_DATE:
+            converted = F.coalesce(F.try_to_date(col, date_format), converted)
     elif isinstance(target, TimestampType) and isinstance(current, StringType):
         converted = F.try_to_timestamp(col, F.lit(date_format)) if date_format else F.try_to_timestamp(col)
     elif isinstance(target, IntegralType) and isinstance(current, StringType):
-        # "1500.0" is a whole number, too.
-        converted = F.coalesce(col.try_cast(target), col.try_cast("double").try_cast(target))
+        # "1500.0" is a whole number, too. Text with a point or letters is none to the first cast, which would make an exception for each such row.
+        number = col.try_cast("double").try_cast(target)
+        converted = F.when(col.rlike("[.a-zA-Z]"), number).otherwise(F.coalesce(col.try_cast(target), number))
     else:
         converted = col.try_cast(target)
     return converted.alias(name)
