@@ -104,3 +104,20 @@ def test_the_query_names_passages_over_several_lines(spark, rng, tmp_path):
     got = sorted(tuple(r) for r in repeats.query(spark, str(tmp_path)).collect())
     assert got == brute(list(enumerate(texts)), "sentence", repeats.PASSAGE_WORDS)
     assert [(r[0], r[1], r[4], r[-1]) for r in got] == [*((1, k, 40, False) for k in (1, 2, 3)), *((3, k, 40, True) for k in (0, 1, 2))]
+
+
+def test_words_as_units_find_passages_inside_sentences_and_no_shorter_ones(spark, rng):
+    passage, short, twice = prose(rng, 55).split(" "), prose(rng, 50), prose(rng, 60)
+    shown = [" ".join(passage), " \n".join(passage).upper(), f"{' '.join(passage[:30])}.\n{' '.join(passage[30:])}"]
+    texts = [*(f"{prose(rng, 12)} {x} {prose(rng, 9)}" for x in (*shown[:2], shown[2], short, short)), twice, prose(rng, 300), f"{prose(rng, 3)} {twice} {twice}", "", None]
+    got = sorted(tuple(r) for r in repeats.occurrences(documents(spark, texts), "word", 51).drop("key").collect())
+    words = [[(m.start(), m.end(), m[0].lower()) for m in re.finditer(f"[^{SPACE}]+", t or "")] for t in texts]
+    seen = {}
+    for doc, own in enumerate(words):
+        for k in range(len(own) - 50):
+            seen.setdefault(tuple(w for _, _, w in own[k:k + 51]), []).append((doc, k, own[k][0], own[k + 50][1], 51))
+    assert got == sorted((*place, *places[0][:2], place != places[0]) for places in seen.values() if len(places) > 1 for place in places)
+    # The third text has a point inside the passage, so that it shares no 51 words; 50 shared words are too few.
+    assert {r[0] for r in got} == {0, 1, 5, 7} and not {r[0] for r in repeats.occurrences(documents(spark, texts)).collect()} >= {0, 1}
+    left = {r.doc_id: r.text for r in repeats.without_repeats(documents(spark, texts), "word", 51).collect()}
+    assert left[0] == texts[0] and left[3] == texts[3] and left[1] == texts[1].replace(shown[1], "") and left[7].split() == texts[7].split()[:3]
