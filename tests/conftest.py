@@ -23,6 +23,16 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def cached_rows_let_go():
+    """The plans of other modules' tests would read the rows that a module's fixtures cache."""
+    from pyspark.sql import SparkSession
+
+    yield
+    if session := SparkSession.getActiveSession():
+        session.catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp_dir(tmp_path):
     return str(tmp_path)
